@@ -89,11 +89,17 @@ def anti_join_seen(batch: DataFrame, seen: DataFrame, key: str) -> DataFrame:
     return batch.join(seen.select(key).distinct(), key, "left_anti")
 
 
+def one_per_key(df: DataFrame, key: str) -> DataFrame:
+    """One row per key, the smallest by its other columns."""
+    rest = [c for c in df.columns if c != key]
+    smallest = df.groupBy(key).agg(F.min(F.struct(*rest)).alias("__row"))
+    return smallest.select(key, "__row.*").select(*df.columns)
+
+
 def append_unseen(history: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     """``history`` plus the batch rows with new keys; appending twice changes nothing."""
-    rest = [c for c in batch.columns if c != key]
-    fresh = batch.groupBy(key).agg(F.min(F.struct(*rest)).alias("__row")).select(key, "__row.*")
-    return history.unionByName(anti_join_seen(fresh, history, key).select(*history.columns))
+    fresh = anti_join_seen(one_per_key(batch, key), history, key)
+    return history.unionByName(fresh)
 
 
 def join_ordinal(df: DataFrame, col: str, ordinal: DataFrame) -> DataFrame:
