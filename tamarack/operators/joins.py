@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tamarack.session import materialize
+
 MAX_BROADCAST_ROWS = 200_000
 MAX_BROADCAST_BYTES = 64 << 20
 HOT_SHARE = 256  # a key with 1/256 of all rows is hot, so at most 256 keys are
@@ -59,20 +61,24 @@ def join_lookup(
     on: Sequence[str],
     how: str = "inner",
     counts: DataFrame | None = None,
+    max_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Join with a ``lookup`` that has one row per key and may be of any size.
 
-    Hot keys are answered from a broadcast of at most ``HOT_SHARE`` rows; their
-    fact rows then travel under scattered keys, so no task owns a hot key. All
-    other rows take one ordinary shuffle join. ``counts`` (key columns and
-    ``n``) saves counting the facts when the caller has it already.
+    A lookup measured to be small is broadcast whole. Else hot keys are answered
+    from a broadcast of at most ``HOT_SHARE`` rows; their fact rows then travel
+    under scattered keys, so no task owns a hot key. All other rows take one
+    ordinary shuffle join. ``counts`` (key columns and ``n``) saves counting the
+    facts when the caller has it already.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"join_lookup cannot do {how}")
     on = list(on)
+    if fits_broadcast(lookup, max_rows):
+        return facts.join(F.broadcast(lookup), on, how)
     added = [c for c in lookup.columns if c not in on]
     if counts is None:
-        counts = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
+        counts = materialize(facts.groupBy(*on).agg(F.count(F.lit(1)).alias("n")), "counts")
     hot = F.broadcast(hot_keys(counts, on))
     hot_rows = lookup.join(hot, on, "left_semi").select(
         *on, F.lit(True).alias("__hot"), F.struct(*added).alias("__hot_row")

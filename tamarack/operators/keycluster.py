@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tamarack.functions.text import fingerprint_ngram_char, fingerprint_ngram_word
 from tamarack.operators.joins import join_lookup
+from tamarack.session import materialize
 
 _METHODS = {"word": fingerprint_ngram_word, "char": fingerprint_ngram_char}
 
@@ -23,6 +24,7 @@ def cluster_keys(df: DataFrame, col: str, method: str = "word", n: int = 2) -> D
         F.count(F.lit(1)).alias("n")
     )
     keyed = spellings.select(_METHODS[method]("variant", n).alias("key"), "variant", "n")
+    keyed = materialize(keyed, "keyed")
     best = F.min(F.struct((-F.col("n")).alias("neg"), "variant"))["variant"]
     merged = keyed.groupBy("key").agg(F.sum("n").alias("key_rows"), best.alias("merged"))
     return join_lookup(keyed, merged, ["key"])

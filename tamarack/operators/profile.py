@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tamarack.functions.text import blank_to_null, is_numeric
 from tamarack.operators.joins import join_small
 from tamarack.operators.ordering import quantiles, value_counts
+from tamarack.session import materialize
 
 NUMERIC_LEVELS = ("interval", "ratio")
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
@@ -116,7 +117,8 @@ def box_summary(df: DataFrame, by: str, value: str) -> DataFrame:
     Whiskers end at the last entry within 1.5 interquartile ranges of the box.
     """
     known = df.filter(F.col(by).isNotNull())
-    counts = value_counts(known.select(by, F.col(value).cast("double").alias(value)), value, [by])
+    values = known.select(by, F.col(value).cast("double").alias(value))
+    counts = materialize(value_counts(values, value, [by]), "counts")
     boxes = quantiles(counts, value, QUARTILES, [by])
     v, reach = F.col(value), 1.5 * (F.col("q3") - F.col("q1"))
     low, high = F.col("q1") - reach, F.col("q3") + reach
@@ -196,7 +198,7 @@ def profile_table(
 
     extra = []
     if numbers:
-        counts = value_counts(_melt(df, numbers, "double"), "value", ["feature"])
+        counts = materialize(value_counts(_melt(df, numbers, "double"), "value", ["feature"]), "counts")
         modes = counts.groupBy("feature").agg(
             F.count(F.lit(1)).alias("n_unique"),
             F.min(F.struct((-F.col("n")).alias("neg"), "value"))["value"].alias("mode_number"),

@@ -53,9 +53,9 @@ def join_means(df: DataFrame, train: DataFrame) -> DataFrame:
     """
     joined = df
     for key in ("user", "item"):
-        means = group_mean(train, key)
-        # Counts of `train` serve for its own rows; other rows are counted anew.
-        counts = means.select(key, "n") if df is train else df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+        means = materialize(group_mean(train, key), "means")
+        # Counts of `train` serve for its own rows; other rows are counted if need be.
+        counts = means.select(key, "n") if df is train else None
         joined = join_lookup(joined, means.drop("n"), [key], counts=counts)
     return joined
 

@@ -7,6 +7,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tamarack.session import spread
+
+TEXTS = ("documents", "pages")  # costly to process per byte read
+
 
 class Tables:
     """The input tables below one folder: ``tables("orders")``."""
@@ -16,7 +20,8 @@ class Tables:
         self.root = root
 
     def __call__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        return spread(table) if name in TEXTS else table
 
 
 @dataclass(frozen=True)

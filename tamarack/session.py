@@ -13,6 +13,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -55,6 +56,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal the rows of a scan out to all cores if it has too few splits for them.
+
+    For inputs that cost much more to process than to read, such as texts. A
+    scan with a split for every core, as any large table has, stays as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= 2 * cores:
+        return scan
+    return scan.repartition(4 * cores)
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
