@@ -109,7 +109,10 @@ def fingerprint_ngram_word(c: Column | str, n: int = 2) -> Column:
 
 
 def fingerprint_ngram_char(c: Column | str, n: int = 2) -> Column:
-    """Key that ignores case, punctuation, white space, accents and letter order."""
+    """Key that ignores case, punctuation and white space, folded to ASCII.
+
+    The folding comes last: n-grams sort by their accented letters.
+    """
     text = strip_control_chars(strip_punctuation(F.lower(_col(c))))
     text = F.regexp_replace(text, f"{SPACE}+", "")
     return fold_ascii(F.array_join(array_sort_distinct(char_ngrams(text, n)), ""))

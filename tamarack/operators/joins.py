@@ -18,10 +18,10 @@ SPREAD = 4096
 def fits_broadcast(
     df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> bool:
-    """Measure whether ``df`` is small; reads at most ``max_rows + 1`` rows of it."""
-    size = F.sum(F.length(F.to_json(F.struct("*"))))
-    rows, bytes_ = df.limit(max_rows + 1).agg(F.count(F.lit(1)), size).first()
-    return rows <= max_rows and (bytes_ or 0) <= max_bytes
+    """Measure whether ``df`` is small, by distributed sums over all of it."""
+    if df.count() > max_rows:
+        return False
+    return (df.agg(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0] or 0) <= max_bytes
 
 
 def join_small(

@@ -80,6 +80,8 @@ def collect_blocks(
 def dedupe_keep_first(df: DataFrame, key: str, position: str) -> DataFrame:
     """First row per key by ``position``; partial minima meet before the shuffle."""
     rest = [c for c in df.columns if c not in (key, position)]
+    if not rest:  # a plain minimum aggregates by hash, a struct only by sorting
+        return df.groupBy(key).agg(F.min(position).alias(position)).select(*df.columns)
     first = F.min(F.struct(position, *rest)).alias("__first")
     return df.groupBy(key).agg(first).select(key, "__first.*").select(*df.columns)
 

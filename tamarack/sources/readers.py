@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 from tamarack.functions.html import unescape_entities
 from tamarack.session import materialize
 
+_DIFFERENT = [b for b in range(0x80, 0xA0) if bytes([b]).decode("cp1252", "ignore")]
+_WINDOWS_LETTERS = ("".join(map(chr, _DIFFERENT)), bytes(_DIFFERENT).decode("cp1252"))
 LOG_SCHEMA = "iter int, accuracy double, loss double"
 
 
@@ -17,10 +19,17 @@ def read_csv_typed(
 ) -> DataFrame:
     """Quoted CSV with a header and a fixed schema; empty fields are NULL.
 
-    A quote inside a quoted field is written twice.
+    A quote inside a quoted field is written twice. Spark does not read
+    windows-1252, which is ISO-8859-1 with letters in place of some control
+    characters; those are put in afterwards.
     """
+    windows = encoding.lower() in ("windows-1252", "cp1252")
     reader = spark.read.schema(schema).option("header", True).option("escape", '"')
-    return reader.option("encoding", encoding).csv(path)
+    rows = reader.option("encoding", "ISO-8859-1" if windows else encoding).csv(path)
+    if not windows:
+        return rows
+    texts = [f.name for f in rows.schema if isinstance(f.dataType, T.StringType)]
+    return rows.withColumns({c: F.translate(c, *_WINDOWS_LETTERS) for c in texts})
 
 
 def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
