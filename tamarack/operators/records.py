@@ -39,14 +39,18 @@ class RecordSpec:
 
 
 _PIECE = re.compile(
-    r"<!--.*?-->|<(script|style)\b.*?</\1\s*>"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
-    r"|(?P<text>[^<]+)",
+    r"<!--.*?-->|<(?:script|style)\b.*?</(?:script|style)\s*>"
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|([^<]+)",
     re.S | re.I,
 )
 _CLASS = re.compile(r"class\s*=\s*[\"']([^\"']*)[\"']", re.I)
 
 
+def _classes(attributes: str) -> list[str]:
+    found = _CLASS.search(attributes)
+    return found[1].split() if found else []
+
+
 def read_record(page: str | None, spec: RecordSpec) -> list[str | None]:
     """Winner and the fields of one page; fields a page does not show are None."""
     won = other = name = None
@@ -58,19 +62,17 @@ def read_record(page: str | None, spec: RecordSpec) -> list[str | None]:
     cells: list[list[str]] = []
     target = None  # what the text being read belongs to
     buffer = ""
-    for m in _PIECE.finditer(page or ""):
-        if m["text"] is not None:
-            buffer += m["text"]
-            continue
-        if not m["tag"]:
+    for closing, tag, attributes, words in _PIECE.findall(page or ""):
+        if words:
+            if target:
+                buffer += words
             continue
-        tag, closing = m["tag"].lower(), bool(m["end"])
-        classes = (_CLASS.search(m["attrs"]) or [None, ""])[1].split()
+        tag = tag.lower()  # '' for a comment or script, which matches nothing below
         if not closing:
             if tag == "div":
                 if depth:
                     depth += 1
-                elif spec.person in classes:
+                elif spec.person in _classes(attributes):
                     depth, status, names = 1, None, []
             elif tag == "tr":
                 rows += 1
@@ -82,11 +84,13 @@ def read_record(page: str | None, spec: RecordSpec) -> list[str | None]:
                 heading = True
             elif depth and tag == "a" and heading:
                 target, buffer = "name", ""
-            elif depth and tag == "i" and (spec.won in classes or spec.other in classes):
-                status = "won" if spec.won in classes else "other"
-                target, buffer = "status", ""
+            elif depth and tag == "i":
+                classes = _classes(attributes)
+                if spec.won in classes or spec.other in classes:
+                    status = "won" if spec.won in classes else "other"
+                    target, buffer = "status", ""
             continue
-        text = html.unescape(buffer).strip()
+        text = html.unescape(buffer).strip() if target else ""
         if tag == "p" and target == "cell":
             cells[-1].append(text)
             target = None

@@ -2,7 +2,7 @@ from tamarack.operators import index as ix
 from tamarack.sources import readers, sinks
 from tamarack.streaming import incremental as inc
 
-SGML = b"""<!DOCTYPE lewis SYSTEM "lewis.dtd">
+SGML = b"""<!DOCTYPE news>
 <REUTERS TOPICS="NO" OLDID="5" NEWID="21">
 <DATE>26-FEB</DATE><UNKNOWN>&#5;not text</UNKNOWN>
 <TEXT>&#2;
@@ -23,10 +23,10 @@ def test_sgml(spark, tmp_path):
 
 
 def test_typed_csv(spark, tmp_path):
-    text = 'park,n\n"MONT-ROYAL, PARC DU",1\n,2\n"say ""ÎLE"" – 5 €",x\n'
+    text = 'park,n\n"HILL, PARK ON THE",1\n,2\n"say ""ÎLE"" – 5 €",x\n'
     (tmp_path / "t.csv").write_bytes(text.encode("windows-1252"))
     got = readers.read_csv_typed(spark, str(tmp_path), "park string, n string", "windows-1252").collect()
-    assert [tuple(r) for r in got] == [("MONT-ROYAL, PARC DU", "1"), (None, "2"), ('say "ÎLE" – 5 €', "x")]
+    assert [tuple(r) for r in got] == [("HILL, PARK ON THE", "1"), (None, "2"), ('say "ÎLE" – 5 €', "x")]
 
 
 def test_audit(spark, tmp_path):
