@@ -88,10 +88,15 @@ def document_frequency(pairs: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Index:
-    """``postings(term, doc_id, doc_len, tf)`` and ``docs(doc_id, doc_len)``."""
+    """``postings(term, doc_id, doc_len, tf)`` and ``docs(doc_id, doc_len)``.
+
+    The postings of a saved index also have the ``bucket`` (of ``buckets``) of
+    their term, by which its files are foldered.
+    """
 
     postings: DataFrame
     docs: DataFrame
+    buckets: int | None = None
 
 
 def build_index(docs: DataFrame, length: str = "distinct", mode: str = "strip", lower: bool = False) -> Index:
@@ -102,6 +107,25 @@ def build_index(docs: DataFrame, length: str = "distinct", mode: str = "strip",
     )
 
 
+def save_index(index: Index, path: str, buckets: int = 64) -> None:
+    """Write an index for :func:`load_index`; a frequent term fills several files."""
+    sliced = index.postings.withColumn("bucket", term_bucket("term", buckets))
+    spread_by = F.floor(F.col("doc_id") / BLOCK)
+    (
+        sliced.repartition("bucket", spread_by)
+        .sortWithinPartitions("bucket", "term")
+        .write.mode("overwrite")
+        .partitionBy("bucket")
+        .parquet(f"{path}/postings")
+    )
+    index.docs.write.mode("overwrite").parquet(f"{path}/docs")
+
+
+def load_index(spark: SparkSession, path: str, buckets: int = 64) -> Index:
+    """A saved index; a search reads only the buckets of the words asked for."""
+    return Index(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/docs"), buckets)
+
+
 def _block(block_size: int) -> Column:
     return F.floor(F.col("doc_id") / F.lit(block_size)).cast("bigint").alias("block")
 

@@ -10,6 +10,7 @@ from tamarack.operators import tabular as tab
 from tamarack.plans.registry import Tables, query
 from tamarack.plans.tabular import CHAR_KEY_SQL, FINGERPRINT_CHAR_SQL, bigrams_sql
 from tamarack.plans.views import labelled, messy, tips, with_views
+from tamarack.session import materialize
 
 TIPS = with_views("v_tips")
 MESSY = with_views("v_messy")
@@ -22,7 +23,8 @@ def mode_smallest(t: Tables):
 
 
 def _price_quantiles(t: Tables, **wanted):
-    return ordering.quantiles(ordering.value_counts(tips(t), "price"), "price", wanted)
+    counts = materialize(ordering.value_counts(tips(t), "price"), "counts")
+    return ordering.quantiles(counts, "price", wanted)
 
 
 @query("median_exact", TIPS + "SELECT round(quantile_cont(price, 0.5), 6) AS median FROM v_tips")

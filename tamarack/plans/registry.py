@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tamarack.session import spread
 
-TEXTS = ("documents", "pages")  # costly to process per byte read
+TEXTS = {"documents": "doc_id", "pages": "page_id"}  # costly to process per byte read
 
 
 class Tables:
@@ -21,7 +21,7 @@ class Tables:
 
     def __call__(self, name: str) -> DataFrame:
         table = self.spark.read.parquet(f"{self.root}/{name}.parquet")
-        return spread(table) if name in TEXTS else table
+        return spread(table, TEXTS[name]) if name in TEXTS else table
 
 
 @dataclass(frozen=True)

@@ -176,26 +176,39 @@ def bm25_or(t: Tables):
 MODE = "CASE WHEN item_id % 2 = 0 THEN 'or' ELSE 'and' END"
 
 
-@query(
-    "search_batch",
+BATCH_SQL = (
     match_sql(
         f"SELECT item_id AS qid, regexp_replace(text, '{SQL_PUNCT}', '', 'g') AS text, {MODE} AS mode, "
         "item_id % 4 < 2 AS ranked FROM benchmark"
     )
     + """ SELECT qid, rank, doc_id, n_matched, score FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY
           CASE WHEN ranked THEN -score WHEN mode = 'or' THEN -CAST(n_matched AS DOUBLE) ELSE 0 END, doc_id) AS rank
-          FROM m) WHERE rank <= 10""",
+          FROM m) WHERE rank <= 10"""
 )
-def search_batch(t: Tables):
+
+
+def _passages(t: Tables):
     """Every benchmark passage is a query: both modes, ranked and unranked."""
     mode = F.when(F.col("item_id") % 2 == 0, "or").otherwise("and")
-    asked = t("benchmark").select(
+    return t("benchmark").select(
         F.col("item_id").alias("qid"),
         strip_punctuation("text").alias("text"),
         mode.alias("mode"),
         (F.col("item_id") % 4 < 2).alias("ranked"),
     )
-    return se.search_batch(ix.build_index(t("documents")), asked, k=10)
+
+
+@query("search_batch", BATCH_SQL)
+def search_batch(t: Tables):
+    return se.search_batch(ix.build_index(t("documents")), _passages(t), k=10)
+
+
+@query("search_saved_index", BATCH_SQL)
+def search_saved_index(t: Tables):
+    """The same search over an index built and saved before."""
+    path = scratch_path(t.spark, "search-index")
+    ix.save_index(ix.build_index(t("documents")), path, buckets=8)
+    return se.search_batch(ix.load_index(t.spark, path, buckets=8), _passages(t), k=10)
 
 
 @query(

@@ -56,16 +56,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def spread(scan: DataFrame) -> DataFrame:
+def spread(scan: DataFrame, key: str) -> DataFrame:
     """Deal the rows of a scan out to all cores if it has too few splits for them.
 
     For inputs that cost much more to process than to read, such as texts. A
     scan with a split for every core, as any large table has, stays as it is.
+    ``key`` is a unique column.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
     if scan.rdd.getNumPartitions() >= 2 * cores:
         return scan
-    return scan.repartition(4 * cores)
+    return scan.repartition(4 * cores, key)
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:

@@ -1,4 +1,5 @@
 import math
+import re
 
 import pytest
 
@@ -78,3 +79,17 @@ def test_informative_terms(spark):
     sizes = spark.createDataFrame([(0, 2), (1, 1)], "cluster int, n_pages bigint")
     got = sorted(map(tuple, se.informative_terms(pairs, sizes).collect()))
     assert got == [(0, 1, "b", 1, round(math.log(2), 6)), (0, 2, "a", 2, 0.0), (1, 1, "z", 1, 0.0)]
+
+
+def test_saved_index(spark, docs, tmp_path):
+    path = str(tmp_path / "saved")
+    ix.save_index(ix.build_index(docs), path, buckets=4)
+    loaded = ix.load_index(spark, path, buckets=4)
+    q = spark.createDataFrame([(1, "fish red", "or", True)], "qid int, text string, mode string, ranked boolean")
+    got = se.search_batch(loaded, q).collect()
+    assert got == se.search_batch(ix.build_index(docs), q).collect() and len(got) == 2
+    asked = spark.createDataFrame([("fish",)], "term string")
+    found = se._asked_postings(loaded, asked)
+    assert {(r.term, r.doc_id) for r in found.collect()} == {("fish", 1), ("fish", 2)}
+    plan = found._jdf.queryExecution().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*bucket", plan)
