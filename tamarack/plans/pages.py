@@ -45,7 +45,7 @@ def resolve_link(t: Tables):
     return links.select("page_id", "pos", hx.resolve_link("url", "href").alias("link"))
 
 
-BLOCK_SQL = hx._BLOCK
+BLOCK_SQL = hx.BLOCK_TAGS
 PARAGRAPHS_SQL = (
     f"list_transform(list_filter(string_split(regexp_replace(regexp_replace({HIDDEN_SQL}, "
     f"'(?i)<p(?:\\s[^>]*)?>', chr(1) || chr(2), 'g'), '{BLOCK_SQL}', chr(1), 'g'), chr(1)), "

@@ -88,13 +88,11 @@ SGM = "REUTERS"
 
 @query(
     "scan_documents_sgml",
-    "SELECT doc_id, source || chr(10) || lang || chr(10) || text || chr(3) AS text FROM documents "
-    "WHERE strpos(text, '</') = 0 AND strpos(text, '<!') = 0",
+    "SELECT doc_id, source || chr(10) || lang || chr(10) || text || chr(3) AS text FROM documents",
 )
 def scan_documents_sgml(t: Tables):
-    """All documents without markup of their own, written as tagged records and read back."""
+    """All documents, written as tagged records and read back."""
     path = scratch_path(t.spark, "sgml")
-    docs = t("documents").filter(~F.col("text").contains("</") & ~F.col("text").contains("<!"))
     escaped = F.regexp_replace(F.regexp_replace("text", "&", "&amp;"), "<", "&lt;")
     record = F.concat(
         F.lit(f'<{SGM} TOPICS="NO" NEWID="'),
@@ -107,7 +105,7 @@ def scan_documents_sgml(t: Tables):
         escaped,
         F.lit(f"&#3;</BODY></TEXT>\n</{SGM}>"),
     )
-    docs.select(record).write.text(path)
+    t("documents").select(record).write.text(path)
     return readers.read_documents_sgml(t.spark, path, SGM, glob="*.txt")
 
 
