@@ -27,4 +27,4 @@ def cluster_keys(df: DataFrame, col: str, method: str = "word", n: int = 2) -> D
     keyed = materialize(keyed, "keyed")
     best = F.min(F.struct((-F.col("n")).alias("neg"), "variant"))["variant"]
     merged = keyed.groupBy("key").agg(F.sum("n").alias("key_rows"), best.alias("merged"))
-    return join_lookup(keyed, merged, ["key"])
+    return join_lookup(keyed, materialize(merged, "merged"), ["key"])

@@ -119,7 +119,7 @@ def box_summary(df: DataFrame, by: str, value: str) -> DataFrame:
     known = df.filter(F.col(by).isNotNull())
     values = known.select(by, F.col(value).cast("double").alias(value))
     counts = materialize(value_counts(values, value, [by]), "counts")
-    boxes = quantiles(counts, value, QUARTILES, [by])
+    boxes = materialize(quantiles(counts, value, QUARTILES, [by]), "boxes")
     v, reach = F.col(value), 1.5 * (F.col("q3") - F.col("q1"))
     low, high = F.col("q1") - reach, F.col("q3") + reach
     inside = v.between(low, high)
