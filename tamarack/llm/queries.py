@@ -5,8 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tamarack.llm import quality
 from tamarack.llm.licenses import scan_licenses
+from tamarack.llm.pieces import decode_pieces, encode_pieces
+
+TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -25,3 +30,26 @@ def _table(spark: SparkSession, root: str, name: str) -> DataFrame:
 def op1_license_scan(spark: SparkSession, root: str) -> DataFrame:
     """Licenses of all documents."""
     return scan_licenses(_table(spark, root, "documents")).drop("finds")
+
+
+@_query
+def op2_sentencepiece(spark: SparkSession, root: str) -> DataFrame:
+    """Piece ids of all documents, and whether decoding them gives the text again."""
+    docs = _table(spark, root, "documents").select("doc_id", "text")
+    both = decode_pieces(encode_pieces(docs, TOKENIZER), TOKENIZER)
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_ids"),
+        "ids",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("exact"),
+    )
+
+
+@_query
+def op3_quality_classifier(spark: SparkSession, root: str) -> DataFrame:
+    """Quality of all documents, learned from the labels that are not held out."""
+    docs = _table(spark, root, "documents")
+    machine = quality.train(docs, _table(spark, root, "labels"))
+    scored = quality.classify(docs, machine)
+    return scored.select("doc_id", quality.held_out("doc_id").alias("held_out"), "score", "predicted")
