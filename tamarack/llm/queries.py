@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from tamarack.llm import quality
 from tamarack.llm.licenses import scan_licenses
+from tamarack.llm.nearest import nearest
 from tamarack.llm.pieces import decode_pieces, encode_pieces
+from tamarack.llm.topk import top_k
 
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -53,3 +55,48 @@ def op3_quality_classifier(spark: SparkSession, root: str) -> DataFrame:
     machine = quality.train(docs, _table(spark, root, "labels"))
     scored = quality.classify(docs, machine)
     return scored.select("doc_id", quality.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
+@_query
+def op7_block_nearest(spark: SparkSession, root: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth vector."""
+    vectors = _table(spark, root, "embeddings")
+    return nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0), k=20)
+
+
+SQL["op7_block_nearest"] = """
+WITH v AS (
+    SELECT vec_id, min(list_transform(embedding, lambda x: x::DOUBLE)) AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    GROUP BY vec_id),
+pairs AS (
+    SELECT q.vec_id AS query_id, d.vec_id, list_inner_product(q.e, d.e) AS score
+    FROM v q JOIN v d ON q.vec_id % 20 = 0 AND q.vec_id <> d.vec_id AND len(q.e) = len(d.e)),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM pairs)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+@_query
+def op10_exact_top_k(spark: SparkSession, root: str) -> DataFrame:
+    """The 5 largest whole-number products of every fiftieth vector."""
+    vectors = _table(spark, root, "embeddings")
+    return top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0), k=5)
+
+
+SQL["op10_exact_top_k"] = """
+WITH v AS (
+    SELECT vec_id, min(list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT)) AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    GROUP BY vec_id),
+pairs AS (
+    SELECT q.vec_id AS query_id, d.vec_id, list_inner_product(q.e::DOUBLE[], d.e::DOUBLE[])::BIGINT AS score
+    FROM v q JOIN v d ON q.vec_id % 50 = 0 AND q.vec_id <> d.vec_id AND len(q.e) = len(d.e)),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM pairs)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
