@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tamarack.llm import quality
 from tamarack.llm.licenses import scan_licenses
+from tamarack.llm.mixing import BLOCK, SEED, mix
 from tamarack.llm.nearest import nearest
 from tamarack.llm.pieces import decode_pieces, encode_pieces
 from tamarack.llm.topk import top_k
@@ -57,6 +58,57 @@ def op3_quality_classifier(spark: SparkSession, root: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out("doc_id").alias("held_out"), "score", "predicted")
 
 
+@_query
+def op5_mix_sources(spark: SparkSession, root: str) -> DataFrame:
+    """Words that a mix of 5:2:1 weighted sources takes of every document."""
+    return mix(_table(spark, root, "documents")).drop("source_key")
+
+
+SQL["op5_mix_sources"] = f"""
+WITH d AS (
+    SELECT doc_id, source,
+        coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size
+    FROM documents),
+sums AS (
+    SELECT source, sum(size)::BIGINT AS source_size,
+        CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0 WHEN 1 THEN 2.0 ELSE 1.0 END::DOUBLE AS weight
+    FROM d GROUP BY source),
+caps AS (SELECT *, 2.0::DOUBLE * source_size AS cap FROM sums),
+levels AS (
+    SELECT cap / weight AS ratio, source,
+        (0.75::DOUBLE * sum(cap) OVER () - coalesce(sum(cap) OVER before, 0))
+            / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level
+    FROM caps
+    WINDOW before AS (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+level AS (
+    SELECT level FROM levels WHERE level <= ratio * (1 + 1e-12) ORDER BY ratio, source NULLS LAST LIMIT 1),
+plan AS (
+    SELECT caps.*, least(cap, level * weight) AS target,
+        ceil(source_size * 2 / {BLOCK}.0)::BIGINT AS blocks FROM caps, level),
+won AS (  -- the quotients, one by one
+    SELECT source, count(*)::BIGINT AS quota
+    FROM (SELECT source, target, unnest(generate_series(1, blocks)) AS j FROM plan)
+    WHERE target / (2 * j - 1) >= {BLOCK} / 2.0 GROUP BY source),
+placed AS (
+    SELECT plan.*, coalesce(won.quota, 0) * {BLOCK} AS length, blocks * {BLOCK} AS line,
+        CASE WHEN blocks > 0
+            THEN ('0x' || substr(md5('{SEED}:' || coalesce(plan.source, '')), 1, 8))::BIGINT % blocks ELSE 0 END * {BLOCK} AS start
+    FROM plan LEFT JOIN won ON plan.source IS NOT DISTINCT FROM won.source),
+lined AS (
+    SELECT *, sum(size) OVER (
+        PARTITION BY source ORDER BY md5('{SEED}:' || coalesce(doc_id::VARCHAR, '')), doc_id NULLS FIRST, size) - size AS at0
+    FROM d),
+passes AS (
+    SELECT doc_id, size, source_size, target, at0, p, at0 + p * source_size AS a, at0 + p * source_size + size AS b,
+        start, length, line, row_id
+    FROM (SELECT *, row_number() OVER () AS row_id FROM lined) l
+    JOIN placed ON l.source IS NOT DISTINCT FROM placed.source, (VALUES (0), (1)) AS t(p))
+SELECT doc_id, size, source_size, target,
+    sum(greatest(least(b, start + length) - greatest(a, start), 0) + greatest(least(b, start + length - line) - a, 0))::BIGINT AS taken
+FROM passes GROUP BY row_id, doc_id, size, source_size, target
+"""
+
+
 @_query
 def op7_block_nearest(spark: SparkSession, root: str) -> DataFrame:
     """The 20 nearest vectors of every twentieth vector."""
