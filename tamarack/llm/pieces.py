@@ -15,7 +15,8 @@ merged on their own, and every prefix of a text has just one such segmentation.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -25,26 +26,60 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLANK = "▁"  # stands for a blank inside pieces
-CACHED = 300_000  # segments whose ids a task remembers
-_SEGMENT = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
+CACHED = 200_000  # segments whose ids a worker remembers
+PART = 1024  # texts that are held as Python objects at once
 
 
 class _Remembered(dict):
-    """Ids by segment; filled on demand, emptied when full."""
+    """Ids by segment, filled on demand: two generations, of which the older goes when the younger is full."""
 
     def __init__(self, search, limit: int):
         super().__init__()
-        self.search, self.limit = search, limit
+        self.search, self.limit, self.older = search, limit, {}
 
     def __missing__(self, segment: str) -> tuple[int, ...]:
-        ids = tuple(self.search(segment))
+        ids = self.older.pop(segment, None)
+        if ids is None:
+            ids = tuple(self.search(segment))
         if len(segment) <= 32:
             if len(self) >= self.limit:
+                self.older = dict(self)
                 self.clear()
             self[segment] = ids
         return ids
 
 
+def _segments(pieces: Iterable[str], classes: int = 3) -> re.Pattern | None:
+    """Cuts a text where every path has a boundary, whatever stands on either side.
+
+    No piece reaches over a place where a blank follows another character, nor over one
+    between two characters that are in no way linked by standing side by side in pieces.
+    None if pieces hold blanks after other characters.
+    """
+    above: dict[str, str] = {}
+
+    def top(c: str) -> str:
+        above.setdefault(c, c)
+        while above[c] != c:
+            above[c] = above[above[c]]
+            c = above[c]
+        return c
+
+    for piece in pieces:
+        body = piece.lstrip(BLANK)
+        if BLANK in body:
+            return None
+        for a, b in zip(body, body[1:]):
+            above[top(a)] = top(b)
+    groups: dict[str, list[str]] = {}
+    for c in above:
+        groups.setdefault(top(c), []).append(c)
+    largest = sorted((g for g in groups.values() if len(g) > 1), key=len)[::-1][:classes]
+    own = ["".join(map(re.escape, sorted(g))) for g in largest]
+    rest = f"[^{BLANK}{''.join(own)}]"
+    return re.compile("|".join([*(f"{BLANK}*[{g}]+" for g in own), f"{BLANK}*{rest}+", f"{BLANK}+"]))
+
+
 class PieceModel:
     """A piece vocabulary, and the search over it. ``objective``: 'bpe' or 'unigram'."""
 
@@ -63,8 +98,7 @@ class PieceModel:
         self.ends = {p[k:]: -1 for p in self.ids for k in range(1, len(p))} | self.ids
         self.worst = min((self.scores[i] for i in self.ids.values()), default=0.0) - 10.0
         self.objective = objective
-        # Between two segments lies a boundary of every path if no piece reaches over it.
-        self.splits = not any(BLANK in p.lstrip(BLANK) for p in self.ids)
+        self._segments = _segments(self.ids)
         self.shown = [b"" if special[i] else p.replace(BLANK, " ").encode() for i, p in enumerate(pieces)]
         self.shown[self.unknown] = "⁇".encode()
         if self.falls_back:
@@ -197,9 +231,7 @@ class PieceModel:
         return self._encode(BLANK + text.replace(" ", BLANK))
 
     def _encode(self, escaped: str) -> np.ndarray:
-        if not self.splits:
-            return np.array(self.search(escaped), np.int32)
-        segments = _SEGMENT.findall(escaped)
+        segments = self._segments.findall(escaped) if self._segments else [escaped]
         return np.fromiter(chain.from_iterable(map(self._remembered.__getitem__, segments)), np.int32)
 
     def decode(self, ids: list[int]) -> str:
@@ -215,6 +247,36 @@ def _model_of(spark, path: str):
         return spark.sparkContext.broadcast(f.read())
 
 
+@lru_cache(maxsize=1)
+def _loaded(model: bytes, objective: str = "bpe") -> PieceModel:
+    """One model per worker process, which keeps what it has learned for the tasks that follow."""
+    return PieceModel(model, objective)
+
+
+def _ids_column(found: list[np.ndarray | None]) -> pa.Array:
+    sizes = [0 if f is None else len(f) for f in found]
+    flat = np.concatenate([np.zeros(0, np.int32), *(f for f in found if f is not None)])
+    offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+    nulls = pa.array([f is None for f in found], pa.bool_())
+    return pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int32()), mask=nulls)
+
+
+def _add(docs: DataFrame, source: str, model, kinds: dict[str, str], work) -> DataFrame:
+    """Add the columns ``kinds`` that ``work(pieces, values of source)`` makes, in small parts."""
+    docs = docs.drop(*kinds)
+    at = docs.columns.index(source)
+    schema = docs.select("*", *[F.lit(None).cast(kind).alias(name) for name, kind in kinds.items()]).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, PART):
+                part = batch.slice(lo, PART)
+                made = work(model.value, part.column(at).to_pylist())
+                yield pa.RecordBatch.from_arrays([*part.columns, *made], names=[*batch.schema.names, *kinds])
+
+    return docs.mapInArrow(run, schema)
+
+
 def encode_pieces(
     docs: DataFrame, path: str, text: str = "text", ids: str = "ids", objective: str = "bpe"
 ) -> DataFrame:
@@ -225,50 +287,35 @@ def encode_pieces(
     is replaced; all others, repeated rows included, pass through. The character
     U+2581 is encoded by its bytes, so that every text can be decoded to itself.
     """
-    model = _model_of(docs.sparkSession, path)
-    docs = docs.drop(ids)
-    at = docs.columns.index(text)
-    schema = docs.select("*", F.lit(None).cast("array<int>").alias(ids)).schema
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = PieceModel(model.value, objective)
-        for batch in batches:
-            found = [None if t is None else pieces.encode(t) for t in batch.column(at).to_pylist()]
-            sizes = [0 if f is None else len(f) for f in found]
-            flat = np.concatenate([np.zeros(0, np.int32), *(f for f in found if f is not None)])
-            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-            nulls = pa.array([f is None for f in found], pa.bool_())
-            column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()), mask=nulls)
-            yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, ids])
+    def work(model, texts):
+        pieces = _loaded(model, objective)
+        return [_ids_column([None if t is None else pieces.encode(t) for t in texts])]
 
-    return docs.mapInArrow(run, schema)
+    return _add(docs, text, _model_of(docs.sparkSession, path), {ids: "array<int>"}, work)
 
 
 def decode_pieces(docs: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """Add the column ``text`` with the text of the piece ids; null for null ids.
 
-    Ids that the model does not have add nothing. A column already named ``text`` is
-    replaced; all others pass through.
+    Ids that the model does not have, and null ones, add nothing. A column already
+    named ``text`` is replaced; all others pass through.
     """
-    model = _model_of(docs.sparkSession, path)
-    docs = docs.drop(text)
-    at = docs.columns.index(ids)
-    schema = docs.select("*", F.lit(None).cast("string").alias(text)).schema
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = PieceModel(model.value)
-        for batch in batches:
-            column = batch.column(at)
-            flat = column.flatten().to_pylist()
-            sizes = column.value_lengths().fill_null(0).to_pylist()
-            null = column.is_null().to_pylist()
-            out, place = [], 0
-            for n, gone in zip(sizes, null, strict=True):
-                own = [i for i in flat[place : place + n] if i is not None] if n else []
-                out.append(None if gone else pieces.decode(own))
-                place += n
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(out, pa.string())], names=[*batch.schema.names, text]
-            )
+    def work(model, rows):
+        pieces = _loaded(model)
+        return [pa.array([None if r is None else pieces.decode([i for i in r if i is not None]) for r in rows], pa.string())]
 
-    return docs.mapInArrow(run, schema)
+    return _add(docs, ids, _model_of(docs.sparkSession, path), {text: "string"}, work)
+
+
+def round_trip(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """:func:`encode_pieces` and :func:`decode_pieces` in one pass over the texts."""
+
+    def work(model, texts):
+        pieces = _loaded(model)
+        found = [None if t is None else pieces.encode(t) for t in texts]
+        back = [None if f is None else pieces.decode(f.tolist()) for f in found]
+        return [_ids_column(found), pa.array(back, pa.string())]
+
+    return _add(docs, text, _model_of(docs.sparkSession, path), {ids: "array<int>", decoded: "string"}, work)

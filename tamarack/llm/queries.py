@@ -11,7 +11,7 @@ from tamarack.llm import quality
 from tamarack.llm.licenses import scan_licenses
 from tamarack.llm.mixing import BLOCK, SEED, mix
 from tamarack.llm.nearest import nearest
-from tamarack.llm.pieces import decode_pieces, encode_pieces
+from tamarack.llm.pieces import round_trip
 from tamarack.llm.topk import top_k
 
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
@@ -39,8 +39,7 @@ def op1_license_scan(spark: SparkSession, root: str) -> DataFrame:
 def op2_sentencepiece(spark: SparkSession, root: str) -> DataFrame:
     """Piece ids of all documents, and whether decoding them gives the text again."""
     docs = _table(spark, root, "documents").select("doc_id", "text")
-    both = decode_pieces(encode_pieces(docs, TOKENIZER), TOKENIZER)
-    return both.select(
+    return round_trip(docs, TOKENIZER).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_ids"),
         "ids",
