@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from tamarack.llm import quality
 from tamarack.llm.licenses import scan_licenses
+from tamarack.llm.minhash import near_components
 from tamarack.llm.mixing import BLOCK, SEED, mix
 from tamarack.llm.nearest import nearest
+from tamarack.llm.phrases import remove_repeats
 from tamarack.llm.pieces import round_trip
 from tamarack.llm.topk import top_k
 
@@ -131,6 +133,65 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
 
+@_query
+def op8_minhash_forest(spark: SparkSession, root: str) -> DataFrame:
+    """Groups of near duplicates among all documents."""
+    return near_components(_table(spark, root, "documents"))
+
+
+SQL["op8_minhash_forest"] = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+    FROM documents),
+sh AS (
+    SELECT DISTINCT doc_id, unnest(CASE
+        WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+        WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS s
+    FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+    FROM sh a JOIN sh b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+    SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+reach AS (SELECT a AS doc_id, b AS other FROM links UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON other = a),
+least_of AS (SELECT doc_id, min(other) AS other FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles,
+    least(d.doc_id, coalesce(other, d.doc_id)) AS component_id,
+    d.doc_id = least(d.doc_id, coalesce(other, d.doc_id)) AS kept
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN least_of l ON l.doc_id = d.doc_id
+"""
+
+
+@_query
+def op9_repeated_phrases(spark: SparkSession, root: str) -> DataFrame:
+    """Words of all documents left after 20-word passages that stand earlier are removed."""
+    left = remove_repeats(_table(spark, root, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+SQL["op9_repeated_phrases"] = r"""
+WITH w AS (
+    SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS ws FROM documents),
+win AS (
+    SELECT doc_id, unnest(range(1, len(ws) - 18)) AS p, ws FROM w WHERE len(ws) >= 20),
+marked AS (
+    SELECT doc_id, p, row_number() OVER (PARTITION BY array_to_string(ws[p:p + 19], ' ') ORDER BY doc_id, p) > 1 AS later
+    FROM win),
+gone AS (
+    SELECT DISTINCT doc_id, unnest(range(p, p + 20)) AS place FROM marked WHERE later),
+lost AS (SELECT doc_id, list(place) AS ats FROM gone GROUP BY doc_id),
+kept AS (
+    SELECT w.doc_id, ws, coalesce(len(ats), 0) AS n_removed,
+        CASE WHEN ats IS NULL THEN ws ELSE list_filter(ws, lambda x, i: NOT list_contains(ats, i)) END AS k
+    FROM w LEFT JOIN lost ON lost.doc_id = w.doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, n_removed::BIGINT AS n_removed,
+    sha256(coalesce(array_to_string(k, ' '), '')) AS kept_sha256
+FROM kept
+"""
+
+
 @_query
 def op10_exact_top_k(spark: SparkSession, root: str) -> DataFrame:
     """The 5 largest whole-number products of every fiftieth vector."""
