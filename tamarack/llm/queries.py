@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamarack.llm import quality
+from tamarack.llm import pii, quality
 from tamarack.llm.licenses import scan_licenses
 from tamarack.llm.minhash import near_components
 from tamarack.llm.mixing import BLOCK, SEED, mix
 from tamarack.llm.nearest import nearest
 from tamarack.llm.phrases import remove_repeats
 from tamarack.llm.pieces import round_trip
+from tamarack.llm.sharding import shard_rows
 from tamarack.llm.topk import top_k
 
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
@@ -59,6 +60,12 @@ def op3_quality_classifier(spark: SparkSession, root: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out("doc_id").alias("held_out"), "score", "predicted")
 
 
+@_query
+def op4_pii_disclosure(spark: SparkSession, root: str) -> DataFrame:
+    """Personal data of all documents, and the terms that disclose whose it is."""
+    return pii.report(_table(spark, root, "documents"))
+
+
 @_query
 def op5_mix_sources(spark: SparkSession, root: str) -> DataFrame:
     """Words that a mix of 5:2:1 weighted sources takes of every document."""
@@ -110,6 +117,12 @@ FROM passes GROUP BY row_id, doc_id, size, source_size, target
 """
 
 
+@_query
+def op6_label_propagation(spark: SparkSession, root: str) -> DataFrame:
+    """All documents in 16 shards of equal row counts, equal texts together."""
+    return shard_rows(_table(spark, root, "documents"))
+
+
 @_query
 def op7_block_nearest(spark: SparkSession, root: str) -> DataFrame:
     """The 20 nearest vectors of every twentieth vector."""
