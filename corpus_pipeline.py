@@ -17,8 +17,8 @@ TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject. An empty table stays empty."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = quality.classify(docs, quality.train(docs, labels))
-    return scored.filter("predicted = 1").select(*docs.columns)
+    scored = quality.score(docs, quality.train(docs, labels), out="__score")
+    return scored.filter(F.col("__score") >= quality.THRESHOLD).drop("__score")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

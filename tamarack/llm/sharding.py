@@ -20,31 +20,42 @@ SHARDS = 16
 ROUNDS = 6
 
 
-def propagate(nodes: DataFrame, links: DataFrame, capacity: int, rounds: int = ROUNDS) -> DataFrame:
+def propagate(nodes: DataFrame, links: DataFrame, capacity: int, rounds: int = ROUNDS, slack: float = 1.0) -> DataFrame:
     """Move the labels of ``nodes`` (node, size, label) along ``links`` (node, hub).
 
-    A shard holds ``capacity`` rows; it admits nodes as long as they fit beside what it
-    holds now. Ends when nobody moves, or after ``rounds``. Nodes without links keep
-    their label.
+    A node asks for the shard with most rows of its hubs' nodes (of equal ones the first)
+    among those that have room for it, if that is better than its own. A shard holds
+    ``capacity`` rows, times 1 + ``slack`` in the first round, which falls to 1 in the
+    last; it admits requests as long as they fit beside what it holds now. Nobody is
+    turned out, so a shard can end above ``capacity`` unless ``slack`` is 0. Ends when
+    nobody moves any more, or after ``rounds``. Nodes without links keep their label.
     """
     nodes = materialize(nodes, "nodes")
-    for _ in range(rounds):
+    for left in reversed(range(rounds)):
+        room = int(capacity * (1 + slack * left / max(1, rounds - 1)))
+        loads = nodes.groupBy("label").agg(F.sum("size").alias("__load"))  # a row per shard
         votes = links.join(nodes, "node").groupBy("hub", "label").agg(F.sum("size").alias("votes"))
         heard = links.join(votes, "hub").groupBy("node", "label").agg(F.sum("votes").alias("votes"))
-        best = heard.groupBy("node").agg(
-            F.max_by("label", F.struct("votes", -F.col("label"))).alias("wanted"), F.max("votes").alias("votes")
+        own = nodes.select("node", "size", F.col("label").alias("own"))
+        heard = heard.join(own, "node").join(F.broadcast(loads), "label", "left")
+        fits = (F.col("label") == F.col("own")) | (F.coalesce("__load", F.lit(0)) + F.col("size") <= room)
+        rank = F.struct("votes", -F.col("label"))
+        asks = heard.filter(fits).groupBy("node").agg(
+            F.max_by("label", rank).alias("wanted"),
+            F.max("votes").alias("votes"),
+            F.first("own").alias("own"),
+            F.first("size").alias("size"),
         )
-        stay = heard.select("node", "label", F.col("votes").alias("now"))
-        asks = nodes.join(best, "node").join(stay, ["node", "label"], "left")
-        asks = asks.filter((F.col("wanted") != F.col("label")) & (F.col("votes") >= F.coalesce("now", F.lit(0))))
+        asks = asks.filter(F.col("wanted") != F.col("own"))
         asks = asks.select("node", "size", "wanted", (-F.col("votes")).alias("__first"), F.xxhash64("node").alias("__any"))
-        loads = nodes.groupBy("label").agg(F.sum("size").alias("__load")).withColumnRenamed("label", "wanted")
         queued = running_total(asks, ["__first", "__any", "size"], "size", by=["wanted"], name="__ahead", total="__all")
-        queued = queued.join(F.broadcast(loads), "wanted", "left")  # a row per shard
-        fits = F.coalesce("__load", F.lit(0)) + F.col("__ahead") + F.col("size") <= capacity
-        moves = materialize(queued.filter(fits).select("node", "wanted"), "moves")
+        queued = queued.join(F.broadcast(loads.withColumnRenamed("label", "wanted")), "wanted", "left")
+        admitted = F.coalesce("__load", F.lit(0)) + F.col("__ahead") + F.col("size") <= room
+        moves = materialize(queued.filter(admitted).select("node", "wanted"), "moves")
         if moves.isEmpty():
-            break
+            if room == capacity:
+                break
+            continue
         moved = nodes.join(moves, "node", "left")
         nodes = materialize(moved.select("node", "size", F.coalesce("wanted", "label").alias("label")), "nodes")
     return nodes.select("node", "label")
