@@ -32,7 +32,8 @@ from tamarack.llm.words import WORD, gram_hashes, utf8, word_hashes
 
 WINDOW = 20
 PHRASE = 6
-SHARD_BYTES = 16 << 20  # of text in a shard, about
+SHARD_BYTES = 8 << 20  # of text in a shard, about
+DIGITS = 3
 _LAST = np.iinfo(np.int64).max  # orders rows without doc_id after all others
 
 
@@ -76,20 +77,33 @@ class Shard:
         places = np.unique(at)
         places = places[np.isin(grams[places], phrases)]
         places = places[np.unique(grams[places], return_index=True)[1]]
-        _, numbers = np.unique(self.words, return_inverse=True)
+        spans = places[:, None] + np.arange(self.phrase)
+        symbols = _symbols(self.words, np.unique(self.words[spans]))
         automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE)
-        for row in numbers[places[:, None] + np.arange(self.phrase)].tolist():
+        for row in symbols[spans].reshape(len(spans), -1).tolist():
             automaton.add_word(tuple(row))
         if not len(automaton):
             return found[at]
         automaton.make_automaton()
         for lo, hi in zip(self.starts[:-1].tolist(), self.starts[1:].tolist(), strict=True):
             if hi - lo >= self.window:
-                ends = [end for end, _ in automaton.iter(tuple(numbers[lo:hi].tolist()))]
-                found[lo + np.array(ends, np.int64) - (self.phrase - 1)] = True
+                ends = [end for end, _ in automaton.iter(tuple(symbols[lo:hi].ravel().tolist()))]
+                found[lo + np.array(ends, np.int64) // DIGITS - (self.phrase - 1)] = True
         return found[at]
 
 
+def _symbols(words: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """A row of ``DIGITS`` symbols per word: its number among the sorted ``known`` words, 0 for others.
+
+    A node of the automaton searches its children one by one, so a word is written in
+    few-valued digits. Each digit has symbols of its own, so a match starts at a word.
+    """
+    at = np.minimum(np.searchsorted(known, words), len(known) - 1)
+    numbers = np.where(known[at] == words, at + 1, 0)
+    base = int(np.ceil((len(known) + 1) ** (1 / DIGITS))) + 1
+    return np.stack([numbers // base ** (DIGITS - 1 - i) % base + i * base for i in range(DIGITS)], 1)
+
+
 def _longs(data: list[bytes], kind=np.uint64) -> np.ndarray:
     return np.frombuffer(b"".join(data), kind)
 
