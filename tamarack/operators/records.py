@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import html
-import re
-from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tamarack.functions.html import drop_hidden, drop_tags, unescape_entities
+from tamarack.functions.text import trim_text
+
 
 @dataclass(frozen=True)
 class RecordSpec:
@@ -38,79 +37,42 @@ class RecordSpec:
         return [a, b, *[f"{side}_{c}" for c in self.cells for side in (a, b)]]
 
 
-_PIECE = re.compile(
-    r"<!--.*?-->|<(?:script|style)\b.*?</(?:script|style)\s*>"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|([^<]+)",
-    re.S | re.I,
-)
-_CLASS = re.compile(r"class\s*=\s*[\"']([^\"']*)[\"']", re.I)
-
-
-def _classes(attributes: str) -> list[str]:
-    found = _CLASS.search(attributes)
-    return found[1].split() if found else []
-
-
-def read_record(page: str | None, spec: RecordSpec) -> list[str | None]:
-    """Winner and the fields of one page; fields a page does not show are None."""
-    won = other = name = None
-    status = None  # status style inside the current person block
-    names: list[str] = []  # link texts under a heading of the current person block
-    depth = 0  # open divs since the person block began; 0 outside one
-    heading = False
-    rows = 0
-    cells: list[list[str]] = []
-    target = None  # what the text being read belongs to
-    buffer = ""
-    for closing, tag, attributes, words in _PIECE.findall(page or ""):
-        if words:
-            if target:
-                buffer += words
-            continue
-        tag = tag.lower()  # '' for a comment or script, which matches nothing below
-        if not closing:
-            if tag == "div":
-                if depth:
-                    depth += 1
-                elif spec.person in _classes(attributes):
-                    depth, status, names = 1, None, []
-            elif tag == "tr":
-                rows += 1
-            elif tag == "td" and rows == 2:
-                cells.append([])
-            elif tag == "p" and rows == 2 and cells:
-                target, buffer = "cell", ""
-            elif depth and tag == "h3":
-                heading = True
-            elif depth and tag == "a" and heading:
-                target, buffer = "name", ""
-            elif depth and tag == "i":
-                classes = _classes(attributes)
-                if spec.won in classes or spec.other in classes:
-                    status = "won" if spec.won in classes else "other"
-                    target, buffer = "status", ""
-            continue
-        text = html.unescape(buffer).strip() if target else ""
-        if tag == "p" and target == "cell":
-            cells[-1].append(text)
-            target = None
-        elif tag == "a" and target == "name":
-            names.append(text)
-            target = None
-        elif tag == "i" and target == "status":
-            if status == "other" and other is None:
-                other = text
-            target = None
-        elif tag == "h3":
-            heading = False
-        elif tag == "div" and depth:
-            depth -= 1
-            if not depth and status == "won" and won is None:
-                won, name = True, names[0] if names else None
-    winner = name if won else other if other is not None else spec.unknown
-    flat = [cell[i] if i < len(cell) else None for cell in cells for i in (0, 1)]
-    wanted = len(spec.fields())
-    return [winner, *(flat + [None] * wanted)[:wanted]]
+def _with_class(tag: str, names: str) -> str:
+    """Pattern of a start tag that has one of the class names, which is its first group."""
+    return rf"""(?is)<{tag}(?=\s)[^>]*?\sclass\s*=\s*["'](?:[^"']*\s)?({names})(?:\s[^"']*)?["'][^>]*>"""
+
+
+def _shown(html: Column) -> Column:
+    return trim_text(unescape_entities(drop_tags(html)))
+
+
+def _winner(body: Column, spec: RecordSpec) -> Column:
+    """From the person blocks, each from its start to the next one or to the table."""
+    blocks = F.split(body, _with_class("div", spec.person), -1)
+    blocks = F.transform(F.slice(blocks, 2, 1 << 20), lambda x: F.get(F.split(x, "(?i)<table", 2), 0))
+    status = _with_class("i", f"{spec.won}|{spec.other}") + r"(.*?)</i\s*>"
+    heading = r"(?is)<h3(?:\s[^>]*)?>.*?<a(?:\s[^>]*)?>(.*?)</a\s*>"
+    persons = F.transform(
+        blocks,
+        lambda x: F.struct(
+            F.regexp_extract(x, status, 1).alias("status"),
+            _shown(F.regexp_extract(x, status, 2)).alias("shown"),
+            F.when(x.rlike(heading), _shown(F.regexp_extract(x, heading, 1))).alias("name"),
+        ),
+    )
+    won = F.filter(persons, lambda x: x["status"] == spec.won)
+    other = F.filter(persons, lambda x: x["status"] == spec.other)
+    return F.when(F.size(won) > 0, F.get(won, 0)["name"]).otherwise(
+        F.coalesce(F.get(other, 0)["shown"], F.lit(spec.unknown))
+    )
+
+
+def _cells(body: Column) -> Column:
+    """Paragraph texts of every cell of the second table row."""
+    row = F.get(F.split(body, r"(?i)<tr(?:\s[^>]*)?>", -1), 2)
+    cells = F.slice(F.split(row, r"(?i)<td(?:\s[^>]*)?>", -1), 2, 1 << 20)
+    paragraph = F.lit(r"(?is)<p(?:\s[^>]*)?>(.*?)</p\s*>")
+    return F.transform(cells, lambda x: F.transform(F.regexp_extract_all(x, paragraph, F.lit(1)), _shown))
 
 
 def extract_records(pages: DataFrame, spec: RecordSpec = RecordSpec()) -> DataFrame:
@@ -118,18 +80,13 @@ def extract_records(pages: DataFrame, spec: RecordSpec = RecordSpec()) -> DataFr
 
     The winner is the name in the person block marked as won, else the text of
     the other status (such as NC or D), else ``Unknown``. Fields come from the
-    second table row: each cell has a paragraph per side.
+    second table row: each cell has a paragraph per side. A column that is not
+    selected is not computed.
     """
-    names = ["winner", *spec.fields()]
-
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = pd.DataFrame([read_record(h, spec) for h in batch["html"]], columns=names, dtype=object)
-            found.insert(0, "page_id", batch["page_id"].to_numpy())
-            yield found
-
-    schema = "page_id bigint, " + ", ".join(f"{n} string" for n in names)
-    return pages.select("page_id", "html").mapInPandas(parse, schema)
+    rows = pages.select("page_id", drop_hidden(F.coalesce("html", F.lit(""))).alias("__body"))
+    rows = rows.withColumn("__cells", _cells(F.col("__body")))
+    fields = [F.get(F.get("__cells", F.lit(i // 2)), F.lit(i % 2)).alias(n) for i, n in enumerate(spec.fields())]
+    return rows.select("page_id", _winner(F.col("__body"), spec).alias("winner"), *fields)
 
 
 def winner_label(df: DataFrame, winner: str = "winner", a: str = "fighter_a", b: str = "fighter_b") -> DataFrame:

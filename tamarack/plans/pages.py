@@ -15,13 +15,34 @@ from tamarack.plans.views import matches, with_views
 from tamarack.session import materialize
 
 HIDDEN_SQL = r"regexp_replace(html, '(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>', '', 'g')"
-LINKS_SQL = f"""SELECT page_id, url, unnest(range(len(l))) AS pos, unnest(l) AS href FROM (SELECT page_id, url,
-    regexp_extract_all({HIDDEN_SQL}, '(?i)<a\\s[^>]*?href\\s*=\\s*["'']([^"'']*)["'']', 1) AS l FROM pages)"""
+
+# The pages, and one more for each with forms of links and references that they lack.
+ODD_HTML = """'<p>Fish &amp; chips &lt;b&gt; &copy;<a data-href="no" title="a > b href=no" HREF=u' || page_id
+    || ' class=x>x</a><p>&quot;<a href=''/q?a=1&amp;b=2''>y</a><a name="n">z</a><a
+    href = "">e</a><abbr href="no">'"""
+PAGES_SQL = f"(SELECT page_id, url, html FROM pages UNION ALL SELECT -1 - page_id, url, {ODD_HTML} FROM pages)"
+ODD_HTML_SPARK = ODD_HTML.replace("''", r"\'")
+
+
+def odd_pages(t: Tables):
+    pages = t("pages").select("page_id", "url", "html")
+    odd = pages.select((-1 - F.col("page_id")).alias("page_id"), "url", F.expr(ODD_HTML_SPARK).alias("html"))
+    return pages.unionByName(odd)
+
+
+# All attributes of each tag first, then the one asked for among them.
+_VALUE_SQL = r""""[^"]*"|''[^'']*''|[^\s"''>]+"""
+_ATTRIBUTE_SQL = rf"""\s+[^\s=>"'']+(?:\s*=\s*(?:{_VALUE_SQL}))?"""
+LINKS_SQL = f"""SELECT page_id, url, unnest(range(len(l))) AS pos, unnest(l) AS href
+    FROM (SELECT page_id, url, list_transform(list_filter(list_transform(
+        regexp_extract_all({HIDDEN_SQL}, '(?i)<a((?:{_ATTRIBUTE_SQL})+)', 1),
+        lambda x: regexp_extract(x, '(?i)^(?:{_ATTRIBUTE_SQL})*?\\s+href\\s*=\\s*({_VALUE_SQL})', 1)),
+        lambda x: x <> ''), lambda x: replace(trim(x, '"'''), '&amp;', '&')) AS l FROM {PAGES_SQL})"""
 
 
 @query("html_links", f"SELECT page_id, pos, href FROM ({LINKS_SQL})")
 def html_links(t: Tables):
-    return pc.page_links(t("pages")).select("page_id", F.col("pos").cast("bigint").alias("pos"), "href")
+    return pc.page_links(odd_pages(t)).select("page_id", F.col("pos").cast("bigint").alias("pos"), "href")
 
 
 @query(
@@ -41,11 +62,15 @@ def resolve_link(t: Tables):
         F.struct((pos * 2 + 1).alias("pos"), F.concat(F.lit("HTTP://x.example/"), "href").alias("href")),
         F.struct((-1 - pos).alias("pos"), F.regexp_replace("href", "^/+", "").alias("href")),
     ]
-    links = pc.page_links(t("pages")).select("page_id", "url", F.inline(F.array(*forms)))
+    links = pc.page_links(odd_pages(t)).select("page_id", "url", F.inline(F.array(*forms)))
     return links.select("page_id", "pos", hx.resolve_link("url", "href").alias("link"))
 
 
-BLOCK_SQL = hx.BLOCK_TAGS
+# Tags that end a paragraph, for the check alone.
+BLOCK_SQL = (
+    r"(?i)</?(article|aside|blockquote|body|dd|div|dl|dt|footer|form|h[1-6r]|header|html|li|main|nav|ol|p|pre"
+    r"|section|t[dhr]|table|ul)(\s[^>]*)?/?>"
+)
 PARAGRAPHS_SQL = (
     f"list_transform(list_filter(string_split(regexp_replace(regexp_replace({HIDDEN_SQL}, "
     f"'(?i)<p(?:\\s[^>]*)?>', chr(1) || chr(2), 'g'), '{BLOCK_SQL}', chr(1), 'g'), chr(1)), "
@@ -65,10 +90,10 @@ def page_texts_sql() -> str:
 @query(
     "html_paragraphs",
     f"SELECT page_id, CAST(unnest(range(len(p))) AS INTEGER) AS pos, unnest(p) AS text FROM "
-    f"(SELECT page_id, {PARAGRAPHS_SQL} AS p FROM pages)",
+    f"(SELECT page_id, list_transform({PARAGRAPHS_SQL}, lambda y: {UNESCAPED_SQL.replace('{}', 'y')}) AS p FROM {PAGES_SQL})",
 )
 def html_paragraphs(t: Tables):
-    return pc.page_paragraphs(t("pages"))
+    return pc.page_paragraphs(odd_pages(t))
 
 
 @query("page_texts", page_texts_sql())

@@ -1,6 +1,4 @@
-import pytest
-
-from tamarack.operators.records import RecordSpec, extract_records, read_record, winner_label
+from tamarack.operators.records import RecordSpec, extract_records, winner_label
 
 PERSON = (
     '<div class="b-fight-details__person"><i class="b-fight-details__person-status {}">\n {} </i>'
@@ -23,23 +21,35 @@ CASES = {
 }
 
 
-@pytest.mark.parametrize("case", CASES)
-def test_cases(case):
-    page, winner = CASES[case]
-    got = read_record(page, RecordSpec())
-    assert got[0] == winner
-    assert got[1:5] == ["Al & Co", "Bo", "1a", "1b &"]
-    assert got[-2:] == ["9a", "9b &"]
+def read(spark, *pages):
+    """Winner and fields of each page, by the library."""
+    df = spark.createDataFrame(list(enumerate(pages)), "page_id bigint, html string")
+    return [list(r)[1:] for r in extract_records(df).orderBy("page_id").collect()]
+
+
+def test_cases(spark):
+    for (_, winner), got in zip(CASES.values(), read(spark, *[page for page, _ in CASES.values()])):
+        assert got[0] == winner
+        assert got[1:5] == ["Al & Co", "Bo", "1a", "1b &"]
+        assert got[-2:] == ["9a", "9b &"]
 
 
-def test_no_table_and_short_cells():
+def test_no_table_and_short_cells(spark):
     fields = len(RecordSpec().fields())
-    for page in (None, "", "<p>x</p>", "<tr><td><p>only</p></td></tr>"):
-        assert read_record(page, RecordSpec()) == ["Unknown"] + [None] * fields
-    got = read_record("<tr></tr><tr><td><p>A</p><p>B</p></td><td><p>one</p></td></tr>", RecordSpec())
+    for got in read(spark, None, "", "<p>x</p>", "<tr><td><p>only</p></td></tr>"):
+        assert got == ["Unknown"] + [None] * fields
+    got = read(spark, "<tr></tr><tr><td><p>A</p><p>B</p></td><td><p>one</p></td></tr>")[0]
     assert got[1:5] == ["A", "B", "one", None]
 
 
+def test_columns_in_the_plan(spark, capsys):
+    df = spark.range(3).selectExpr("id AS page_id", "concat('<p>', id) AS html")
+    extract_records(df).explain()
+    assert "InPandas" not in capsys.readouterr().out
+    extract_records(df).select("page_id", "winner").explain("extended")
+    assert "<td" not in capsys.readouterr().out.split("Optimized Logical Plan")[1]
+
+
 def test_every_page_gives_a_row(spark):
     rows = [(i, page) for i, (page, _) in enumerate(CASES.values())] + [(99, None)]
     got = extract_records(spark.createDataFrame(rows, "page_id bigint, html string")).orderBy("page_id").collect()
