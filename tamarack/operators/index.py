@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamarack.functions.text import tokenize_words
-from tamarack.sources.sinks import term_bucket
+from tamarack.sources.sinks import index_buckets, term_bucket, write_index
 
 BLOCK = 1 << 16
 
@@ -109,21 +109,14 @@ def build_index(docs: DataFrame, length: str = "distinct", mode: str = "strip",
 
 def save_index(index: Index, path: str, buckets: int = 64) -> None:
     """Write an index for :func:`load_index`; a frequent term fills several files."""
-    sliced = index.postings.withColumn("bucket", term_bucket("term", buckets))
-    spread_by = F.floor(F.col("doc_id") / BLOCK)
-    (
-        sliced.repartition("bucket", spread_by)
-        .sortWithinPartitions("bucket", "term")
-        .write.mode("overwrite")
-        .partitionBy("bucket")
-        .parquet(f"{path}/postings")
-    )
+    write_index(index.postings, f"{path}/postings", buckets, by=F.floor(F.col("doc_id") / BLOCK))
     index.docs.write.mode("overwrite").parquet(f"{path}/docs")
 
 
-def load_index(spark: SparkSession, path: str, buckets: int = 64) -> Index:
+def load_index(spark: SparkSession, path: str) -> Index:
     """A saved index; a search reads only the buckets of the words asked for."""
-    return Index(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/docs"), buckets)
+    postings = spark.read.parquet(f"{path}/postings")
+    return Index(postings.drop("of"), spark.read.parquet(f"{path}/docs"), index_buckets(postings))
 
 
 def _block(block_size: int) -> Column:
@@ -159,23 +152,27 @@ def lookup_term(index: DataFrame, term: str) -> DataFrame:
     return index.filter(F.col("term") == term).select(F.explode("doc_ids").alias("doc_id"))
 
 
-def read_index(spark: SparkSession, path: str, term: str | None = None, buckets: int = 64) -> DataFrame:
+def read_index(spark: SparkSession, path: str, term: str | None = None) -> DataFrame:
     """A saved index; with ``term``, only that term's bucket is read."""
     saved = spark.read.parquet(path)
     if term is not None:
-        saved = saved.filter(F.col("bucket") == term_bucket(F.lit(term), buckets))
+        saved = saved.filter(F.col("bucket") == term_bucket(F.lit(term), index_buckets(saved)))
         saved = saved.filter(F.col("term") == term)
-    return saved.drop("bucket")
+    return saved.drop("of", "bucket")
 
 
 def index_differences(a: DataFrame, b: DataFrame) -> DataFrame:
-    """One row: how many (term, doc_id) entries are in only one of two indexes."""
-    signed = [
-        x.select("term", F.explode("doc_ids").alias("doc_id"), F.lit(s).alias("s"))
-        for x, s in ((a, 1), (b, -1))
+    """One row: (term, doc_id) entries in only one of two indexes, and the entries of each."""
+    sides = [
+        x.select("term", F.explode("doc_ids").alias("doc_id"), F.lit(i).alias("a"), F.lit(1 - i).alias("b"))
+        for x, i in ((a, 1), (b, 0))
     ]
-    odd = signed[0].unionByName(signed[1]).groupBy("term", "doc_id").agg(F.sum("s").alias("s"))
-    return odd.agg(F.count_if(F.col("s") != 0).alias("n_differences"))
+    sums = sides[0].unionByName(sides[1]).groupBy("term", "doc_id").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    return sums.agg(
+        F.count_if(F.col("a") != F.col("b")).alias("n_differences"),
+        F.sum("a").alias("n_sorted"),
+        F.sum("b").alias("n_single_pass"),
+    )
 
 
 def incidence_top(pairs: DataFrame, docs: DataFrame, top: int = 10) -> DataFrame:

@@ -28,3 +28,14 @@ def cluster_keys(df: DataFrame, col: str, method: str = "word", n: int = 2) -> D
     best = F.min(F.struct((-F.col("n")).alias("neg"), "variant"))["variant"]
     merged = keyed.groupBy("key").agg(F.sum("n").alias("key_rows"), best.alias("merged"))
     return join_lookup(keyed, materialize(merged, "merged"), ["key"])
+
+
+def merge_spellings(df: DataFrame, col: str, clusters: DataFrame) -> DataFrame:
+    """``df`` with every spelling in ``col`` replaced by the one its key is merged into.
+
+    ``clusters`` comes from :func:`cluster_keys`. NULL and values that are not
+    listed stay.
+    """
+    listed = clusters.select(F.col("variant").alias(col), F.col("merged").alias("__merged"))
+    joined = join_lookup(df, listed, [col], "left")
+    return joined.withColumn(col, F.coalesce("__merged", col)).select(*df.columns)

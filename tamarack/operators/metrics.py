@@ -5,28 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_LABELS = 1000
+from tamarack.operators.joins import join_small
+from tamarack.session import materialize
 
 
-def class_labels(df: DataFrame, actual: str, predicted: str, max_labels: int = MAX_LABELS) -> list:
-    """All classes in either column, ascending; raises beyond ``max_labels``."""
-    both = df.select(F.explode(F.array(actual, predicted)).alias("label")).distinct()
-    found = [r[0] for r in both.filter("label is not null").limit(max_labels + 1).collect()]
-    if len(found) > max_labels:
-        raise ValueError(f"more than {max_labels} classes")
-    return sorted(found)
+def class_labels(df: DataFrame, actual: str, predicted: str) -> DataFrame:
+    """``(label)``: all classes in either column, each once."""
+    both = df.select(F.explode(F.array(actual, predicted)).alias("label"))
+    return both.filter("label is not null").distinct()
+
+
+def _listed(df: DataFrame, column: str, labels: list) -> DataFrame:
+    kind = df.schema[column].dataType
+    return df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(x).cast(kind) for x in labels])).alias("label"))
 
 
 def confusion_matrix(df: DataFrame, actual: str, predicted: str, labels: list | None = None) -> DataFrame:
     """``(actual, predicted, n)`` for every pair of classes, zeros shown."""
-    labels = labels if labels is not None else class_labels(df, actual, predicted)
-    kinds = {actual: df.schema[actual].dataType, predicted: df.schema[predicted].dataType}
-    every = {c: F.explode(F.array(*[F.lit(x).cast(kinds[c]) for x in labels])) for c in kinds}
-    grid = (
-        df.sparkSession.range(1)
-        .select(every[actual].alias("actual"))
-        .select("actual", every[predicted].alias("predicted"))
-    )
+    shown = class_labels(df, actual, predicted) if labels is None else _listed(df, actual, labels)
+    every = shown.agg(F.collect_list("label")).scalar()  # the result has this squared
+    grid = shown.select(F.col("label").alias("actual"), F.explode(every).alias("predicted"))
     counts = df.groupBy(F.col(actual).alias("actual"), F.col(predicted).alias("predicted")).agg(
         F.count(F.lit(1)).alias("n")
     )
@@ -40,16 +38,16 @@ def accuracy(df: DataFrame, actual: str, predicted: str) -> DataFrame:
 
 
 def classification_report(
-    df: DataFrame, actual: str, predicted: str, labels: list | None = None, names: dict | None = None
+    df: DataFrame, actual: str, predicted: str, labels: list | None = None, names: DataFrame | None = None
 ) -> DataFrame:
     """``(label, precision, recall, f1, support)`` per class, then accuracy and averages.
 
     An undefined ratio is 0. With ``labels`` only those classes are shown and
     averaged; if that leaves classes out, ``micro avg`` stands for accuracy.
-    ``names`` maps a class to the text shown for it.
+    ``names(label, name)`` gives the text shown for a class. Any number of classes.
     """
     seen = class_labels(df, actual, predicted)
-    shown = labels if labels is not None else seen
+    shown = seen if labels is None else _listed(df, actual, labels)
     counts = df.groupBy(F.col(actual).alias("a"), F.col(predicted).alias("p")).agg(
         F.count(F.lit(1)).alias("n")
     )
@@ -57,23 +55,17 @@ def classification_report(
     zero = F.lit(0).cast("bigint")
     parts = F.array(
         F.struct(
-            F.col("a").alias("c"), hit.alias("tp"), zero.alias("said"), F.col("n").alias("support")
+            F.col("a").alias("label"), hit.alias("tp"), zero.alias("said"), F.col("n").alias("support")
         ),
-        F.struct(F.col("p").alias("c"), zero.alias("tp"), F.col("n").alias("said"), zero.alias("support")),
-    )
-    listed = df.sparkSession.range(1).select(
-        F.explode(F.array(*[F.lit(x) for x in shown])).alias("c"),
-        zero.alias("tp"),
-        zero.alias("said"),
-        zero.alias("support"),
+        F.struct(F.col("p").alias("label"), zero.alias("tp"), F.col("n").alias("said"), zero.alias("support")),
     )
     sums = (
         counts.select(F.inline(parts))
-        .filter(F.col("c").isin(shown))
-        .unionByName(listed)  # so that a class without rows is shown
-        .groupBy("c")
+        .groupBy("label")
         .agg(*[F.sum(x).alias(x) for x in ("tp", "said", "support")])
     )
+    filled = [F.coalesce(x, zero).alias(x) for x in ("tp", "said", "support")]
+    sums = shown.join(sums, "label", "left").select("label", *filled)  # a class without rows is shown
 
     def ratio(a, b):
         return F.when(b != 0, a / b).otherwise(0.0)
@@ -84,10 +76,7 @@ def classification_report(
     rows = rows.withColumn(
         "f1", ratio(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall"))
     )
-    name = F.col("c").cast("string")
-    if names:
-        texts = F.create_map(*[F.lit(str(x)) for k, v in names.items() for x in (k, v)])
-        name = F.coalesce(texts[name], name)
+    rows = materialize(rows, "classes")
 
     def line(label, p, r, f, s):
         return F.struct(
@@ -100,8 +89,8 @@ def classification_report(
 
     measures = ("precision", "recall", "f1")
     total = F.sum("support")
-    if set(shown) >= set(seen):
-        right = F.sum("tp") / total
+    if labels is None or seen.join(shown, "label", "left_anti").isEmpty():
+        right = ratio(F.sum("tp"), total)
         overall = line(F.lit("accuracy"), F.lit(None), F.lit(None), right, total)
     else:
         micro_p, micro_r = ratio(F.sum("tp"), F.sum("said")), ratio(F.sum("tp"), total)
@@ -109,9 +98,13 @@ def classification_report(
         overall = line(F.lit("micro avg"), micro_p, micro_r, micro_f, total)
     macro = line(F.lit("macro avg"), *[F.avg(m) for m in measures], total)
     weighted = [ratio(F.sum(F.col(m) * F.col("support")), total) for m in measures]
-    per_class = F.collect_list(line(name, *[F.col(m) for m in measures], F.col("support")))  # few classes
-    tail = F.array(overall, macro, line(F.lit("weighted avg"), *weighted, total))
-    return rows.agg(F.concat(per_class, tail).alias("r")).select(F.inline("r"))
+    tail = rows.agg(F.array(overall, macro, line(F.lit("weighted avg"), *weighted, total)).alias("r"))
+    if names is not None:
+        rows = join_small(rows, names.select("label", "name"), ["label"], "left")
+    name = F.col("label").cast("string")
+    shown_name = name if names is None else F.coalesce("name", name)
+    each = rows.select(line(shown_name, *[F.col(m) for m in measures], F.col("support")).alias("r")).select("r.*")
+    return each.unionByName(tail.select(F.inline("r")))
 
 
 def best_iteration(log: DataFrame, metric: str = "accuracy") -> DataFrame:

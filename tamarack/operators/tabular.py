@@ -87,8 +87,9 @@ def dedupe_keep_first(df: DataFrame, key: str, position: str) -> DataFrame:
 
 
 def anti_join_seen(batch: DataFrame, seen: DataFrame, key: str) -> DataFrame:
-    """Rows of ``batch`` whose key is not in ``seen``."""
-    return batch.join(seen.select(key).distinct(), key, "left_anti")
+    """Rows of ``batch`` whose key is not in ``seen``; NULL is a key like any other."""
+    known = seen.select(F.col(key).alias("__seen")).distinct()
+    return batch.join(known, batch[key].eqNullSafe(known["__seen"]), "left_anti")
 
 
 def one_per_key(df: DataFrame, key: str) -> DataFrame:
@@ -110,18 +111,21 @@ def join_ordinal(df: DataFrame, col: str, ordinal: DataFrame) -> DataFrame:
     return join_small(df, listed, [col], "left")
 
 
-def pivot_mean(
-    df: DataFrame, rows: str, columns: str, value: str, max_columns: int = 1000
-) -> DataFrame:
-    """Mean of ``value`` by ``rows`` x ``columns``, absent cells 0.
+def pivot_cells(df: DataFrame, rows: str, columns: str, value: str) -> DataFrame:
+    """Mean of ``value`` by ``rows`` x ``columns`` in long form, any number of either."""
+    known = [F.col(c).isNotNull() for c in (rows, columns, value)]
+    kept = df.filter(known[0] & known[1] & known[2])
+    return kept.groupBy(rows, columns).agg(F.avg(value).alias(value))
+
+
+def pivot_mean(df: DataFrame, rows: str, columns: str, value: str) -> DataFrame:
+    """Mean of ``value`` by ``rows`` x ``columns``, absent cells 0, a column per value of ``columns``.
 
-    Raises when ``columns`` has more than ``max_columns`` values, as a table
-    that wide is no longer readable; use a plain group mean then.
+    The column names have to be known to the driver, as they are the schema. Where
+    there are too many to be columns of a table, use :func:`pivot_cells`.
     """
-    names = df.select(columns).filter(F.col(columns).isNotNull()).distinct().limit(max_columns + 1)
-    wanted = sorted(r[0] for r in names.collect())
-    if len(wanted) > max_columns:
-        raise ValueError(f"{columns} has more than {max_columns} values")
+    names = df.select(columns).filter(F.col(columns).isNotNull()).distinct()
+    wanted = sorted(r[0] for r in names.collect())  # the names of the result's columns
     kept = df.filter(F.col(rows).isNotNull() & F.col(value).isNotNull())
     return kept.groupBy(rows).pivot(columns, wanted).agg(F.avg(value)).na.fill(0.0)
 

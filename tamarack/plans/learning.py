@@ -10,7 +10,7 @@ from tamarack.operators import metrics as me
 from tamarack.operators import records as rec
 from tamarack.operators.recommend import split_by_key
 from tamarack.plans.registry import Tables, query
-from tamarack.plans.tabular import EVENTS, LOG_SQL, read_training_log
+from tamarack.plans.tabular import EVENTS, LOG_SQL, NULL_KEY_SQL, events_with_null_key, read_training_log
 from tamarack.plans.views import labelled, matches, players, with_views
 from tamarack.session import materialize, scratch_path
 from tamarack.streaming import incremental as inc
@@ -196,15 +196,16 @@ def training_curve(t: Tables):
 # -------------------------------------------------------------- streaming
 
 
-@query("incremental_append_stream", "SELECT event_id, user_id, event_type, value FROM events")
+@query("incremental_append_stream", NULL_KEY_SQL)
 def incremental_append_stream(t: Tables):
     """The whole table arrives as a stream, twice, on top of a part already known."""
-    events = t("events")
-    path = scratch_path(t.spark, "history")
+    events = events_with_null_key(t)
+    path, arriving = scratch_path(t.spark, "history"), scratch_path(t.spark, "arriving")
     known = events.filter(F.col("ts") < F.lit("2024-01-20 00:00:00").cast("timestamp"))
-    inc.start_history(known.select(*EVENTS), path)
+    inc.start_history(known.select(*EVENTS), path, "event_id", buckets=8)
+    events.select(*EVENTS).write.parquet(arriving)
     for _ in range(2):
-        stream = t.spark.readStream.schema(events.schema).parquet(f"{t.root}/event[s].parquet")
-        run = inc.append_stream(stream.select(*EVENTS), path, "event_id", scratch_path(t.spark, "stream"))
+        stream = t.spark.readStream.schema(events.select(*EVENTS).schema).parquet(arriving)
+        run = inc.append_stream(stream, path, "event_id", scratch_path(t.spark, "stream"))
         run.awaitTermination()
     return inc.read_history(t.spark, path)

@@ -521,10 +521,22 @@ def except_seen(t: Tables):
 EVENTS = ["event_id", "user_id", "event_type", "value"]
 
 
-@query("incremental_append", "SELECT event_id, user_id, event_type, value FROM events")
+NULL_KEY_SQL = (
+    "SELECT nullif(event_id, (SELECT max(event_id) FROM events)) AS event_id, user_id, event_type, value FROM events"
+)
+
+
+def events_with_null_key(t: Tables):
+    """All events; the last one has lost its key."""
+    events = t("events")
+    last = F.broadcast(events.agg(F.max("event_id").alias("__last")))  # one row
+    return events.crossJoin(last).withColumn("event_id", F.nullif("event_id", "__last")).drop("__last")
+
+
+@query("incremental_append", NULL_KEY_SQL)
 def incremental_append(t: Tables):
     """Two overlapping deliveries, the second one delivered twice."""
-    events = t("events")
+    events = events_with_null_key(t)
     first = F.lit("2024-01-20 00:00:00").cast("timestamp")
     second = F.lit("2024-01-10 00:00:00").cast("timestamp")
     history = events.filter(F.col("ts") < first).select(*EVENTS)

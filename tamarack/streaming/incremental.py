@@ -4,21 +4,44 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tamarack.operators.tabular import anti_join_seen, one_per_key
 
+# A history is foldered by the number of its buckets, the bucket of the key, and the batch.
+FOLDERS = ["of", "bucket", "part"]
 
-def start_history(history: DataFrame, path: str) -> None:
-    """Write the rows known so far as the first part of a history."""
-    history.withColumn("part", F.lit("start")).write.partitionBy("part").parquet(path)
+
+def _bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def _write(rows: DataFrame, path: str, key: str, buckets: int, part: str) -> None:
+    """Write rows as one part; a part written before is replaced."""
+    placed = rows.withColumns({"of": F.lit(buckets), "bucket": _bucket(key, buckets), "part": F.lit(part)})
+    # One file per bucket and part: a bucket is read as a whole.
+    writer = placed.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*FOLDERS).parquet(path)
+
+
+def start_history(history: DataFrame, path: str, key: str, buckets: int = 64) -> None:
+    """Write the rows known so far, in folders by the hash of ``key``."""
+    _write(history, path, key, buckets, "start")
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
     """All rows appended so far."""
-    return spark.read.parquet(path).drop("part")
+    return spark.read.parquet(path).drop(*FOLDERS)
+
+
+def seen_rows(spark: SparkSession, path: str, batch: DataFrame, key: str, but: str) -> tuple[DataFrame, int]:
+    """Rows of the history in the buckets that ``batch`` touches, without part ``but``, and the bucket count."""
+    history = spark.read.parquet(path)
+    buckets = history.select("of").first()[0]  # a folder's name: no file is read
+    touched = [r[0] for r in batch.select(_bucket(key, buckets)).distinct().collect()]  # at most `buckets` numbers
+    return history.filter(F.col("bucket").isin(touched) & (F.col("part") != but)), buckets
 
 
 def append_stream(stream: DataFrame, path: str, key: str, checkpoint: str) -> StreamingQuery:
@@ -26,16 +49,15 @@ def append_stream(stream: DataFrame, path: str, key: str, checkpoint: str) -> St
 
     Each micro-batch writes a part of its own, named after the checkpoint and
     the batch. When a batch is run again after a failure it compares with all
-    parts but its own and replaces that, so every key is stored once. Only the
-    key column of the history is read.
+    parts but its own and replaces that, so every key, NULL included, is stored
+    once. Only the key column of the buckets that the batch touches is read.
     """
     stream_name = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def append(batch: DataFrame, batch_id: int) -> None:
         part = f"{stream_name}-{batch_id}"
-        others = batch.sparkSession.read.parquet(path).filter(F.col("part") != part)
-        fresh = anti_join_seen(one_per_key(batch, key), others, key)
-        fresh.write.mode("overwrite").parquet(f"{path}/part={part}")
+        seen, buckets = seen_rows(batch.sparkSession, path, batch, key, part)
+        _write(anti_join_seen(one_per_key(batch, key), seen, key), path, key, buckets, part)
 
     writer = stream.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()

@@ -45,7 +45,8 @@ def test_confusion(scored):
 
 
 def test_report(scored):
-    got = {r.label: r for r in me.classification_report(scored, "y", "p", names={"a": "A!"}).collect()}
+    names = scored.sparkSession.createDataFrame([("a", "A!")], "label string, name string")
+    got = {r.label: r for r in me.classification_report(scored, "y", "p", names=names).collect()}
     assert set(got) == {"A!", "b", "c", "accuracy", "macro avg", "weighted avg"}
     assert (got["A!"].precision, got["A!"].recall, got["A!"].support) == (0.75, 0.75, 4)
     assert (got["c"].precision, got["c"].recall, got["c"].f1) == (0, 0, 0)  # never predicted

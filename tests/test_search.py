@@ -83,8 +83,8 @@ def test_informative_terms(spark):
 
 def test_saved_index(spark, docs, tmp_path):
     path = str(tmp_path / "saved")
-    ix.save_index(ix.build_index(docs), path, buckets=4)
-    loaded = ix.load_index(spark, path, buckets=4)
+    ix.save_index(ix.build_index(docs), path, buckets=8)
+    loaded = ix.load_index(spark, path)
     q = spark.createDataFrame([(1, "fish red", "or", True)], "qid int, text string, mode string, ranked boolean")
     got = se.search_batch(loaded, q).collect()
     assert got == se.search_batch(ix.build_index(docs), q).collect() and len(got) == 2

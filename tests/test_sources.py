@@ -1,3 +1,5 @@
+import re
+
 from tamarack.operators import index as ix
 from tamarack.sources import readers, sinks
 from tamarack.streaming import incremental as inc
@@ -59,7 +61,7 @@ def test_saved_index_reads_one_bucket(spark, tmp_path):
     docs = spark.createDataFrame([(1, "a b"), (2, "b c")], "doc_id bigint, text string")
     path = str(tmp_path / "index")
     sinks.write_index(ix.index_sorted(ix.token_doc_pairs(docs)), path, buckets=4)
-    found = ix.read_index(spark, path, "b", buckets=4)
+    found = ix.read_index(spark, path, "b")
     assert found.first().doc_ids == [1, 2] and found.count() == 1
     assert len(found.inputFiles()) <= len(ix.read_index(spark, path).inputFiles())
 
@@ -67,7 +69,7 @@ def test_saved_index_reads_one_bucket(spark, tmp_path):
 def test_stream_append(spark, tmp_path):
     history, source = str(tmp_path / "history"), tmp_path / "in"
     schema = "k bigint, v string"
-    inc.start_history(spark.createDataFrame([(1, "old")], schema), history)
+    inc.start_history(spark.createDataFrame([(1, "old")], schema), history, "k", buckets=4)
 
     def run(checkpoint):
         stream = spark.readStream.schema(schema).parquet(str(source))
@@ -76,6 +78,24 @@ def test_stream_append(spark, tmp_path):
 
     spark.createDataFrame([(1, "new"), (2, "b"), (2, "b")], schema).write.parquet(str(source))
     assert run("c1") == [(1, "old"), (2, "b")]
-    spark.createDataFrame([(3, "c")], schema).write.mode("append").parquet(str(source))
-    assert run("c1") == [(1, "old"), (2, "b"), (3, "c")]
-    assert run("c2") == [(1, "old"), (2, "b"), (3, "c")]  # another stream over the same files
+    spark.createDataFrame([(3, "c"), (4, None)], schema).write.mode("append").parquet(str(source))
+    assert run("c1") == [(1, "old"), (2, "b"), (3, "c"), (4, None)]
+    assert run("c2") == [(1, "old"), (2, "b"), (3, "c"), (4, None)]  # another stream over the same files
+
+
+def test_stream_null_key_and_pruning(spark, tmp_path):
+    history, source = str(tmp_path / "history"), str(tmp_path / "in")
+    schema = "k bigint, v string"
+    inc.start_history(spark.createDataFrame([(i, "old") for i in range(40)], schema), history, "k", buckets=16)
+    spark.createDataFrame([(None, "x"), (7, "new")], schema).write.parquet(source)
+    for checkpoint in ("c1", "c2"):
+        stream = spark.readStream.schema(schema).parquet(source)
+        inc.append_stream(stream, history, "k", str(tmp_path / checkpoint)).awaitTermination()
+        rows = inc.read_history(spark, history)
+        assert rows.count() == 41 and rows.filter("k IS NULL").count() == 1
+    batch = spark.createDataFrame([(7, "again")], schema)
+    seen, buckets = inc.seen_rows(spark, history, batch, "k", "none")
+    assert buckets == 16
+    assert re.search(r"PartitionFilters: \[[^\]]*bucket", seen._jdf.queryExecution().toString())
+    touched = batch.select(inc._bucket("k", buckets)).first()[0]
+    assert [r.bucket for r in seen.select("bucket").distinct().collect()] == [touched]
