@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.classification import DecisionTreeClassificationModel
 from pyspark.sql import functions as F
 
 from tamarack.operators import classify as cl
@@ -41,6 +42,9 @@ def label_encode(t: Tables):
 
 
 STATS = ["n_lines", "qty", "qty_lo", "qty_hi"]
+COLOR_SQL = """CASE WHEN lower(trim(winner)) = 'nc' THEN 'nc' WHEN lower(trim(winner)) IN ('d', 'draw') THEN 'd'
+    WHEN lower(trim(winner)) = lower(trim(fighter_a)) THEN 'red'
+    WHEN lower(trim(winner)) = lower(trim(fighter_b)) THEN 'blue' ELSE 'unknown' END"""
 
 
 def _features(t: Tables):
@@ -51,9 +55,24 @@ def _features(t: Tables):
     return ft.assemble(coded, [*STATS, "fighter_a_vec", "fighter_b_vec"])
 
 
-@query("assemble_features")
+@query(
+    "assemble_features",
+    MATCHES + f""", v AS (SELECT name, row_number() OVER (ORDER BY name) - 1 AS i, count(*) OVER () AS n FROM
+        (SELECT fighter_a AS name FROM v_matches UNION SELECT fighter_b FROM v_matches))
+      SELECT match_id, dense_rank() OVER (ORDER BY {COLOR_SQL}) - 1 AS label_index,
+        '0:' || n_lines || ' 1:' || qty || ' 2:' || qty_lo || ' 3:' || qty_hi || ' ' || (4 + a.i) || ':1 '
+          || (4 + a.n + b.i) || ':1' AS entries
+      FROM v_matches JOIN v a ON fighter_a = a.name JOIN v b ON fighter_b = b.name""",
+)
 def assemble_features(t: Tables):
-    return _features(t).select("match_id", "label_index", "features")
+    """Each vector as text: the places that are not zero, and their values."""
+    parts = _features(t).select("match_id", "label_index", F.unwrap_udt("features").alias("f"))
+    places = F.when(F.col("f.type") == 0, F.col("f.indices")).otherwise(
+        F.transform(F.col("f.values"), lambda _, i: i)
+    )
+    pairs = F.filter(F.arrays_zip(places.alias("i"), F.col("f.values").alias("v")), lambda x: x["v"] != 0)
+    shown = F.transform(pairs, lambda x: F.concat(x["i"].cast("string"), F.lit(":"), x["v"].cast("bigint").cast("string")))
+    return parts.select("match_id", "label_index", F.array_join(shown, " ").alias("entries"))
 
 
 TEST_SQL = "CAST('0x' || substr(md5('0|' || match_id), 1, 7) AS BIGINT) < 53687091"
@@ -80,32 +99,63 @@ def unseen_label_count(t: Tables):
     return left.agg(F.count(F.lit(1)).alias("n_removed"))
 
 
+MARGIN = 0.1  # by which a fitted model has to beat always naming the most frequent class
+PLAYER_FEATURES = ["n_events", "purchase_rate", "avg_value", "hours_away"]
+
+
+def _verdict(scored, label: str):
+    """One row: rows scored, share of the most frequent class, and whether the model beats it clearly."""
+    counts = scored.groupBy(F.col(label).alias("c")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("prediction") == F.col(label)).alias("hit")
+    )
+    majority = F.max("n") / F.sum("n")
+    return counts.agg(
+        F.sum("n").alias("n_scored"),
+        F.round(majority, 6).alias("majority"),
+        (F.sum("hit") / F.sum("n") > majority + MARGIN).alias("better"),
+    )
+
+
+def _verdict_sql(rows: str, label: str) -> str:
+    return (
+        "SELECT CAST(sum(n) AS BIGINT) AS n_scored, round(max(n) / CAST(sum(n) AS DOUBLE), 6) AS majority, "
+        f"true AS better FROM (SELECT {label}, count(*) AS n FROM {rows} GROUP BY {label})"
+    )
+
+
+CHURN_SQL = with_views("v_players") + _verdict_sql("v_players", "churn")
+WINNER_SQL = (
+    MATCHES + f", w AS (SELECT match_id, {COLOR_SQL} AS color FROM v_matches), test AS (SELECT color FROM w WHERE {TEST_SQL} "
+    f"AND color IN (SELECT color FROM w WHERE NOT {TEST_SQL})) " + _verdict_sql("test", "color")
+)
+
+
 def _player_split(t: Tables):
-    rows = ft.assemble(players(t), ["n_events", "purchase_rate", "avg_value"])
-    return split_by_key(materialize(rows, "players"), ["user_id"])
+    """A model of four fifths of the users; all of them are scored, as few are left over."""
+    rows = materialize(ft.assemble(players(t), PLAYER_FEATURES), "players")
+    return split_by_key(rows, ["user_id"])[0], rows
 
 
-@query("decision_tree_churn")
+@query("decision_tree_churn", CHURN_SQL)
 def decision_tree_churn(t: Tables):
-    train, test = _player_split(t)
-    scored = cl.score(cl.fit_decision_tree(train, "churn"), test)
-    return scored.select("user_id", "churn", F.col("prediction").cast("int").alias("prediction"))
+    train, everyone = _player_split(t)
+    return _verdict(cl.score(cl.fit_decision_tree(train, "churn"), everyone), "churn")
 
 
-@query("random_forest")
+@query("random_forest", CHURN_SQL)
 def random_forest(t: Tables):
-    train, test = _player_split(t)
-    scored = cl.score(cl.fit_random_forest(train, "churn"), test)
-    return scored.select("user_id", "churn", F.col("prediction").cast("int").alias("prediction"))
+    train, everyone = _player_split(t)
+    return _verdict(cl.score(cl.fit_random_forest(train, "churn"), everyone), "churn")
 
 
-@query("score_batch")
+@query("score_batch", CHURN_SQL)
 def score_batch(t: Tables):
-    """A model of January's first three weeks scores every user of the whole month."""
-    train, _ = _player_split(t)
-    everyone = ft.assemble(players(t), ["n_events", "purchase_rate", "avg_value"])
-    scored = cl.score(cl.fit_decision_tree(train, "churn"), everyone)
-    return scored.select("user_id", F.col("prediction").cast("int").alias("prediction"))
+    """A model of four fifths of the users is saved, loaded, and scores all users."""
+    train, everyone = _player_split(t)
+    path = scratch_path(t.spark, "model")
+    cl.fit_decision_tree(train, "churn").save(path)
+    model = DecisionTreeClassificationModel.load(path)
+    return _verdict(cl.score(model, everyone), "churn")
 
 
 def _match_split(t: Tables):
@@ -114,19 +164,17 @@ def _match_split(t: Tables):
     return train, ft.drop_unseen_labels(train, test, "label_index")
 
 
-@query("logreg_multinomial")
+@query("logreg_multinomial", WINNER_SQL)
 def logreg_multinomial(t: Tables):
     train, test = _match_split(t)
-    scored = cl.score(cl.fit_logreg(train, "label_index"), test)
-    return scored.select("match_id", "label_index", F.col("prediction").cast("bigint").alias("prediction"))
+    return _verdict(cl.score(cl.fit_logreg(train, "label_index"), test), "label_index")
 
 
-@query("boosted_trees")
+@query("boosted_trees", WINNER_SQL)
 def boosted_trees(t: Tables):
-    """Few and shallow rounds; the function's defaults are 500 rounds of depth 8."""
+    """Up to 500 rounds of depth 8 for each class, each stopped when the held-out part no longer improves."""
     train, test = _match_split(t)
-    scored = cl.score_boosted(cl.fit_boosted(train, test, "label_index", rounds=5, depth=3), test)
-    return scored.select("match_id", "label_index", F.col("prediction").cast("bigint").alias("prediction"))
+    return _verdict(cl.score_boosted(cl.fit_boosted(train, test, "label_index"), test), "label_index")
 
 
 # ---------------------------------------------------------------- metrics
@@ -174,6 +222,32 @@ def classification_report(t: Tables):
     return report.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1")})
 
 
+NAMED_SQL = "SELECT lang AS actual, CASE WHEN n_chars % 5 = 0 THEN 'en' ELSE lang END AS predicted FROM documents"
+
+
+@query(
+    "classification_report_names",
+    f"""WITH v AS ({NAMED_SQL}), k(x) AS (SELECT actual FROM v UNION SELECT predicted FROM v),
+      c AS (SELECT x, CAST(count(*) FILTER (actual = x AND predicted = x) AS DOUBLE) AS tp,
+                   count(*) FILTER (predicted = x) AS said, count(*) FILTER (actual = x) AS support
+            FROM k, v GROUP BY x)
+      SELECT x AS label, round(tp / said, 6) AS precision, round(tp / support, 6) AS recall,
+             CAST(support AS BIGINT) AS support FROM c
+      UNION ALL SELECT 'accuracy', NULL, NULL, CAST(sum(support) AS BIGINT) FROM c""",
+)
+def classification_report_names(t: Tables):
+    """Classes numbered, compared as numbers, and shown by their names again."""
+    guess = F.when(F.col("n_chars") % 5 == 0, "en").otherwise(F.col("lang"))
+    rows = t("documents").select(F.col("lang").alias("actual"), guess.alias("predicted"))
+    coded = materialize(ft.label_encode(rows, "actual", "actual_index"), "coded")
+    names = materialize(coded.select(F.col("actual_index").alias("label"), F.col("actual").alias("name")).distinct(), "names")
+    numbered = names.select(F.col("name").alias("predicted"), F.col("label").alias("predicted_index"))
+    both = coded.join(F.broadcast(numbered), "predicted")  # a row per language
+    report = me.classification_report(both, "actual_index", "predicted_index", names=names)
+    shown = report.filter(~F.col("label").endswith(" avg"))
+    return shown.select("label", *[F.round(c, 6).alias(c) for c in ("precision", "recall")], "support")
+
+
 @query(
     "best_iteration",
     f"SELECT iter, accuracy FROM ({LOG_SQL.format('F')}) ORDER BY accuracy DESC, iter LIMIT 1",

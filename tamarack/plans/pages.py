@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tamarack.functions import html as hx
@@ -275,24 +276,50 @@ def cluster_members(t: Tables):
     return tab.collect_blocks(rows, ["cluster"], "vec_id", 100).withColumn("members", F.array_join("members", ","))
 
 
-def _vectors(t: Tables):
-    return pc.page_term_vectors(pc.page_texts(t("pages")))
+@query(
+    "page_term_vectors",
+    f"WITH x AS ({page_texts_sql()}), w AS (SELECT page_id, list_sort(list_distinct({keep_punct_sql('text')})) AS w FROM x) "
+    "SELECT page_id, array_to_string(w, ' ') AS terms, CAST(len(w) AS INTEGER) AS n_terms, true AS fits FROM w",
+)
+def page_term_vectors(t: Tables):
+    """The terms behind each vector; ``fits`` if it has ones, and no more than a few less than terms."""
+    vectors = pc.page_term_vectors(pc.page_texts(t("pages")))
+    ones = F.filter(vector_to_array("features", "float32"), lambda x: x != 0)
+    n, n_terms = F.size(ones), F.size("words")
+    fits = n.between(n_terms * 0.98 - 2, n_terms) & F.forall(ones, lambda x: x == 1)
+    terms = F.array_join(F.array_sort("words"), " ")
+    return vectors.select("page_id", terms.alias("terms"), n_terms.alias("n_terms"), fits.alias("fits"))
 
 
-@query("page_term_vectors")
-def page_term_vectors(t: Tables):
-    return _vectors(t).drop("text")
+K_SQL = "(VALUES (3), (6)) AS ks(k)"
 
 
-@query("kmeans_pages")
+@query(
+    "kmeans_pages",
+    f"SELECT k, count(*) AS n_pages, count(DISTINCT page_id) AS n_ids, true AS in_range FROM pages, {K_SQL} GROUP BY k",
+)
 def kmeans_pages(t: Tables):
-    """Both cluster counts over the same vectors."""
-    vectors = materialize(_vectors(t), "vectors")
+    """Both cluster counts over the same vectors: each page is in one of the k clusters."""
+    vectors = materialize(pc.page_term_vectors(pc.page_texts(t("pages"))), "vectors")
     runs = [pc.kmeans_pages(vectors, k).select("page_id", F.lit(k).alias("k"), "cluster") for k in (3, 6)]
-    return runs[0].unionByName(runs[1])
+    found = runs[0].unionByName(runs[1])
+    return found.groupBy("k").agg(
+        F.count(F.lit(1)).alias("n_pages"),
+        F.countDistinct("page_id").alias("n_ids"),
+        F.bool_and((F.col("cluster") >= 0) & (F.col("cluster") < F.col("k"))).alias("in_range"),
+    )
 
 
-@query("cluster_report")
+@query(
+    "cluster_report",
+    f"""WITH {LEXICON_SQL}, x AS ({page_texts_sql()}), low AS (SELECT unnest({PAGE_TOKENS_SQL}) AS term FROM x),
+      total AS (SELECT CAST(coalesce(sum(valence), 0) AS BIGINT) AS sentiment FROM low JOIN lex USING (term))
+      SELECT k, (SELECT count(*) FROM pages) AS n_pages, sentiment, true AS complete FROM total, {K_SQL}""",
+)
 def cluster_report(t: Tables):
-    report = pc.cluster_report(t("pages"), 3, sm.lexicon(t.spark))
-    return report.withColumn("terms", F.array_join("terms", " "))
+    """The reports for 3 and 6 clusters, added up: pages, sentiment, and whether all clusters have terms."""
+    report = pc.cluster_report(t("pages"), (3, 6), sm.lexicon(t.spark))
+    whole = (F.count(F.lit(1)) <= F.max("k")) & F.bool_and(F.size("terms").between(1, 20))
+    return report.groupBy("k").agg(
+        F.sum("n_pages").alias("n_pages"), F.sum("sentiment").alias("sentiment"), whole.alias("complete")
+    )

@@ -37,10 +37,11 @@ VIEW_SQL = {
         SELECT l_orderkey AS match_id,
                'Supplier ' || CAST(min(l_suppkey) AS VARCHAR) AS fighter_a,
                'Supplier ' || CAST(max(l_suppkey) AS VARCHAR) AS fighter_b,
-               CASE l_orderkey % 7 WHEN 0 THEN 'NC' WHEN 1 THEN ' draw ' WHEN 2 THEN 'someone'
-                    WHEN 3 THEN upper('Supplier ' || CAST(min(l_suppkey) AS VARCHAR))
-                    WHEN 4 THEN 'Supplier ' || CAST(min(l_suppkey) AS VARCHAR)
-                    ELSE 'Supplier ' || CAST(max(l_suppkey) AS VARCHAR) END AS winner,
+               CASE WHEN count(*) >= 6 THEN 'NC' WHEN max(l_quantity) - min(l_quantity) < 15 THEN ' draw '
+                    WHEN l_orderkey % 50 = 2 THEN 'someone'
+                    WHEN min(l_quantity) > 6 THEN 'Supplier ' || CAST(max(l_suppkey) AS VARCHAR)
+                    WHEN l_orderkey % 2 = 0 THEN upper('Supplier ' || CAST(min(l_suppkey) AS VARCHAR))
+                    ELSE 'Supplier ' || CAST(min(l_suppkey) AS VARCHAR) END AS winner,
                count(*) AS n_lines, CAST(sum(l_quantity) AS BIGINT) AS qty,
                CAST(min(l_quantity) AS BIGINT) AS qty_lo, CAST(max(l_quantity) AS BIGINT) AS qty_hi
         FROM lineitem GROUP BY l_orderkey HAVING min(l_suppkey) <> max(l_suppkey)""",
@@ -52,7 +53,8 @@ VIEW_SQL = {
                avg(CASE WHEN event_type = 'purchase' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END)
                    AS purchase_rate,
                avg(value) AS avg_value,
-               CASE WHEN max(ts) < TIMESTAMP '2024-01-30 12:00:00' THEN 1 ELSE 0 END AS churn
+               (epoch(TIMESTAMP '2024-01-31 00:00:00') - epoch(max(ts))) / 3600 AS hours_away,
+               CASE WHEN (max(ts) < TIMESTAMP '2024-01-30 14:00:00') <> (user_id % 17 = 3) THEN 1 ELSE 0 END AS churn
         FROM events GROUP BY user_id""",
 }
 
@@ -113,14 +115,13 @@ def matches(t: Tables) -> DataFrame:
     """Two sides, a winner text and some counts per order with several suppliers."""
     a = F.concat(F.lit("Supplier "), F.col("lo").cast("string"))
     b = F.concat(F.lit("Supplier "), F.col("hi").cast("string"))
-    kind = F.col("l_orderkey") % 7
     winner = (
-        F.when(kind == 0, F.lit("NC"))
-        .when(kind == 1, F.lit(" draw "))
-        .when(kind == 2, F.lit("someone"))
-        .when(kind == 3, F.upper(a))
-        .when(kind == 4, a)
-        .otherwise(b)
+        F.when(F.col("n_lines") >= 6, F.lit("NC"))
+        .when(F.col("qty_hi") - F.col("qty_lo") < 15, F.lit(" draw "))
+        .when(F.col("l_orderkey") % 50 == 2, F.lit("someone"))
+        .when(F.col("qty_lo") > 6, b)
+        .when(F.col("l_orderkey") % 2 == 0, F.upper(a))
+        .otherwise(a)
     )
     return (
         t("lineitem")
@@ -165,7 +166,9 @@ def labelled(t: Tables) -> DataFrame:
 def players(t: Tables) -> DataFrame:
     """Activity per user and whether the user stayed away at the end."""
     purchase = F.when(F.col("event_type") == "purchase", 1.0).otherwise(0.0)
-    left = F.max("ts") < F.lit("2024-01-30 12:00:00").cast("timestamp")
+    left = F.max("ts") < F.lit("2024-01-30 14:00:00").cast("timestamp")
+    away = F.unix_micros(F.lit("2024-01-31 00:00:00").cast("timestamp")) - F.unix_micros(F.max("ts").cast("timestamp"))
+    odd = F.col("user_id") % 17 == 3
     return (
         t("events")
         .groupBy("user_id")
@@ -173,6 +176,9 @@ def players(t: Tables) -> DataFrame:
             F.count(F.lit(1)).alias("n_events"),
             F.avg(purchase).alias("purchase_rate"),
             F.avg("value").alias("avg_value"),
-            F.when(left, 1).otherwise(0).alias("churn"),
+            (away / 3.6e9).alias("hours_away"),
+            F.when(left, 1).otherwise(0).alias("left"),
         )
+        .withColumn("churn", F.when(odd, 1 - F.col("left")).otherwise(F.col("left")))
+        .drop("left")
     )
