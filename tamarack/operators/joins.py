@@ -18,16 +18,16 @@ SPREAD = 4096
 def fits_broadcast(
     df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> bool:
-    """Measure whether ``df`` is small, by distributed sums over all of it."""
-    if df.count() > max_rows:
-        return False
-    return (df.agg(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0] or 0) <= max_bytes
+    """Measure whether ``df`` is small, in one pass over no more rows than may be broadcast."""
+    seen = df.limit(max_rows + 1)
+    n, size = seen.agg(F.count(F.lit(1)), F.sum(F.length(F.to_json(F.struct("*"))))).first()
+    return n <= max_rows and (size or 0) <= max_bytes
 
 
 def join_small(
     facts: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner", salts: int = 32
 ) -> DataFrame:
-    """Broadcast ``small`` after measuring it, else join with salted keys."""
+    """Broadcast ``small`` after measuring it, else join with hot keys dealt out."""
     if fits_broadcast(small):
         return facts.join(F.broadcast(small), list(on), how)
     return join_salted(facts, small, on, how, salts)
@@ -36,16 +36,21 @@ def join_small(
 def join_salted(
     facts: DataFrame, other: DataFrame, on: Sequence[str], how: str = "inner", salts: int = 32
 ) -> DataFrame:
-    """Equi-join in which every key of ``facts`` is dealt out to ``salts`` tasks.
+    """Equi-join in which every hot key of ``facts`` is dealt out to ``salts`` tasks.
 
-    ``other`` is repeated once per salt. ``how`` is inner, left, left_semi or
-    left_anti: each fact row meets exactly one copy of ``other``.
+    Only the rows of ``other`` that have a hot key are repeated, once per salt; all
+    others travel once. ``how`` is inner, left, left_semi or left_anti: each fact row
+    meets exactly one copy of ``other``.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"join_salted cannot do {how}")
+    counts = materialize(facts.groupBy(*on).agg(F.count(F.lit(1)).alias("n")), "counts")
+    hot = F.broadcast(hot_keys(counts, on).withColumn("__hot", F.lit(True)))  # at most HOT_SHARE rows
     rest = [c for c in facts.columns if c not in on] or list(on)
-    dealt = facts.withColumn("__salt", F.pmod(F.xxhash64(*rest), F.lit(salts)).cast("int"))
-    copies = other.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*rest), F.lit(salts)).cast("int")).otherwise(F.lit(0))
+    dealt = facts.join(hot, list(on), "left").withColumn("__salt", salt).drop("__hot")
+    every = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    copies = other.join(hot, list(on), "left").withColumn("__salt", F.explode(every)).drop("__hot")
     return dealt.join(copies, [*on, "__salt"], how).drop("__salt")
 
 

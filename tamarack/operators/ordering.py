@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from tamarack.session import materialize
 
 _SLICE = "__slice"
+SLICE_ROWS = 4_000_000  # rows of a slice, about, where there are more than the session's partitions hold
 
 
-def _partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _slices(rows: DataFrame) -> int:
+    """As many as the session's partitions, or more where the rows ask for it."""
+    wanted = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(wanted, -(-rows.count() // SLICE_ROWS))
 
 
 def running_total(
@@ -33,7 +36,9 @@ def running_total(
     """
     by = list(by)
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    ranged = df.repartitionByRange(_partitions(df), *[F.col(c) for c in by], *order)
+    # Written first: the range bounds are sampled in a pass of their own, and counting is free.
+    rows = materialize(df, "unsorted")
+    ranged = rows.repartitionByRange(_slices(rows), *[F.col(c) for c in by], *order)
     # The slice number must not change between the two uses below.
     ranged = materialize(ranged.withColumn(_SLICE, F.spark_partition_id()), "ranged")
 

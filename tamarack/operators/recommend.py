@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamarack.operators.joins import join_lookup
+from tamarack.operators.ordering import row_index
 from tamarack.session import materialize, scratch_root
 
 _SCALE = 1 << 28
@@ -79,6 +80,12 @@ def bias_only_rmse(train: DataFrame, test: DataFrame) -> DataFrame:
     return rmse(join_means(test, train).withColumn("prediction", baseline(train)))
 
 
+def number_ids(df: DataFrame, key: str) -> DataFrame:
+    """``(key, number)``: the distinct values of a column, numbered from 0 in their order."""
+    known = df.select(key).filter(F.col(key).isNotNull()).distinct()
+    return materialize(row_index(known, [key], "number"), "ids")
+
+
 def als_rmse(
     train: DataFrame,
     test: DataFrame,
@@ -90,8 +97,8 @@ def als_rmse(
 ) -> DataFrame:
     """Error of alternating least squares; with ``bias`` it learns the interaction only.
 
-    Ids must be integers in the 32-bit range, as MLlib asks. Pairs with a user
-    or item the model does not know are left out.
+    Ids of any type and size: users and items are numbered first, as MLlib asks for
+    32-bit integers. Pairs with a user or item that is not in ``train`` are left out.
     """
     scratch_root(train.sparkSession)  # ALS cuts its lineage there on long runs
     target = "user_item_interaction" if bias else "rating"
@@ -99,18 +106,22 @@ def als_rmse(
     if bias:
         learn = join_means(train, train).withColumn(target, F.col("rating") - baseline(train))
         test = join_means(test, train)
-    learn = materialize(learn.select("user", "item", F.col(target).cast("float").alias(target)), "als")
+    learn = learn.select("user", "item", F.col(target).cast("float").alias(target))
+    for key in ("user", "item"):
+        numbers = number_ids(train, key)
+        numbers = numbers.select(key, F.col("number").cast("int").alias(f"{key}_number"))
+        learn, test = join_lookup(learn, numbers, [key]), join_lookup(test, numbers, [key])
     als = ALS(
         maxIter=max_iter,
         rank=rank,
         regParam=reg,
         seed=seed,
-        userCol="user",
-        itemCol="item",
+        userCol="user_number",
+        itemCol="item_number",
         ratingCol=target,
         coldStartStrategy="drop",
     )
-    scored = als.fit(learn).transform(test)
+    scored = als.fit(materialize(learn, "als")).transform(test)
     if bias:
         scored = scored.withColumn("prediction", F.col("prediction") + baseline(train))
     return rmse(scored)

@@ -21,6 +21,11 @@ VIEW_SQL = {
     "v_ratings": """
         SELECT o_custkey AS "user", l_partkey AS item, avg(l_quantity) / 10 AS rating
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey, l_partkey""",
+    "v_taste": """
+        SELECT "user", item, rating + ("user" % 7) * 0.4 + (item % 5) * 0.3
+               + CASE WHEN "user" % 3 = item % 3 THEN 1 ELSE 0 END AS rating
+        FROM (SELECT 5000000000 + o_custkey % 97 AS "user", l_partkey % 61 AS item, avg(l_quantity) / 100 AS rating
+              FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL)""",
     "v_tips": """
         SELECT l_orderkey AS orderkey, l_returnflag AS flag, p_size AS ord_size,
                CASE WHEN l_orderkey % 50 = 0 THEN NULL ELSE l_extendedprice END AS price,
@@ -79,6 +84,19 @@ def ratings(t: Tables) -> DataFrame:
     )
 
 
+def taste(t: Tables) -> DataFrame:
+    """Ratings with effects of the user, of the item and of both; user ids beyond 32 bits."""
+    user, item = F.lit(5_000_000_000) + F.col("o_custkey") % 97, F.col("l_partkey") % 61
+    both = F.when(F.col("user") % 3 == F.col("item") % 3, 1).otherwise(0)
+    means = (
+        t("lineitem")
+        .join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        .groupBy(user.alias("user"), item.alias("item"))
+        .agg((F.avg("l_quantity") / 100).alias("rating"))
+    )
+    return means.withColumn("rating", F.col("rating") + (F.col("user") % 7) * 0.4 + (F.col("item") % 5) * 0.3 + both)
+
+
 def tips(t: Tables) -> DataFrame:
     """A table with nominal, ordinal, interval and ratio columns, one with gaps."""
     return (
