@@ -3,6 +3,9 @@ import re
 
 import pytest
 
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
 from tamarack.operators import index as ix
 from tamarack.operators import search as se
 
@@ -93,3 +96,22 @@ def test_saved_index(spark, docs, tmp_path):
     assert {(r.term, r.doc_id) for r in found.collect()} == {("fish", 1), ("fish", 2)}
     plan = found._jdf.queryExecution().toString()
     assert re.search(r"PartitionFilters: \[[^\]]*bucket", plan)
+
+
+def test_fewer_rows_than_queries_times_documents(spark):
+    rows = [(i, "common other " + ("rare " if i % 40 == 0 else "") + ("odd " if i % 50 == 3 else "") + f"w{i}") for i in range(400)]
+    index = ix.build_index(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    asked = [(1, "common rare", "and", True), (2, "common other rare", "or", True), (3, "common rare odd w7", "or", True)]
+    q = spark.createDataFrame(asked, "qid int, text string, mode string, ranked boolean")
+    best = se.search_batch(index, q, k=5)
+    everything = se.match(index, q)
+    order = Window.partitionBy("qid").orderBy(*se.result_order())
+    want = everything.withColumn("rank", F.row_number().over(order)).filter("rank <= 5")
+    assert sorted(best.select("qid", "rank", "doc_id", "score").collect()) == sorted(
+        want.select("qid", F.col("rank").cast("long"), "doc_id", "score").collect()
+    )
+    assert se.match(index, q, k=5).count() < everything.count() < 3 * 400
+    hits, terms = index.postings, se.query_terms(q)
+    weights = se._weights(hits, terms, F.lit(400.0), F.lit(4.0), se.K1, se.B)
+    looked_at = se.match_rows(hits, weights, True, se.bm25(F.col("idf"), F.col("tf"), F.col("doc_len"), F.lit(4.0), se.K1, se.B), 5)
+    assert looked_at.groupBy("qid", "doc_id").count().count() < 3 * 400 / 4
