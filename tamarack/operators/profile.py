@@ -216,6 +216,7 @@ def profile_table(
         )
     if names:
         counts = _melt(df, names, "string").groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+        counts = materialize(counts, "counts")
         modes = (
             counts.filter(F.col("value").isNotNull())
             .groupBy("feature")

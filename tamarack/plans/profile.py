@@ -251,3 +251,17 @@ def cluster_keys(t: Tables):
 )
 def cluster_keys_char(t: Tables):
     return keycluster.cluster_keys(messy(t), "text", "char")
+
+
+@query(
+    "merge_spellings",
+    MESSY
+    + _clusters_sql(f"array_to_string(list_sort(list_distinct({bigrams_sql('text')})), '')")
+    .format("v_messy")
+    .replace("SELECT v.key, variant, n, key_rows, merged FROM v JOIN m ON v.key = m.key", "")
+    + """ SELECT p_partkey, merged AS text, num FROM v_messy x JOIN v ON v.variant = x.text JOIN m ON m.key = v.key""",
+)
+def merge_spellings(t: Tables):
+    """The rows again, each name in the spelling that its cluster is merged into."""
+    rows = messy(t)
+    return keycluster.merge_spellings(rows, "text", keycluster.cluster_keys(rows, "text", "word"))
