@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -23,7 +23,8 @@ from tamarack.llm.words import WORD, utf8, word_hashes
 BUCKETS = 4096  # hashed words
 FACTORS = 8
 TRAIN_ROWS = 6000  # labelled rows that the machine is fitted on, at most
-ROUNDS = 120
+EPOCHS = 20
+BATCH = 256
 HELD_OUT_OF = 5
 THRESHOLD = 0.3
 
@@ -99,8 +100,14 @@ class Machine:
         return float(1 / (1 + np.exp(-np.clip(total, -60, 60))))
 
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray, list[float]]], labels: np.ndarray, rounds: int = ROUNDS, seed: int = 7) -> Machine:
-    """Fit by Adam on the log loss over all given rows at once.
+def fit(
+    rows: list[tuple[np.ndarray, np.ndarray, list[float]]],
+    labels: np.ndarray,
+    epochs: int = EPOCHS,
+    batch: int = BATCH,
+    seed: int = 7,
+) -> Machine:
+    """Fit by Adam on the log loss, a seeded batch of rows at a time.
 
     Without rows, or with one class only, the machine gives the share of label 1
     (one half without rows) to everything.
@@ -109,37 +116,38 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, list[float]]], labels: np.ndarr
     flat = Machine(0.0, np.zeros(width), np.zeros((width, FACTORS)), np.zeros(STRUCTURE), np.ones(STRUCTURE))
     if not rows or labels.min() == labels.max():
         share = float(labels.mean()) if rows else 0.5
-        return Machine(float(np.log((share + 1e-3) / (1 - share + 1e-3))), flat.linear, flat.factors, flat.mean, flat.scale)
+        return replace(flat, bias=float(np.log((share + 1e-3) / (1 - share + 1e-3))))
     form = np.array([r[2] for r in rows])
     mean, scale = form.mean(0), form.std(0)
     scale[scale < 1e-9] = 1.0
-    x = np.zeros((len(rows), width), np.float32)
-    for k, (at, weights, _) in enumerate(rows):
-        x[k, at] = weights
-    x[:, BUCKETS:] = np.clip((form - mean) / scale, -4, 4) / 4
-    y = labels.astype(np.float32)
+    shaped = np.clip((form - mean) / scale, -4, 4) / 4
     rng = np.random.default_rng(seed)
-    params = [np.zeros(1, np.float32), np.zeros(width, np.float32), rng.normal(0, 0.05, (width, FACTORS)).astype(np.float32)]
+    factors = rng.normal(0, 0.05, (width, FACTORS)).astype(np.float32)
+    params = [np.zeros(1, np.float32), np.zeros(width, np.float32), factors]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-    squared = x**2
     decay = (0.0, 1e-5, 1e-4)
-    for step in range(1, rounds + 1):
+    steps = [s for _ in range(epochs) for s in np.array_split(rng.permutation(len(rows)), -(-len(rows) // batch))]
+    for step, chosen in enumerate(steps, 1):
+        x = np.zeros((len(chosen), width), np.float32)
+        for k, r in enumerate(chosen):
+            x[k, rows[r][0]] = rows[r][1]
+        x[:, BUCKETS:] = shaped[chosen]
+        squared = x**2
         bias, linear, v = params
         summed = x @ v
         total = bias + x @ linear + 0.5 * (summed**2 - squared @ (v**2)).sum(1)
-        error = (1 / (1 + np.exp(-np.clip(total, -30, 30))) - y) / len(y)
+        error = ((1 / (1 + np.exp(-np.clip(total, -30, 30))) - labels[chosen]) / len(chosen)).astype(np.float32)
         grads = [
             error.sum(keepdims=True),
             x.T @ error,
             x.T @ (error[:, None] * summed) - v * (squared.T @ error)[:, None],
         ]
+        rate = 0.05 * (1 - step / (len(steps) + 1))
         for k, g in enumerate(grads):
             g = g + decay[k] * params[k]
             first[k] = 0.9 * first[k] + 0.1 * g
             second[k] = 0.999 * second[k] + 0.001 * g * g
-            params[k] = params[k] - 0.08 * (first[k] / (1 - 0.9**step)) / (
-                np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8
-            )
+            params[k] = params[k] - rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
     return Machine(float(params[0][0]), params[1].astype(float), params[2].astype(float), mean, scale)
 
 
@@ -184,16 +192,19 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, seed
                 {
                     "doc_id": frame["doc_id"],
                     "label": frame["label"],
-                    "at": [f[0].astype(np.int32) for f in found],
-                    "weights": [f[1].astype(np.float32) for f in found],
-                    "form": [f[2] for f in found],
+                    "at": [f[0].astype(np.int16).tobytes() for f in found],
+                    "weights": [f[1].astype(np.float32).tobytes() for f in found],
+                    "form": [np.array(f[2]).tobytes() for f in found],
                 }
             )
 
-    schema = "doc_id long, label int, at array<int>, weights array<float>, form array<double>"
-    rows = texts.mapInPandas(extract, schema).toPandas().sort_values("doc_id")
-    sparse = [(np.asarray(a, np.int64), np.asarray(w), list(f)) for a, w, f in zip(rows["at"], rows["weights"], rows["form"], strict=True)]
-    return fit(sparse, rows["label"].to_numpy(), seed=seed)
+    schema = "doc_id long, label int, at binary, weights binary, form binary"
+    rows = sorted(texts.mapInPandas(extract, schema).collect(), key=lambda r: r.doc_id)  # at most train_rows
+    sparse = [
+        (np.frombuffer(r.at, np.int16).astype(np.int64), np.frombuffer(r.weights, np.float32), np.frombuffer(r.form).tolist())
+        for r in rows
+    ]
+    return fit(sparse, np.array([r.label for r in rows], np.float32), seed=seed)
 
 
 def score(docs: DataFrame, machine: Machine, out: str = "score") -> DataFrame:
