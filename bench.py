@@ -40,12 +40,17 @@ HEADLINES = [
     "decision_tree_churn",
     "classification_report",
     "incremental_append_stream",
+    "random_forest",
+    "logreg_multinomial",
+    "cluster_report",
+    "search_saved_index",
+    "merge_spellings",
 ]
 
 
 def main() -> None:
     from tamarack.plans import REGISTRY
-    from tamarack.session import local_session
+    from tamarack.session import drop_scratch, local_session
 
     root = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -57,6 +62,7 @@ def main() -> None:
         start = time.perf_counter()
         REGISTRY[name].run(spark, root).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
+        drop_scratch(spark)
     scale = os.path.basename(root.rstrip("/")).removeprefix("sf")
     total = round(sum(seconds.values()), 3)
     print(json.dumps({"metric": "total_seconds", "value": total, "unit": "sec", "queries": seconds, "sf": scale}))

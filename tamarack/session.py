@@ -51,9 +51,26 @@ def scratch_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+_WRITTEN: list[str] = []  # scratch paths handed out since the last drop_scratch
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}")
+    return _WRITTEN[-1]
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the tables that this process has left in the shared folder; how many there were.
+
+    For the end of a job, or between two: results that were not written elsewhere
+    can't be read any more.
+    """
+    n = 0
+    while _WRITTEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        n += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return n
 
 
 def spread(scan: DataFrame, key: str) -> DataFrame:

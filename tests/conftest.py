@@ -9,10 +9,11 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 @pytest.fixture(scope="session")
 def spark():
-    from tamarack.session import local_session
+    from tamarack.session import drop_scratch, local_session
 
     session = local_session(8, partitions=8)
     yield session
+    drop_scratch(session)
     session.stop()
 
 

@@ -82,3 +82,17 @@ def test_models_learn(spark):
         cl.score_boosted(cl.fit_boosted(rows, rows, "y", rounds=2, depth=2), rows),
     ):
         assert me.accuracy(scored, "y", "prediction").first()[0] > 0.95
+
+
+def test_boosting_log(spark):
+    rows = spark.range(200).select(
+        (F.col("id") % 2).alias("y"), ((F.col("id") % 2) * 2 + F.rand(1)).alias("x"), F.rand(2).alias("noise")
+    )
+    rows = ft.assemble(rows, ["x", "noise"]).cache()
+    models = cl.fit_boosted(rows, rows, "y", rounds=4, depth=2)
+    log = cl.boosting_log(models, rows, "y").collect()
+    for c in (0, 1):
+        own = [r for r in log if r.label == c]
+        assert [r.iter for r in own] == list(range(models[c].getNumTrees))
+        assert [r.loss for r in own if r.is_best] == [min(r.loss for r in own)]
+        assert own[-1].loss < own[0].loss
