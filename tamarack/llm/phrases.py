@@ -4,17 +4,17 @@ A window is ``WINDOW`` consecutive words of one document. Its anchor is the phra
 ``PHRASE`` words in it with the smallest hash, so all occurrences of a window have the
 same anchor in the same place.
 
-1. Count the anchors of all documents; those that occur twice are recurring phrases.
-2. Documents are dealt into shards of bounded size. A shard's recurring phrases are
-   compiled into an Aho-Corasick automaton over its word numbers, which is run over
+1. Documents are dealt into shards of bounded size, once for all steps. Each shard tells
+   which anchors it has; those that occur twice in all are recurring phrases.
+2. A shard's recurring phrases are compiled into an Aho-Corasick automaton over its word numbers, which is run over
    every document of the shard. Where it locates the anchor of a window, the window may
    recur: its hash and first document in the shard are sent to be compared.
 3. Of each window the first document of all keeps it; the other shards are told.
 4. Words under a window that stands earlier, in the shard or elsewhere, are removed.
 
 Hashes travel as byte strings of many numbers, grouped by the part of the hash space
-that compares them. A shard sends a window once, so no part meets more rows of one
-window than there are shards, however often the window occurs.
+that compares them. A shard sends a window once (an anchor twice at most), so no part
+meets more of one window than there are shards, however often the window occurs.
 """
 
 from __future__ import annotations
@@ -158,24 +158,18 @@ def remove_repeats(
     shards = max(1, -(-size // shard_bytes))
     docs = docs.withColumn("shard", _shard_of(shards))
 
-    def count_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            home = batch.column(0).to_numpy()
-            texts = Shard(utf8(batch.column(1)), window, phrase)
-            grams, at = texts.anchors()
-            at = np.unique(at)
-            pairs = np.zeros(len(at), [("gram", np.uint64), ("shard", np.int32)])
-            pairs["gram"], pairs["shard"] = grams[at] if len(at) else 0, home[texts.text_of(at)] if len(at) else 0
-            once, n = np.unique(pairs, return_counts=True)
-            sent = np.concatenate([once, once[n > 1]])  # two tell as much as more
-            rows = [
-                (p, -1, sent["gram"][i].tobytes(), sent["shard"][i].tobytes())
-                for p, i in _split((sent["gram"] % np.uint64(shards)).astype(np.int64), shards)
-            ]
-            yield from _table(rows, _SENT).to_batches()
+    def count_anchors(texts: pa.Table) -> pa.Table:
+        shard = Shard(utf8(texts["text"].combine_chunks()), window, phrase)
+        grams, at = shard.anchors()
+        once, n = np.unique(grams[np.unique(at)], return_counts=True)
+        found = np.concatenate([once, once[n > 1]])  # two tell as much as more
+        home = texts["shard"][0].as_py()
+        part = (found % np.uint64(shards)).astype(np.int64)
+        return _table([(p, home, found[i].tobytes(), b"") for p, i in _split(part, shards)], _SENT)
 
     def recurring(table: pa.Table) -> pa.Table:
-        grams, home = _longs(table["hashes"].to_pylist()), _longs(table["docs"].to_pylist(), np.int32)
+        grams = _longs(table["hashes"].to_pylist())
+        home = np.repeat(table["shard"].to_numpy(), [len(h) // 8 for h in table["hashes"].to_pylist()])
         order = np.argsort(grams, kind="stable")
         grams, home = grams[order], home[order]
         again = np.zeros(len(grams), bool)
@@ -186,7 +180,7 @@ def remove_repeats(
 
     sent = "part int, shard int, hashes binary, docs binary"
     back = "shard int, hashes binary"
-    anchors = docs.select("shard", "text").mapInArrow(count_anchors, sent)
+    anchors = docs.groupBy("shard").applyInArrow(count_anchors, sent)
     phrases = anchors.groupBy("part").applyInArrow(recurring, back)
 
     def locate(texts: pa.Table, told: pa.Table) -> pa.Table:
