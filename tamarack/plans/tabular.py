@@ -34,6 +34,20 @@ def scan_csv_typed(t: Tables):
     return readers.read_csv_typed(t.spark, path, schema, "ISO-8859-1")
 
 
+WINDOWS_SQL = "'“' || p_name || '” œ € É ' || p_size"
+
+
+@query("scan_csv_windows", f"SELECT p_partkey, {WINDOWS_SQL} AS label FROM part")
+def scan_csv_windows(t: Tables):
+    """Letters that windows-1252 has in place of control characters."""
+    path = scratch_path(t.spark, "csv-windows")
+    label = F.concat(F.lit("“"), "p_name", F.lit("” œ € É "), F.col("p_size").cast("string"))
+    as_bytes = F.translate(label, "“”œ€", "\x93\x94\x9c\x80")
+    rows = t("part").select("p_partkey", as_bytes.alias("label"))
+    rows.write.option("header", True).option("encoding", "ISO-8859-1").csv(path)
+    return readers.read_csv_typed(t.spark, path, "p_partkey bigint, label string", "windows-1252")
+
+
 @query("scan_csv_inferred", "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer")
 def scan_csv_inferred(t: Tables):
     path = scratch_path(t.spark, "csv-inferred")
@@ -63,10 +77,9 @@ def csv_malformed_audit(t: Tables):
     )
     t("part").select(line).write.text(path)
     schema = "p_partkey bigint, p_name string, p_size int"
-    good, bad = readers.read_csv_audited(t.spark, path, schema, header=False)
-    return good.select(F.lit("good").alias("status"), F.col("p_partkey").cast("string").alias("detail")).unionAll(
-        bad.select(F.lit("bad"), "line")
-    )
+    rows = readers.read_csv_audited(t.spark, path, schema, header=False)
+    status = F.when(F.col("line").isNull(), "good").otherwise("bad")
+    return rows.select(status.alias("status"), F.coalesce("line", F.col("p_partkey").cast("string")).alias("detail"))
 
 
 @query(
@@ -183,6 +196,13 @@ def sink_table(t: Tables):
     return t.spark.read.parquet(path)
 
 
+@query("sink_table_csv", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
+def sink_table_csv(t: Tables):
+    path = scratch_path(t.spark, "table-csv")
+    sinks.write_table(t("orders").select("o_orderkey", "o_orderstatus", "o_totalprice"), path, format="csv")
+    return readers.read_csv_typed(t.spark, path, "o_orderkey bigint, o_orderstatus string, o_totalprice double")
+
+
 # ---------------------------------------------------- projections, filters
 
 
@@ -693,8 +713,8 @@ CHAR_KEY_SQL = (
     rf"'\p{{C}}', '', 'g'), '{SQL_SPACE}+', '', 'g')"
 )
 FINGERPRINT_CHAR_SQL = (
-    "translate(array_to_string(list_sort(list_distinct(list_transform(range(1, length(s)), "
-    f"lambda i: substr(s, i, 2)))), ''), '{tx.ACCENTED}', '{tx.FOLDED}')"
+    "strip_accents(array_to_string(list_sort(list_distinct(list_transform(range(1, length(s)), "
+    "lambda i: substr(s, i, 2)))), ''))"
 )
 
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tamarack.functions.html import unescape_entities
-from tamarack.session import materialize
 
 _DIFFERENT = [b for b in range(0x80, 0xA0) if bytes([b]).decode("cp1252", "ignore")]
 _WINDOWS_LETTERS = ("".join(map(chr, _DIFFERENT)), bytes(_DIFFERENT).decode("cp1252"))
@@ -37,26 +36,21 @@ def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("inferSchema", True).csv(path)
 
 
-def read_csv_audited(
-    spark: SparkSession, path: str, schema: str, header: bool = True
-) -> tuple[DataFrame, DataFrame]:
-    """CSV split into well-formed rows and the raw lines of all others."""
+def read_csv_audited(spark: SparkSession, path: str, schema: str, header: bool = True) -> DataFrame:
+    """CSV with one more column ``line``: the raw line of a row that is not well formed, else NULL.
+
+    Lazy; a caller that uses the good and the bad rows apart may want to write it first.
+    """
     wide = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
-    wide = T.StructType([*wide.fields, T.StructField("_corrupt_record", T.StringType())])
-    rows = (
+    wide = T.StructType([*wide.fields, T.StructField("line", T.StringType())])
+    return (
         spark.read.schema(wide)
         .option("header", header)
         .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt_record")
+        .option("columnNameOfCorruptRecord", "line")
         .option("columnPruning", False)  # a pruned parse would miss bad fields
         .csv(path)
     )
-    rows = materialize(rows, "audited")  # parse once; Spark also asks for this
-    good = rows.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
-    bad = rows.filter(F.col("_corrupt_record").isNotNull()).select(
-        F.col("_corrupt_record").alias("line")
-    )
-    return good, bad
 
 
 def read_delimited(
