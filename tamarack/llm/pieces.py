@@ -236,8 +236,9 @@ class PieceModel:
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids, without the blank that encoding puts in front."""
-        shown = self.shown
-        body = b"".join([shown[i] if 0 <= i < len(shown) else b"" for i in ids])
+        if ids and (min(ids) < 0 or max(ids) >= len(self.shown)):
+            ids = [i for i in ids if 0 <= i < len(self.shown)]
+        body = b"".join(map(self.shown.__getitem__, ids))
         return (body[1:] if body[:1] == b" " else body).decode("utf-8", "replace")
 
 
