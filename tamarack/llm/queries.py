@@ -66,6 +66,84 @@ def op4_pii_disclosure(spark: SparkSession, root: str) -> DataFrame:
     return pii.report(_table(spark, root, "documents"))
 
 
+def _places_sql(kind: str, rank: int, pattern: str) -> str:
+    """Matches of a pattern with their places, from the texts between them."""
+    return f"""SELECT row_id, doc_id, text, {rank} AS rank, '{kind}' AS kind, unnest(m) AS value, unnest(list_transform(range(1, len(m) + 1),
+            lambda i: coalesce(list_sum(list_transform(g[1:i], lambda x: length(x))), 0)
+                + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0)))::BIGINT AS start
+        FROM (SELECT row_id, doc_id, text, regexp_extract_all(text, '{pattern}') AS m, string_split_regex(text, '{pattern}') AS g FROM d)"""
+
+
+_WRITTEN_SQL = (
+    "coalesce(string_agg(kind || ':' || start || ':' || (start + length(value)), ',' ORDER BY start, rank), '')"
+)
+
+SQL["op4_pii_disclosure"] = (
+    r"""
+WITH d AS (SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS text FROM documents),
+matched AS (
+    """
+    + "\n    UNION ALL ".join(
+        [
+            _places_sql("email", 0, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+            _places_sql("ip", 1, r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+            _places_sql("card", 2, r"[0-9]([\x20-]?[0-9])+"),
+            _places_sql("phone", 3, r"\+[0-9][\x20().0-9-]+[0-9]"),
+        ]
+    )
+    + r"""),
+numbered AS (SELECT *, regexp_replace(value, '[^0-9]', '', 'g') AS digits FROM matched),
+base AS (
+    SELECT * FROM numbered WHERE CASE kind
+        WHEN 'ip' THEN len(list_filter(string_split(value, '.'), lambda p: p::HUGEINT > 255)) = 0
+        WHEN 'phone' THEN length(digits) BETWEEN 10 AND 15
+        WHEN 'card' THEN length(digits) BETWEEN 14 AND 19 AND list_sum(list_transform(
+            range(1, length(digits) + 1), lambda i: CASE WHEN i % 2 = 1 THEN reverse(digits)[i]::INTEGER
+                ELSE (2 * reverse(digits)[i]::INTEGER) // 10 + (2 * reverse(digits)[i]::INTEGER) % 10 END)) % 10 = 0
+        ELSE true END),
+held AS (SELECT *, kind || ':' || lower(value) AS entity FROM base),
+near AS (
+    SELECT DISTINCT row_id, text, entity, unnest(regexp_extract_all(lower(
+        substring(text, greatest(start - 100, 0) + 1, least(start, 100)) || ' ' ||
+        substring(text, start + length(value) + 1, 100)), '[\p{L}\p{N}]{4,}')) AS term
+    FROM held),
+total AS (SELECT count(*) AS n FROM d),
+of_entity AS (SELECT entity, count(DISTINCT (doc_id, text)) AS df_e FROM held GROUP BY entity),
+of_pair AS (
+    SELECT entity, term, count(DISTINCT (row_id)) AS df_te, count(DISTINCT text) AS texts FROM (
+        SELECT min(row_id) AS row_id, near.text, entity, term FROM near JOIN d USING (row_id)
+        GROUP BY doc_id, near.text, entity, term)
+    GROUP BY entity, term HAVING count(DISTINCT text) >= 2),
+of_term AS (
+    SELECT term, count(*) AS df_t FROM (
+        SELECT DISTINCT row_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]{4,}')) AS term FROM d)
+    GROUP BY term),
+told AS (
+    SELECT entity, term FROM of_pair JOIN of_entity USING (entity) JOIN of_term USING (term), total
+    WHERE df_e < n AND ln(n * df_te / (df_t * df_e)::DOUBLE) / ln(n / df_e::DOUBLE) >= 0.9),
+hidden AS (SELECT DISTINCT row_id, term FROM near JOIN told USING (entity, term)),
+word AS (
+    """
+    + _places_sql("term", 4, r"[\p{L}\p{N}]+").replace("FROM d)", "FROM d WHERE row_id IN (SELECT row_id FROM hidden))")
+    + rf"""),
+extra AS (
+    SELECT word.* FROM word JOIN hidden ON hidden.row_id = word.row_id AND hidden.term = lower(word.value)
+    WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.row_id = word.row_id
+        AND b.start < word.start + length(word.value) AND word.start < b.start + length(b.value))),
+found AS (SELECT row_id, kind, rank, value, start FROM base),
+every AS (SELECT * FROM found UNION ALL SELECT row_id, kind, rank, value, start FROM extra),
+counted AS (
+    SELECT row_id, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
+        count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone, {_WRITTEN_SQL} AS listed
+    FROM found GROUP BY row_id),
+listed AS (SELECT row_id, {_WRITTEN_SQL} AS spans FROM every GROUP BY row_id)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
+    coalesce(n_phone, 0) AS n_phone, sha256(coalesce(listed, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN counted USING (row_id) LEFT JOIN listed USING (row_id)
+"""
+)
+
+
 @_query
 def op5_mix_sources(spark: SparkSession, root: str) -> DataFrame:
     """Words that a mix of 5:2:1 weighted sources takes of every document."""
