@@ -104,7 +104,7 @@ class PieceModel:
         if self.falls_back:
             for b, i in enumerate(self.bytes):
                 self.shown[i] = bytes([b])
-        self._apart: dict[int, bool] = {}
+        self._apart: list[dict[int, bool]] = [{} for _ in range(size)]
         self._whole: dict[int, bool] = {}
         self._remembered = _Remembered(self.search, cached)
         self.pieces = pieces
@@ -134,17 +134,42 @@ class PieceModel:
 
     def _stay_apart(self, a: int, b: int) -> bool:
         """Whether merging the text of two pieces gives these two."""
-        key = (a << 24) | b
-        known = self._apart.get(key)
+        known = self._apart[a].get(b)
         if known is None:
             known = self._merge(self.pieces[a] + self.pieces[b]) == [self.pieces[a], self.pieces[b]]
-            self._apart[key] = known
+            self._apart[a][b] = known
         return known
 
     # -- the search
 
+    def _search_short(self, text: str) -> list[int]:
+        """:meth:`search` by the objective 'bpe' for a text so short that nothing is committed before its end."""
+        get, apart = self.ends.get, self._apart
+        survivor, back = [-1], [0]
+        for i in range(1, len(text) + 1):
+            piece, at = -1, i - 1
+            for j in range(i - 1, -1, -1):
+                t = get(text[j:i])
+                if t is None:
+                    break
+                if t >= 0:
+                    left = survivor[j]
+                    ok = apart[left].get(t) if left >= 0 else self._stays(t)
+                    if ok is None:
+                        ok = self._stay_apart(left, t)
+                    if ok:
+                        piece, at = t, j
+                        break
+            if piece < 0:
+                piece, at = -1 - ord(text[i - 1]), i - 1
+            survivor.append(piece)
+            back.append(at)
+        return self._path(survivor, back, 0, len(text))
+
     def search(self, text: str, report: list[int] | None = None) -> list[int]:
         """Ids of a text in which blanks are already ``BLANK``. ``report`` gets the window's sizes."""
+        if len(text) < 4 * self.longest and self.objective == "bpe":
+            return self._search_short(text)
         get, scores, longest, apart = self.ends.get, self.scores, self.longest, self._apart
         by_score = self.objective == "unigram"
         out: list[int] = []
@@ -168,7 +193,7 @@ class PieceModel:
                 if left < 0:
                     ok = self._stays(t)
                 else:
-                    ok = apart.get((left << 24) | t)
+                    ok = apart[left].get(t)
                     if ok is None:
                         ok = self._stay_apart(left, t)
                 if ok:
