@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLANK = "▁"  # stands for a blank inside pieces
-CACHED = 200_000  # segments whose ids a worker remembers
+CACHED = 150_000  # segments whose ids a worker remembers
 PART = 1024  # texts that are held as Python objects at once
 
 
