@@ -2,14 +2,14 @@
 
 A document is the set of its five-word shingles. Each tree of the forest orders the
 sets by a label of several MinHash values, so sets that share a long label prefix
-stand side by side. A region is the sets that share a prefix; it starts at
-``MIN_DEPTH`` values, and where it is crowded it goes deeper.
+stand side by side. A region is the sets that share a prefix of ``MIN_DEPTH`` values.
 
 1. Every set is linked with the neighbour of longest common prefix that most trees
-   agree on, if their full sets are similar enough.
-2. In regions that still hold several components, sets of different components whose
-   signatures agree are compared on their full sets, block by block, until nothing is
-   left that could join two components.
+   agree on, if their full sets are similar enough. Only here crowded regions are taken
+   apart by longer prefixes.
+2. In regions that still hold several components, however large they are, sets of
+   different components whose signatures agree are compared on their full sets, block by
+   block, until nothing is left that could join two components.
 
 All copies of a set are one vertex, so copies cost nothing beyond the first count.
 """
@@ -35,7 +35,7 @@ TREES = 16
 DEPTH = 8  # MinHash values in a label
 MIN_DEPTH = 4
 DEPTHS = (4, 6, 8)
-CROWDED = 4096  # sets in a region, beyond which it goes deeper
+CROWDED = 4096  # sets in a region, beyond which neighbours are looked for deeper
 BLOCK = 256  # sets that are compared with as many at once
 SLACK = 0.15  # how far a signature may fall short of the similarity: 4.7 standard errors
 PART = 256  # documents whose hashes are held at once
@@ -111,32 +111,47 @@ def _prefix(depth: int) -> list[Column]:
     return [F.col("k1"), F.shiftright("k2", 16 * (8 - depth))]
 
 
-def regions(sets: DataFrame, crowded: int = CROWDED) -> DataFrame:
-    """region, v, k2, n and pivot: the sets (v) that share a prefix with another, by tree.
+def _placed(labels: DataFrame, depth: int) -> DataFrame:
+    """Rows of v, tree, k1 and k2 with their region, its size and its smallest set; none that stand alone."""
+    rows = labels.withColumn("region", F.xxhash64(F.lit(depth), "tree", *_prefix(depth)))
+    sizes = rows.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("pivot")).filter("n > 1")
+    return materialize(rows.join(sizes, "region"), "regions")
 
-    A region of more than ``crowded`` sets is taken apart by more values, down to the
-    full label; ``n`` is its size, ``pivot`` its smallest set.
-    """
+
+def whole_regions(sets: DataFrame) -> DataFrame:
+    """region, v, tree, k1, k2, n and pivot: the sets (v) that share a prefix of ``MIN_DEPTH`` with another, by tree."""
     trees = F.transform(
         F.sequence(F.lit(0), F.lit(TREES - 1)),
         lambda t: F.struct(
             t.alias("tree"), F.get("labels", 2 * t).alias("k1"), F.get("labels", 2 * t + 1).alias("k2")
         ),
     )
-    rest = sets.select("v", F.explode(trees).alias("label")).select("v", "label.*")
-    done = None
+    labels = sets.select("v", F.explode(trees).alias("label")).select("v", "label.*")
+    return _placed(labels, MIN_DEPTH)
+
+
+def taken_apart(whole: DataFrame, crowded: int = CROWDED) -> DataFrame:
+    """The regions with those of more than ``crowded`` sets taken apart by more values, down to the full label."""
+    done, placed = None, whole
     for depth in DEPTHS:
-        rest = rest.withColumn("region", F.xxhash64(F.lit(depth), "tree", *_prefix(depth)))
-        sizes = rest.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("pivot")).filter("n > 1")
-        placed = materialize(rest.join(sizes, "region"), "regions")
+        if depth != MIN_DEPTH:
+            placed = _placed(placed.filter(F.col("n") > crowded).select("v", "tree", "k1", "k2"), depth)
         last = depth == DEPTHS[-1]
         ready = (placed if last else placed.filter(F.col("n") <= crowded)).select("region", "v", "k2", "n", "pivot")
         done = ready if done is None else done.unionByName(ready)
-        rest = placed.filter(F.col("n") > crowded).select("v", "tree", "k1", "k2")
-        if last or rest.isEmpty():
+        if last or placed.filter(F.col("n") > crowded).isEmpty():
             return done
 
 
+def regions(sets: DataFrame, crowded: int = CROWDED) -> DataFrame:
+    """region, v, k2, n and pivot: the sets (v) that share a prefix with another, by tree.
+
+    A region of more than ``crowded`` sets is taken apart by more values, down to the
+    full label; ``n`` is its size, ``pivot`` its smallest set.
+    """
+    return taken_apart(whole_regions(sets), crowded)
+
+
 def neighbours(members: DataFrame, slices: int) -> DataFrame:
     """v and partner: the set next to it in the order of a tree, for most trees.
 
@@ -165,14 +180,33 @@ def _verified(pairs: DataFrame, percent: int, words: int) -> DataFrame:
 
 
 def _blocks(members: DataFrame, block: int) -> DataFrame:
-    """Rows of region and v, once for each pair of blocks (x <= y) of the region that they are in."""
-    size = members.groupBy("region").agg(F.count(F.lit(1)).alias("__n"))
-    dealt = members.join(size, "region").withColumn("__blocks", F.ceil(F.col("__n") / block).cast("int"))
-    own = F.pmod(F.xxhash64("v"), F.col("__blocks")).cast("int")
-    dealt = dealt.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)))
+    """Rows of region, v and root, once for each pair of blocks (x <= y) of the region that they are in.
+
+    A component (root) of more than a block that is the largest of its region has blocks of
+    its own, which come first and are not paired with each other: they hold no two components.
+    """
+    roots = members.groupBy("region", "root").agg(F.count(F.lit(1)).alias("__rows"))
+    size = roots.groupBy("region").agg(
+        F.sum("__rows").alias("__n"),
+        F.max(F.struct("__rows", "root")).alias("__most"),
+    )
+    most, rows = F.col("__most.root"), F.col("__most.__rows")
+    apart = rows > block
+    size = size.filter(F.col("__n") > rows).select(
+        "region",
+        F.when(apart, most).alias("__major"),
+        F.when(apart, F.ceil(rows / block)).otherwise(0).cast("int").alias("__first"),
+        F.ceil((F.col("__n") - F.when(apart, rows).otherwise(0)) / block).cast("int").alias("__rest"),
+    )
+    dealt = members.join(size, "region")
+    major = F.coalesce(F.col("root") == F.col("__major"), F.lit(False))
+    first, rest = F.col("__first"), F.col("__rest")
+    own = F.when(major, F.pmod(F.xxhash64("v"), first)).otherwise(first + F.pmod(F.xxhash64("v"), rest)).cast("int")
+    others = F.sequence(F.when(major, first).otherwise(F.lit(0)), first + rest - 1)
+    dealt = dealt.withColumn("own", own).withColumn("other", F.explode(others))
     return dealt.select(
         "*", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y")
-    ).drop("__n", "__blocks", "other")
+    ).drop("__major", "__first", "__rest", "other")
 
 
 def _pairs_of(table: pa.Table, least: float, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -227,9 +261,9 @@ def near_components(docs: DataFrame, percent: int = PERCENT, words: int = WORDS,
         F.first("labels").alias("labels"),
     )
     sets = materialize(sets, "sets")
-    members = regions(sets, crowded)
+    members = whole_regions(sets)
     slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    partners = materialize(neighbours(members, slices), "partners")
+    partners = materialize(neighbours(taken_apart(members, crowded), slices), "partners")
 
     # The texts of sets that stand in a region, one for each.
     wanted = sets.select("v", F.col("first.doc_id").alias("doc_id"), F.col("first.text_id").alias("text_id"))

@@ -67,6 +67,28 @@ def test_crowded_regions_go_deeper(spark):
     assert 0 < deep.count() < wide.count()
 
 
+def star(seed, n=150):
+    """Copies of one text that are similar enough to it alone, each by a hair."""
+    rng = random.Random(seed)
+    words = [f"w{seed}_{i}" for i in range(120)]
+    rows = [(0, " ".join(words))]
+    for i in range(1, n + 1):
+        own = list(words)
+        own[rng.randrange(10, 100)] = f"x{seed}_{i}"
+        own[116] = f"z{seed}_{i}"
+        rows.append((i, " ".join(own)))
+    return rows
+
+
+def test_links_in_crowded_regions_are_not_lost(spark):
+    rows = star(58)
+    want = brute(rows)
+    assert {c for _, c in want.values()} == {0}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for block in (16, minhash.BLOCK):
+        assert found(near_components(docs, crowded=5, block=block)) == want
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(1)
     base = rng.integers(0, 2**63, 1000).astype(np.uint64)
