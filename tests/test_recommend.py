@@ -2,6 +2,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tamarack.operators import recommend as rc
+from tamarack.plans import REGISTRY
+from tamarack.plans.registry import Tables
+from tamarack.plans.views import taste
 
 
 @pytest.fixture(scope="module")
@@ -49,3 +52,16 @@ def test_models_improve_on_each_other(split):
 def test_unknown_users_drop_out(spark, split):
     new = spark.createDataFrame([(999, 1, 3.0), (1, 1, 2.0)], "user int, item int, rating double")
     assert [r.user for r in rc.join_means(new, split[0]).collect()] == [1]
+
+
+def test_a_rating_for_each_customer_and_part(spark, root):
+    t = Tables(spark, root)
+    bought = t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    want = {(5_000_000_000 + r.o_custkey, r.l_partkey) for r in bought.select("o_custkey", "l_partkey").collect()}
+    got = [(r.user, r.item) for r in taste(t).collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
+@pytest.mark.parametrize("name", ["als_basic_rmse", "als_bias_rmse"])
+def test_factors_learn_on_real_ids(spark, root, name):
+    assert [r.learned for r in REGISTRY[name].run(spark, root).collect()] == [True]
