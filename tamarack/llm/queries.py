@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamarack.llm import pii, quality
+from tamarack.llm import codes, pii, quality
 from tamarack.llm.licenses import scan_licenses
 from tamarack.llm.minhash import near_components
 from tamarack.llm.mixing import BLOCK, SEED, mix
@@ -303,3 +303,46 @@ ranked AS (
     SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM pairs)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+
+@_query
+def op11_vector_codes(spark: SparkSession, root: str) -> DataFrame:
+    """Four-byte codes of all vectors, and what they lose."""
+    return codes.encode(_table(spark, root, "embeddings"))
+
+
+def _assigned_sql(n: int) -> str:
+    """The nearest entry of every part in the codebooks of round ``n``, as struct(d, i)."""
+    return f"""a{n} AS MATERIALIZED (
+    SELECT p.r, p.j, min({{'d': (list_inner_product(v, v) + list_inner_product(e, e) - 2 * list_inner_product(v, e))::BIGINT, 'i': i}}) AS best
+    FROM p JOIN b{n} USING (j) GROUP BY p.r, p.j)"""
+
+
+def _improved_sql(n: int) -> str:
+    """The codebooks after round ``n``."""
+    return f"""m{n} AS (
+    SELECT j, i, list(floor(total / n) ORDER BY place) AS e FROM (
+        SELECT a.j, a.best.i AS i, place, sum(v[place]) AS total, count(*)::DOUBLE AS n
+        FROM a{n} a JOIN p USING (r, j), range(1, len(v) + 1) AS t(place) GROUP BY ALL) GROUP BY j, i),
+b{n + 1} AS MATERIALIZED (SELECT j, i, coalesce(m.e, b.e) AS e FROM b{n} b LEFT JOIN m{n} m USING (j, i))"""
+
+
+SQL["op11_vector_codes"] = f"""
+WITH k AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS x
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (
+    SELECT r, vec_id, j, x[j * len(x) // 4 + 1:(j + 1) * len(x) // 4] AS v FROM k, range(4) AS t(j)),
+b0 AS MATERIALIZED (
+    SELECT j, i, v AS e FROM (SELECT *, row_number() OVER (PARTITION BY j ORDER BY vec_id NULLS LAST, v) - 1 AS i FROM p)
+    WHERE i < 256),
+{", ".join(_assigned_sql(n) + ", " + _improved_sql(n) for n in range(4))},
+{_assigned_sql(4)},
+coded AS (
+    SELECT r, string_agg(printf('%02x', best.i), '' ORDER BY j) AS code, sum(best.d)::BIGINT AS error FROM a4 GROUP BY r),
+books AS (
+    SELECT sha256(string_agg(array_to_string(list_transform(e, lambda x: x::BIGINT), ','), ',' ORDER BY j, i)) AS h FROM b4)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, h AS codebooks_sha256
+FROM k JOIN coded USING (r), books
+"""

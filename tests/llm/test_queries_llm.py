@@ -16,6 +16,7 @@ COLUMNS = {
     "op8_minhash_forest": "doc_id n_shingles component_id kept",
     "op9_repeated_phrases": "doc_id n_words n_removed kept_sha256",
     "op10_exact_top_k": "query_id rank vec_id score",
+    "op11_vector_codes": "vec_id code error label_error codebooks_sha256",
 }
 
 
