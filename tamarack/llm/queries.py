@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamarack.llm import codes, pii, quality
+from tamarack.llm import alignment, codes, pii, quality
 from tamarack.llm.licenses import scan_licenses
 from tamarack.llm.minhash import near_components
 from tamarack.llm.mixing import BLOCK, SEED, mix
@@ -18,6 +18,7 @@ from tamarack.llm.sharding import shard_rows
 from tamarack.llm.topk import top_k
 
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
+BYTE_TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -346,3 +347,10 @@ books AS (
 SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, h AS codebooks_sha256
 FROM k JOIN coded USING (r), books
 """
+
+
+@_query
+def op12_token_alignment(spark: SparkSession, root: str) -> DataFrame:
+    """Tokens of two tokenizers in all documents, aligned and linked."""
+    docs = _table(spark, root, "documents").select("doc_id", "text")
+    return alignment.link_report(docs, BYTE_TOKENIZER, TOKENIZER)

@@ -17,6 +17,7 @@ COLUMNS = {
     "op9_repeated_phrases": "doc_id n_words n_removed kept_sha256",
     "op10_exact_top_k": "query_id rank vec_id score",
     "op11_vector_codes": "vec_id code error label_error codebooks_sha256",
+    "op12_token_alignment": "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
 }
 
 
