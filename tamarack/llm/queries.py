@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamarack.llm import alignment, codes, pii, quality
+from tamarack.llm.gram_join import jaccard_components
 from tamarack.llm.licenses import scan_licenses
 from tamarack.llm.minhash import near_components
 from tamarack.llm.mixing import BLOCK, SEED, mix
@@ -354,3 +355,32 @@ def op12_token_alignment(spark: SparkSession, root: str) -> DataFrame:
     """Tokens of two tokenizers in all documents, aligned and linked."""
     docs = _table(spark, root, "documents").select("doc_id", "text")
     return alignment.link_report(docs, BYTE_TOKENIZER, TOKENIZER)
+
+
+@_query
+def op13_gram_join(spark: SparkSession, root: str) -> DataFrame:
+    """Groups of documents whose four-word shingles are alike."""
+    return jaccard_components(_table(spark, root, "documents"))
+
+
+SQL["op13_gram_join"] = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+    FROM documents),
+sh AS (
+    SELECT DISTINCT doc_id, unnest(CASE
+        WHEN len(ws) >= 4 THEN list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))
+        WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS s
+    FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+    FROM sh a JOIN sh b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+    SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+reach AS (SELECT a AS doc_id, b AS other FROM links UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON other = a),
+least_of AS (SELECT doc_id, min(other) AS other FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(other, d.doc_id)) AS component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN least_of l ON l.doc_id = d.doc_id
+"""

@@ -18,6 +18,7 @@ COLUMNS = {
     "op10_exact_top_k": "query_id rank vec_id score",
     "op11_vector_codes": "vec_id code error label_error codebooks_sha256",
     "op12_token_alignment": "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
+    "op13_gram_join": "doc_id n_shingles component_id",
 }
 
 
