@@ -14,6 +14,7 @@ corpus counts are an array with a place for each of them, added up per task and
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from tamarack.llm.words import utf8
 from tamarack.session import materialize, spread
 
-CHUNK = 1 << 20  # bytes of text that are aligned at once; a longer text is a chunk of its own
+CHUNK = 1 << 18  # bytes of text that are aligned at once; a longer text is a chunk of its own
 BYTE_PIECE = re.compile(r"<0x([0-9A-Fa-f]{2})>")
 BLANK = "▁"
 
@@ -121,10 +122,10 @@ class Vocabularies:
         made_b = self.b.encode([shown[i] for i in wanted], num_threads=1)
         out: list[tuple[np.ndarray, np.ndarray] | None] = [None] * len(texts)
         for i, a, b in zip(wanted, made_a, made_b, strict=True):
-            ids, whole = a.ids, b" " + texts[i]
-            if b"".join(map(self.a_bytes.__getitem__, ids)) == whole:
-                if b"".join(map(self.b_bytes.__getitem__, b)) == whole:
-                    out[i] = np.array(ids, np.int64), np.array(b, np.int64)
+            first, second, whole = np.array(a.ids, np.int64), np.array(b, np.int64), b" " + texts[i]
+            # Byte-level tokens are bytes of the text, in order: they spell it if none is missing.
+            if self.a_size[first].sum() == len(whole) and b"".join(map(self.b_bytes.__getitem__, b)) == whole:
+                out[i] = first, second
         return out
 
 
@@ -191,7 +192,8 @@ class Aligned:
 
 @lru_cache(maxsize=1)
 def _loaded(a_json: bytes, b_model: bytes) -> Vocabularies:
-    """One pair of tokenizers per worker process."""
+    """One pair of tokenizers per worker process, of one thread: tasks are what runs in parallel."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return Vocabularies(a_json, b_model)
 
 
