@@ -34,13 +34,14 @@ FAMILIES = (
     ("apache-2.0", "apache(?: software)?(?: license)?(?: version)? 2(?: 0)?", "apache"),
     ("apache-1.1", "apache(?: software)?(?: license)?(?: version)? 1 1", "apache"),
     ("gpl", "gnu general public|gnu gpl|gpl", ""),
-    ("gpl-2.0", "(?:gnu )?(?:general public license|gpl)(?: version)? v?2(?: 0)?", "general|gpl"),
-    ("gpl-3.0", "(?:gnu )?(?:general public license|gpl)(?: version)? v?3(?: 0)?", "general|gpl"),
+    ("gpl-2.0", "(?:gnu )?(?:general public license|gpl)(?: version)? v?2(?: 0)?|(?:gnu )?gplv?2(?: 0)?", "general|gpl|gplv2|gpl2"),
+    ("gpl-3.0", "(?:gnu )?(?:general public license|gpl)(?: version)? v?3(?: 0)?|(?:gnu )?gplv?3(?: 0)?", "general|gpl|gplv3|gpl3"),
     ("lgpl", "gnu (?:lesser|library) general public|gnu lgpl|lgpl", ""),
-    ("lgpl-2.1", "(?:gnu )?(?:lesser general public license|lgpl)(?: version)? v?2 1", "lesser|lgpl"),
-    ("lgpl-3.0", "(?:gnu )?(?:lesser general public license|lgpl)(?: version)? v?3(?: 0)?", "lesser|lgpl"),
+    ("lgpl-2.0", "(?:gnu )?(?:library general public license|lgpl)(?: version)? v?2(?: 0)?|(?:gnu )?lgplv?2(?: 0)?", "library|lgpl|lgplv2|lgpl2"),
+    ("lgpl-2.1", "(?:gnu )?(?:lesser general public license|lgpl)(?: version)? v?2 1|(?:gnu )?lgplv?2 1", "lesser|lgpl|lgplv2|lgpl2"),
+    ("lgpl-3.0", "(?:gnu )?(?:lesser general public license|lgpl)(?: version)? v?3(?: 0)?|(?:gnu )?lgplv?3(?: 0)?", "lesser|lgpl|lgplv3|lgpl3"),
     ("agpl", "gnu affero general public|gnu agpl|agpl|affero", ""),
-    ("agpl-3.0", "(?:gnu )?(?:affero general public license|agpl)(?: version)? v?3(?: 0)?", "affero|agpl"),
+    ("agpl-3.0", "(?:gnu )?(?:affero general public license|agpl)(?: version)? v?3(?: 0)?|(?:gnu )?agplv?3(?: 0)?", "affero|agpl|agplv3|agpl3"),
     ("bsd", "bsd(?: style)?|berkeley software distribution", "bsd|berkeley"),
     ("bsd-2-clause", "(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd)", "bsd|freebsd"),
     ("bsd-3-clause", "(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd|revised bsd)", "bsd"),
@@ -177,8 +178,8 @@ def _by_keyword() -> dict[bytes, list[int]]:
     return out
 
 
-def detect(words: list[bytes]) -> list[tuple[int, int, str, str, float]]:
-    """Finds in normalized words: (first word, word after the last, label, rule, weight), by place."""
+def matched(words: list[bytes]) -> list[tuple[int, int, int]]:
+    """Every find of every rule in normalized words: (first word, word after the last, number of the rule)."""
     present = set(words)
     by_word, table = _by_keyword(), rules()
     asked = {i for word in present.intersection(by_word) for i in by_word[word]}
@@ -186,17 +187,23 @@ def detect(words: list[bytes]) -> list[tuple[int, int, str, str, float]]:
     if not tried:
         return []
     text = b" " + b" ".join(words) + b" "
-    finds = []
-    for i in sorted(tried):
-        finds += [(m.start(), m.end(), i) for m in table[i].pattern.finditer(text)]
-    if not finds:
+    found = [(m.start(), m.end(), i) for i in sorted(tried) for m in table[i].pattern.finditer(text)]
+    if not found:
         return []
-    # Highest priority first; of equal ones the longest, then the leftmost, then the first rule.
-    finds.sort(key=lambda f: (-table[f[2]].priority, f[0] - f[1], f[0], f[2]))
+    blanks = [j for j, c in enumerate(text) if c == 32]
+    return [(bisect.bisect_left(blanks, start) - 1, bisect.bisect_left(blanks, end), i) for start, end, i in found]
+
+
+def surviving(finds: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Finds that lie in none of higher priority, by place.
+
+    Of equal priority the longest goes first, then the leftmost, then the first rule.
+    """
+    table = rules()
     starts: list[int] = []  # of the finds taken that lie in no other one: starts and ends both ascend
     ends: list[int] = []
     taken = []
-    for start, end, i in finds:
+    for start, end, i in sorted(finds, key=lambda f: (-table[f[2]].priority, f[0] - f[1], f[0], f[2])):
         at = bisect.bisect_right(starts, start) - 1
         if at >= 0 and ends[at] >= end:
             continue
@@ -206,12 +213,19 @@ def detect(words: list[bytes]) -> list[tuple[int, int, str, str, float]]:
         while hi < len(ends) and ends[hi] <= end:
             hi += 1
         starts[lo:hi], ends[lo:hi] = [start], [end]
-    taken.sort()
-    blanks = [j for j, c in enumerate(text) if c == 32]
-    return [
-        (bisect.bisect_left(blanks, start) - 1, bisect.bisect_left(blanks, end), table[i].label, table[i].name, table[i].weight)
-        for start, end, i in taken
-    ]
+    return sorted(taken)
+
+
+def detect(words: list[bytes]) -> list[tuple[int, int, str, str, float]]:
+    """Finds that survive in normalized words: (first word, word after the last, label, rule, weight), by place."""
+    table = rules()
+    return [(start, end, table[i].label, table[i].name, table[i].weight) for start, end, i in surviving(matched(words))]
+
+
+def base_places(finds: list[tuple[int, int, int]]) -> list[tuple[int, str]]:
+    """Every place of a base phrase, suppressed or not: (word number, label)."""
+    table = rules()
+    return sorted((start, table[i].label) for start, _, i in finds if table[i].name.startswith("base-"))
 
 
 def normalized(text: bytes | None) -> list[bytes]:
@@ -219,25 +233,6 @@ def normalized(text: bytes | None) -> list[bytes]:
     return _WORD.findall(text.lower()) if text else []
 
 
-def base_places(words: list[bytes]) -> list[tuple[int, str]]:
-    """Every place of a base phrase: (word number, label)."""
-    out = []
-    present = set(words)
-    for phrase, label in BASE:
-        parts = phrase.encode().split()
-        if not present.issuperset(parts):
-            continue
-        at = -1
-        while True:
-            try:
-                at = words.index(parts[0], at + 1)
-            except ValueError:
-                break
-            if words[at : at + len(parts)] == parts:
-                out.append((at, label))
-    return sorted(out)
-
-
 SCHEMA = (
     "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "
     "score double, finds array<struct<start:int,end:int,label:string,rule:string>>"
@@ -263,8 +258,9 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
             rows = []
             for body in utf8(batch.column(1)):
                 words = normalized(body)
-                places = base_places(words)
-                finds = detect(words)
+                every = matched(words)
+                places = base_places(every)
+                finds = [(a, b, rules()[i].label, rules()[i].name, rules()[i].weight) for a, b, i in surviving(every)]
                 base = sorted({label for _, label in places})
                 rows.append(
                     (

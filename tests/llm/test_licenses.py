@@ -2,7 +2,7 @@ import re
 
 import edges
 
-from tamarack.llm.licenses import BASE, base_places, detect, normalized, rules, scan_licenses
+from tamarack.llm.licenses import BASE, base_places, detect, matched, normalized, rules, scan_licenses
 
 
 def found(text):
@@ -80,4 +80,17 @@ def test_odd_rows(spark):
 
 
 def test_base_places_touching():
-    assert base_places(normalized(b"mit license mit license")) == [(0, "mit"), (2, "mit")]
+    assert base_places(matched(normalized(b"mit license mit license"))) == [(0, "mit"), (2, "mit")]
+
+
+def test_base_places_come_from_the_rules_before_suppression():
+    finds = matched(normalized(b"licensed under the mit license"))
+    assert base_places(finds) == [(3, "mit")]
+    assert [label for _, _, label, rule, _ in detect(normalized(b"licensed under the mit license")) if rule.startswith("base-")] == []
+
+
+def test_versions_in_one_word():
+    assert [label for _, label in found("released under GPLv3")] == ["gpl-3.0"]
+    assert [label for _, label in found("under the GNU GPLv2 license; AGPLv3 license, LGPLv2.1 license; LGPLv3 licence")] == [
+        "gpl-2.0", "agpl-3.0", "lgpl-2.1", "lgpl-3.0",
+    ]
