@@ -4,7 +4,9 @@ The search walks a text once. For every end position it keeps one survivor: the
 last piece of the best segmentation up to there, and where that piece starts. Any
 later piece starts within the longest piece's length of the front, so only the
 paths that end in that window are alive. Where all of them pass through one
-boundary, the ids up to it are final: they are committed and forgotten.
+boundary, the ids up to it are final: they are committed and forgotten. Some such
+boundaries show in the text itself, as no piece reaches over them; the window is
+emptied there, and what a stretch between two of them gave is remembered.
 
 Two objectives choose the survivor. ``unigram`` takes the largest sum of scores.
 ``bpe`` takes the only piece that byte-pair merging can leave there: a
@@ -142,85 +144,80 @@ class PieceModel:
 
     # -- the search
 
-    def _search_short(self, text: str) -> list[int]:
-        """:meth:`search` by the objective 'bpe' for a text so short that nothing is committed before its end."""
+    def search(self, text: str, report: list[int] | None = None) -> list[int]:
+        """Ids of a text in which blanks are already ``BLANK``.
+
+        The window is walked back for a boundary that all its paths share whenever it has grown by four
+        times the longest piece, and committed up to there; the rest at the end of the text, which is such
+        a boundary. ``report`` gets the window's size at each of these.
+        """
+        out: list[int] = []
+        # Index k of these is position start + k; a negative survivor is an unknown character.
+        start, survivor, back, best = 0, [-1], [0], [0.0]
+        front, every, length = 0, 4 * self.longest, len(text)
+        advance = self._by_score if self.objective == "unigram" else self._by_merging
+        while True:
+            end = min(front + every, length)
+            advance(text, front, end, start, survivor, back, best)
+            front = end
+            if report is not None:
+                report.append(len(survivor))
+            if front == length:
+                return out + self._path(survivor, back, start, front)
+            cut = self._meeting(back, start, front)
+            if cut > start:
+                out += self._path(survivor, back, start, cut)
+                drop = cut - start
+                del survivor[:drop], back[:drop], best[:drop]
+                start = cut
+
+    def _meeting(self, back: list[int], start: int, front: int) -> int:
+        """The last boundary that all paths to the positions a later piece can start from go through."""
+        live = set(range(max(start, front - self.longest + 1), front + 1))
+        while len(live) > 1:
+            last = max(live)
+            live.add(back[last - start] if last > start else start)
+            live.discard(last)
+        return live.pop()
+
+    def _by_merging(self, text: str, front: int, end: int, start: int, survivor: list[int], back: list[int], _) -> None:
+        """Survivors of the positions after ``front`` up to ``end``: the only piece that merging can leave."""
         get, apart = self.ends.get, self._apart
-        survivor, back = [-1], [0]
-        for i in range(1, len(text) + 1):
+        for i in range(front + 1, end + 1):
             piece, at = -1, i - 1
-            for j in range(i - 1, -1, -1):
+            for j in range(i - 1, start - 1, -1):
                 t = get(text[j:i])
-                if t is None:
+                if t is None:  # no piece ends so
                     break
                 if t >= 0:
-                    left = survivor[j]
+                    left = survivor[j - start]
                     ok = apart[left].get(t) if left >= 0 else self._stays(t)
                     if ok is None:
                         ok = self._stay_apart(left, t)
                     if ok:
                         piece, at = t, j
                         break
-            if piece < 0:
-                piece, at = -1 - ord(text[i - 1]), i - 1
-            survivor.append(piece)
+            survivor.append(piece if piece >= 0 else -1 - ord(text[i - 1]))
             back.append(at)
-        return self._path(survivor, back, 0, len(text))
 
-    def search(self, text: str, report: list[int] | None = None) -> list[int]:
-        """Ids of a text in which blanks are already ``BLANK``. ``report`` gets the window's sizes."""
-        if len(text) < 4 * self.longest and self.objective == "bpe":
-            return self._search_short(text)
-        get, scores, longest, apart = self.ends.get, self.scores, self.longest, self._apart
-        by_score = self.objective == "unigram"
-        out: list[int] = []
-        # Index k of these is position start + k; a negative survivor is an unknown character.
-        start, survivor, back, best = 0, [-1], [0], [0.0]
-        checked, every = 0, 4 * longest
-        for i in range(1, len(text) + 1):
+    def _by_score(
+        self, text: str, front: int, end: int, start: int, survivor: list[int], back: list[int], best: list[float]
+    ) -> None:
+        """Survivors of the positions after ``front`` up to ``end``: the last piece of the largest sum."""
+        get, scores = self.ends.get, self.scores
+        for i in range(front + 1, end + 1):
             piece, at, value = -1, i - 1, None
             for j in range(i - 1, start - 1, -1):
                 t = get(text[j:i])
-                if t is None:  # no piece ends so
+                if t is None:
                     break
-                if t < 0:
-                    continue
-                if by_score:
+                if t >= 0:
                     v = best[j - start] + scores[t]
                     if value is None or v >= value:
                         piece, at, value = t, j, v
-                    continue
-                left = survivor[j - start]
-                if left < 0:
-                    ok = self._stays(t)
-                else:
-                    ok = apart[left].get(t)
-                    if ok is None:
-                        ok = self._stay_apart(left, t)
-                if ok:
-                    piece, at = t, j
-                    break
-            if piece < 0:
-                piece, at = -1 - ord(text[i - 1]), i - 1
-                value = best[at - start] + self.worst if by_score else None
-            survivor.append(piece)
+            survivor.append(piece if piece >= 0 else -1 - ord(text[i - 1]))
             back.append(at)
-            if by_score:
-                best.append(value)
-            if i - checked >= every:
-                checked = i
-                if report is not None:
-                    report.append(len(survivor))
-                live = set(range(max(start, i - longest + 1), i + 1))
-                while len(live) > 1:
-                    live.add(back[live_end - start] if (live_end := max(live)) > start else start)
-                    live.discard(live_end)
-                cut = live.pop()
-                if cut > start:
-                    out += self._path(survivor, back, start, cut)
-                    drop = cut - start
-                    del survivor[:drop], back[:drop], best[:drop]
-                    start = cut
-        return out + self._path(survivor, back, start, len(text))
+            best.append(best[at - start] + self.worst if value is None else value)
 
     def _path(self, survivor: list[int], back: list[int], start: int, end: int) -> list[int]:
         found = []
@@ -273,7 +270,7 @@ def _model_of(spark, path: str):
         return spark.sparkContext.broadcast(f.read())
 
 
-@lru_cache(maxsize=1)
+@lru_cache(maxsize=2)  # the two objectives
 def _loaded(model: bytes, objective: str = "bpe") -> PieceModel:
     """One model per worker process, which keeps what it has learned for the tasks that follow."""
     return PieceModel(model, objective)

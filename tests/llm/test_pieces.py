@@ -102,3 +102,20 @@ def test_unknown_ids_add_nothing(spark):
     df = spark.createDataFrame([([1000, 10**8, -5, None],), (None,), ([],)], "ids array<int>")
     got = [r.decoded for r in decode_pieces(df, PATH).collect()]
     assert got[1:] == [None, ""] and got[0] is not None
+
+
+def test_documents_go_through_the_streaming_search(spark, root, raw):
+    """Every id of a document is committed by the search, in a window bounded by the longest piece."""
+    model = PieceModel(raw, cached=1)
+    windows, given = [], []
+
+    def search(segment):
+        ids = PieceModel.search(model, segment, windows)
+        given.extend(ids)
+        return ids
+
+    model._remembered.search = search
+    texts = [r.text for r in spark.read.parquet(f"{root}/documents.parquet").collect() if r.text]
+    n = sum(len(model.encode(t)) for t in texts)
+    assert len(given) > n / 2 and len(windows) > len(texts)  # the rest are stretches remembered at once
+    assert max(windows) <= 6 * model.longest
