@@ -150,7 +150,7 @@ def remove_repeats(
     same document. Windows are judged on the input, not on what is left. Texts that
     are null, empty or shorter than a window keep all words. Rows that repeat a doc_id
     follow each other in the order of their texts. Rows without doc_id come after all
-    others and are not compared with each other. Other columns are ignored. Windows are
+    others and are not compared with each other, only each with itself. Other columns are ignored. Windows are
     compared by 64-bit hashes.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -217,9 +217,15 @@ def remove_repeats(
         if len(hashes):
             _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
             first = first[which]
-            without = ids[shard.text_of(shard.places)] == _LAST
+            text = shard.text_of(shard.places)
+            without = ids[text] == _LAST
             earlier = first != np.arange(len(hashes))
             gone |= earlier & ~(without & without[first])
+            # Rows without doc_id are not compared with each other, but each with itself.
+            alone = np.flatnonzero(without)
+            again = np.ones(len(alone), bool)
+            again[np.unique(text[alone] * len(hashes) + which[alone], return_index=True)[1]] = False
+            gone[alone[again]] = True
         marks = np.zeros(len(shard.words) + 1, np.int32)
         np.add.at(marks, shard.places[gone], 1)
         np.add.at(marks, shard.places[gone] + window, -1)

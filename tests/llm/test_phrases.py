@@ -90,3 +90,11 @@ def test_rows_without_id_come_last(spark):
     assert got == {(5, 0), (None, 30)}
     alone = spark.createDataFrame([(None, text), (None, text)], "doc_id long, text string")
     assert {r.n_removed for r in remove_repeats(alone).collect()} == {0}
+
+
+def test_rows_without_id_repeat_themselves(spark):
+    passage = " ".join(f"t{i}" for i in range(25))
+    text = f"{passage} between {passage} after"
+    docs = spark.createDataFrame([(None, text), (None, text), (None, passage)], "doc_id long, text string")
+    got = sorted(tuple(r) for r in remove_repeats(docs).select("n_words", "n_removed", "kept").collect())
+    assert got == [(25, 0, passage)] + [(52, 25, f"{passage} between after")] * 2
