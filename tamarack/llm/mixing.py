@@ -3,15 +3,17 @@
 Every source has a word budget. Its documents, in a seeded order and twice over, are
 a line of words that is cut into blocks of equal size. A source's j-th block has the
 quotient target / (2j - 1); the blocks with the highest quotients, down to half a
-block, are allocated, which gives every source a whole number of blocks. The blocks
-that a source takes are that many in a row from a seeded place on its line.
+block, are allocated, which gives every source a whole number of blocks. They go round the
+shards, which gives every shard a quota of each source. A shard holds a run of the source's
+line and selects its quota of blocks from a seeded start, at even distances, so what a document
+gives is a matter of arithmetic and no block is ever a row.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamarack.operators.joins import join_lookup
@@ -21,7 +23,8 @@ from tamarack.session import materialize
 WEIGHTS = (5, 2, 1)  # of the sources in the order of their names, repeating
 SHARE = 1.5  # of all words
 REPEATS = 2  # times that a document's words can be taken
-BLOCK = 32  # words
+BLOCK = 32  # words at most; small sources ask for smaller ones
+SHARDS = 16
 SEED = "mix-1"
 
 
@@ -67,8 +70,14 @@ def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = S
     )
 
 
-def quotas(budgets: DataFrame, block: int = BLOCK, repeats: int = REPEATS, seed: str = SEED) -> DataFrame:
-    """Add to every source its blocks on the line, those allocated to it, and where they start.
+def block_size(budgets: DataFrame, most: int = BLOCK) -> int:
+    """Words of a block: ``most``, or an eighth of the smallest target above 0, so that every source comes near its own."""
+    least = budgets.filter("target > 0").agg(F.min("target")).first()[0]
+    return most if least is None else max(1, min(most, int(least // 8)))
+
+
+def quotas(budgets: DataFrame, block: int = BLOCK, repeats: int = REPEATS) -> DataFrame:
+    """Add to every source its blocks on the line and those allocated to it.
 
     A quotient target / (2j - 1) reaches half a block for the first
     round(target / block) numbers j: these are the blocks with the highest quotients
@@ -76,12 +85,7 @@ def quotas(budgets: DataFrame, block: int = BLOCK, repeats: int = REPEATS, seed:
     """
     blocks = F.ceil(F.col("source_size") * repeats / F.lit(float(block))).cast("long")
     won = F.floor(F.col("target") / F.lit(float(block)) + F.lit(0.5)).cast("long")
-    place = F.conv(F.substring(seeded(F.substring("source_key", 2, 1 << 30), seed), 1, 8), 16, 10).cast("long")
-    return (
-        budgets.withColumn("blocks", blocks)
-        .withColumn("quota", F.least(won, "blocks"))
-        .withColumn("start", F.when(F.col("blocks") > 0, place % F.col("blocks")).otherwise(F.lit(0).cast("long")))
-    )
+    return budgets.withColumn("blocks", blocks).withColumn("quota", F.least(won, "blocks"))
 
 
 def shard_quotas(allocated: DataFrame, shards: int) -> DataFrame:
@@ -100,6 +104,53 @@ def shard_quotas(allocated: DataFrame, shards: int) -> DataFrame:
     )
 
 
+def selections(plan: DataFrame, shards: int = SHARDS, seed: str = SEED) -> DataFrame:
+    """Add ``shards`` to every source: for each the first block, the blocks, its quota, the quota before it, and a seeded start.
+
+    Blocks that are not allocated are dealt evenly too, so a shard has at least the blocks of its quota.
+    """
+    quota = shard_quotas(plan.select("source_key", "quota"), shards)
+    rest = plan.select("source_key", (F.col("blocks") - F.col("quota")).alias("quota"))
+    others = shard_quotas(rest, shards).withColumnRenamed("blocks", "others")
+    # Bounded: a row per shard.
+    earlier = Window.partitionBy("source_key").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("long")
+    key = F.concat_ws(":", F.col("shard").cast("string"), F.substring("source_key", 2, 1 << 30))
+    start = F.conv(F.substring(seeded(key, seed), 1, 8), 16, 10).cast("long")
+    each = quota.join(others, ["source_key", "shard"]).withColumn("n", F.col("blocks") + F.col("others"))
+    each = each.select(
+        "source_key", "shard", "n", F.col("blocks").alias("quota"),
+        F.coalesce(F.sum("n").over(earlier), zero).alias("first"), F.coalesce(F.sum("blocks").over(earlier), zero).alias("before"),
+        F.when(F.col("n") > 0, start % F.col("n")).otherwise(zero).alias("start"),
+    )
+    listed = F.array_sort(F.collect_list(F.struct("shard", "first", "n", "quota", "before", "start")))
+    return plan.join(each.groupBy("source_key").agg(listed.alias("shards")), "source_key")
+
+
+def selected(words: Column, shards: Column, block: int) -> Column:
+    """How many of the first ``words`` words of a source's line lie in selected blocks.
+
+    Of a shard's n blocks the b-th is selected if (b + start) * quota / n passes a whole number.
+    """
+
+    def upto(shard: Column, blocks: Column) -> Column:
+        """Selected blocks among the shard's first ``blocks``."""
+        product = (blocks + shard["start"]).cast("decimal(19,0)") * shard["quota"].cast("decimal(19,0)")
+        skipped = shard["start"].cast("decimal(19,0)") * shard["quota"].cast("decimal(19,0)")
+        n = shard["n"].cast("decimal(19,0)")
+        return F.call_function("div", product, n) - F.call_function("div", skipped, n)
+
+    at = F.floor(words / block).cast("long")
+    own = F.filter(shards, lambda s: (s["first"] <= at) & (at < s["first"] + s["n"]))
+
+    def count(s: Column) -> Column:
+        before, after = upto(s, at - s["first"]), upto(s, at - s["first"] + 1)
+        return (s["before"] + before) * block + (after - before) * (words - at * block)
+
+    total = F.aggregate(shards, F.lit(0).cast("long"), lambda sum_, s: sum_ + s["quota"]) * block
+    return F.when(F.size(own) > 0, F.get(F.transform(own, count), 0)).otherwise(total)
+
+
 def mix(
     docs: DataFrame,
     key: str = "doc_id",
@@ -108,6 +159,7 @@ def mix(
     repeats: int = REPEATS,
     block: int = BLOCK,
     seed: str = SEED,
+    shards: int = SHARDS,
 ) -> DataFrame:
     """Words that the mix takes of every document: ``key``, source_key, size, source_size, target, taken.
 
@@ -118,8 +170,9 @@ def mix(
     """
     sizes = docs.select(key, _source_key("source").alias("source_key"), n_words(F.col("text")).alias("size"))
     sizes = materialize(sizes, "sizes")
-    plan = quotas(targets(sizes, weights, share, repeats), block, repeats, seed)
-    plan = materialize(plan, "quotas")
+    budgets = materialize(targets(sizes, weights, share, repeats), "targets")
+    block = block_size(budgets, block)
+    plan = materialize(selections(quotas(budgets, block, repeats), shards, seed), "quotas")
     lined = running_total(
         sizes.withColumn("__order", seeded(F.col(key), seed)),
         ["__order", key, "size"],
@@ -128,15 +181,11 @@ def mix(
         name="__at",
         total="__total",
     ).drop("__order", "__total")
-    lined = join_lookup(lined, plan, ["source_key"])
-    line, start, length = F.col("blocks") * block, F.col("start") * block, F.col("quota") * block
+    lined = join_lookup(lined, plan.select("source_key", "source_size", "target", "shards"), ["source_key"])
 
-    def overlap(at: Column) -> Column:
-        """Words of a document placed at ``at`` that lie in the allocated stretch, which may wrap around."""
-        end, zero = at + F.col("size"), F.lit(0).cast("long")
-        straight = F.least(end, start + length) - F.greatest(at, start)
-        wrapped = F.least(end, start + length - line) - at
-        return F.greatest(straight, zero) + F.greatest(wrapped, zero)
+    def passed(p: int) -> Column:
+        at = F.col("__at") + F.col("source_size") * p
+        return selected(at + F.col("size"), F.col("shards"), block) - selected(at, F.col("shards"), block)
 
-    taken = sum((overlap(F.col("__at") + F.col("source_size") * p) for p in range(repeats)), F.lit(0).cast("long"))
+    taken = sum((passed(p) for p in range(repeats)), F.lit(0).cast("long"))
     return lined.select(key, "source_key", "size", "source_size", "target", taken.cast("long").alias("taken"))

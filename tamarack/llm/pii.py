@@ -1,16 +1,16 @@
 """Personal data: patterns, and terms that reveal the persons by what they occur with.
 
 Emails, addresses, card and phone numbers are protected entities. The corpus tells
-how much a term discloses of an entity e that it stands near: with document counts,
+how much a term discloses of an entity e that it occurs with: with document counts,
 
     information of e   IC(e) = ln(N / df(e))
     disclosure of t    (ln(N * df(t, e) / (df(t) * df(e)))) / IC(e)
 
 which is 1 where t occurs only where e does, and 0 where they are independent. Terms
 that reach a threshold are generalised in e's documents, those that disclose e in
-full are removed. ``sanitize`` counts df(t, e) and hides terms of any length over the
-whole texts of e's documents; ``report`` takes ``TERM`` in ``NEAR`` characters around e,
-as its SQL states.
+full are removed. Terms of any length are counted and hidden over the whole texts of e's
+documents. Entities that stand in the very same rows, as in a directory, have the same counts
+with every term, so one of them is counted for all.
 
 DataFrame functions only.
 """
@@ -34,12 +34,10 @@ PATTERNS = {
 NEEDED = {"email": "@", "ip": ".", "card": "", "phone": "+"}  # a text without it has no match
 GENERAL = {"email": "[EMAIL]", "ip": "[ADDRESS]", "card": "[CARD]", "phone": "[PHONE]"}
 
-NEAR = 100  # characters on either side of an entity in which terms are looked for
 THRESHOLD = 0.9  # disclosure from which a term is generalised
 REMOVED = 0.99  # disclosure from which it is removed
-SUPPORT = 2  # different texts in which a term must stand near an entity
-TERM = r"[\p{L}\p{N}]{4,}"
-ANY_TERM = r"[\p{L}\p{N}]+"
+SUPPORT = 2  # different texts in which a term must occur with an entity
+TERM = r"[\p{L}\p{N}]+"
 _SPAN = "array<struct<start:int,rank:int,end:int,kind:string,value:string>>"
 
 
@@ -112,92 +110,73 @@ def with_spans(rows: DataFrame) -> DataFrame:
     return done.drop(*asked, *cut)
 
 
-def _terms(text: Column, pattern: str) -> Column:
-    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(0)))
+def _terms(text: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
 
 
-def disclosing(
-    found: DataFrame, docs: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT, near: int | None = NEAR
-) -> DataFrame:
-    """entity, term and disclosure of the terms that reach the threshold.
+def _entities(spans: str) -> Column:
+    return F.array_distinct(F.transform(F.col(spans), lambda s: F.concat(s["kind"], F.lit(":"), F.lower(s["value"]))))
+
+
+def representatives(found: DataFrame, support: int = SUPPORT) -> DataFrame:
+    """entity and df_e: of all entities that stand in the same rows the smallest, and in how many rows.
+
+    ``found`` has doc_id, text_id and spans. Entities in fewer than ``support`` different texts are left
+    out, as no term is in as many with them. Sums of two hashes of the rows tell sets of rows apart.
+    """
+    rows = found.select("doc_id", "text_id", F.explode(_entities("spans")).alias("entity"))
+    hashes = [F.xxhash64(F.lit(seed), "doc_id", "text_id").cast("decimal(20,0)") for seed in (1, 2)]
+    texts = rows.groupBy("entity", "text_id").agg(
+        F.count(F.lit(1)).alias("rows"), *[F.sum(h).alias(f"h{i}") for i, h in enumerate(hashes)]
+    )
+    sets = texts.groupBy("entity").agg(
+        F.sum("rows").alias("df_e"), F.count(F.lit(1)).alias("texts"), F.sum("h0").alias("h0"), F.sum("h1").alias("h1")
+    )
+    often = sets.filter(F.col("texts") >= support)
+    return often.groupBy("h0", "h1", "df_e").agg(F.min("entity").alias("entity")).select("entity", "df_e")
+
 
-    Terms are those of ``TERM`` within ``near`` characters, or without it ``ANY_TERM`` anywhere.
+def disclosing(found: DataFrame, docs: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT) -> DataFrame:
+    """entity, term and disclosure of the terms that reach the threshold, for :func:`representatives`.
 
     ``found`` has doc_id, text_id, text and spans; ``docs``, over which terms are
     counted, text. Counts are of rows; ``support`` counts different texts, so copies of
     one text are no evidence. An entity that is in every document has nothing to disclose.
     """
-    total = F.broadcast(docs.agg(F.count(F.lit(1)).alias("total")))  # one row
-    holders = found.select("doc_id", "text_id", F.explode(F.array_distinct(_entities("spans"))).alias("entity"))
-    of_entity = holders.groupBy("entity").agg(F.count(F.lit(1)).alias("df_e"))
-    if near is None:
-        # An entity in fewer texts has no term in as many.
-        often = holders.select("entity", "text_id").distinct().groupBy("entity").count().filter(F.col("count") >= support)
-        with_terms = together(found, often.select("entity"))
-    else:
-        with_terms = nearby(found, near)
-    texts = with_terms.groupBy("entity", "term", "text_id").agg(F.count(F.lit(1)).alias("rows"))
+    total = docs.agg(F.count(F.lit(1)).alias("total")).scalar()
+    entities = materialize(representatives(found, support).filter(F.col("df_e") < total), "entities")
+    texts = together(found, entities.select("entity")).groupBy("entity", "term", "text_id").agg(F.count(F.lit(1)).alias("rows"))
     pairs = texts.groupBy("entity", "term").agg(F.sum("rows").alias("df_te"), F.count(F.lit(1)).alias("texts"))
     pairs = materialize(pairs.filter(F.col("texts") >= support), "pairs")
-    counted = docs.select(F.explode(_terms(F.col("text"), ANY_TERM if near is None else TERM)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df_t"))
-    joined = pairs.join(of_entity, "entity").join(counted, "term").crossJoin(total)
+    counted = docs.select(F.explode(_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df_t"))
+    joined = pairs.join(entities, "entity").join(counted, "term").withColumn("total", total)
     information = F.log(F.col("total") / F.col("df_e"))
     mutual = F.log(F.col("total") * F.col("df_te") / (F.col("df_t") * F.col("df_e")))
-    scored = joined.filter(F.col("df_e") < F.col("total")).withColumn("disclosure", mutual / information)
+    scored = joined.withColumn("disclosure", mutual / information)
     return scored.filter(F.col("disclosure") >= threshold).select("entity", "term", "disclosure")
 
 
-def _entities(spans: str) -> Column:
-    return F.transform(F.col(spans), lambda s: F.concat(s["kind"], F.lit(":"), F.lower(s["value"])))
-
-
 def together(found: DataFrame, entities: DataFrame) -> DataFrame:
     """doc_id, text_id, entity and term of all terms of the rows that hold one of ``entities``."""
-    rows = found.select(
-        "doc_id", "text_id", F.array_distinct(_entities("spans")).alias("entities"), _terms(F.col("text"), ANY_TERM).alias("terms")
-    )
+    rows = found.select("doc_id", "text_id", _entities("spans").alias("entities"), _terms(F.col("text")).alias("terms"))
     held = rows.select("doc_id", "text_id", "terms", F.explode("entities").alias("entity")).join(entities, "entity", "left_semi")
     return held.select("doc_id", "text_id", "entity", F.explode("terms").alias("term"))
 
 
-def nearby(found: DataFrame, near: int = NEAR) -> DataFrame:
-    """doc_id, text_id, entity and term, once for every term that stands near the entity in the row."""
-    around = F.transform(
-        "spans",
-        lambda s: F.struct(
-            F.concat(s["kind"], F.lit(":"), F.lower(s["value"])).alias("entity"),
-            F.concat_ws(
-                " ",
-                F.substring(F.col("text"), F.greatest(s["start"] - near, F.lit(0)) + 1, F.least(s["start"], F.lit(near))),
-                F.substring(F.col("text"), s["end"] + 1, F.lit(near)),
-            ).alias("around"),
-        ),
-    )
-    rows = found.withColumn("__row", F.xxhash64("doc_id", "text_id")).select("__row", "doc_id", "text_id", F.explode(around).alias("s"))
-    terms = rows.select("__row", "doc_id", "text_id", "s.entity", F.explode(_terms(F.col("s.around"), TERM)).alias("term"))
-    return terms.dropDuplicates(["__row", "doc_id", "text_id", "entity", "term"]).drop("__row")
-
-
 def find_pii(
-    docs: DataFrame,
-    threshold: float = THRESHOLD,
-    removed: float = REMOVED,
-    support: int = SUPPORT,
-    near: int | None = NEAR,
+    docs: DataFrame, threshold: float = THRESHOLD, removed: float = REMOVED, support: int = SUPPORT
 ) -> tuple[DataFrame, DataFrame]:
     """Entities of every row, and the terms to hide in some.
 
     The first table has doc_id, text_id, spans, and text where there are spans, for
     every row; the second doc_id, text_id and ``hidden`` (term and whether it is
-    removed), once for each doc_id and text with such terms. Without ``near`` terms are
-    counted and hidden anywhere in the entity's texts.
+    removed), once for each doc_id and text with such terms.
     """
     rows = with_spans(docs.select("doc_id", F.xxhash64("text").alias("text_id"), "text"))
     rows = materialize(rows.withColumn("text", F.when(F.size("spans") > 0, F.col("text"))), "found")
     found = rows.filter(F.size("spans") > 0).dropDuplicates(["doc_id", "text_id"])
-    flagged = materialize(disclosing(found, docs, threshold, support, near), "disclosing")
-    held = together(found, flagged.select("entity").distinct()) if near is None else nearby(found, near)
-    told = held.join(flagged, ["entity", "term"])
+    flagged = materialize(disclosing(found, docs, threshold, support), "disclosing")
+    told = together(found, flagged.select("entity").distinct()).join(flagged, ["entity", "term"])
     hidden = told.groupBy("doc_id", "text_id", "term").agg((F.max("disclosure") >= removed).alias("removed"))
     hidden = hidden.groupBy("doc_id", "text_id").agg(F.array_sort(F.collect_list(F.struct("term", "removed"))).alias("hidden"))
     return rows, materialize(hidden, "hidden")
@@ -258,7 +237,7 @@ def sanitize(docs: DataFrame, text: str = "text") -> DataFrame:
     the first. Texts without spans, null ones included, stay as they are.
     """
     plain = docs.select("doc_id", F.col(text).alias("text"))
-    _, hidden = find_pii(plain, near=None)
+    _, hidden = find_pii(plain)
     rows = docs.select(F.struct(*docs.columns).alias("__row"), "doc_id", F.col(text).alias("text"))
     rows = with_spans(rows.withColumn("text_id", F.xxhash64("text")))
     rows = _with_hidden(rows, hidden).withColumn("__all", F.array_sort(F.concat("spans", "terms")))

@@ -11,7 +11,7 @@ from tamarack.llm import alignment, codes, pii, quality
 from tamarack.llm.gram_join import jaccard_components
 from tamarack.llm.licenses import scan_licenses
 from tamarack.llm.minhash import near_components
-from tamarack.llm.mixing import BLOCK, SEED, mix
+from tamarack.llm.mixing import mix
 from tamarack.llm.nearest import nearest
 from tamarack.llm.phrases import remove_repeats
 from tamarack.llm.pieces import round_trip
@@ -104,11 +104,11 @@ base AS (
                 ELSE (2 * reverse(digits)[i]::INTEGER) // 10 + (2 * reverse(digits)[i]::INTEGER) % 10 END)) % 10 = 0
         ELSE true END),
 held AS (SELECT *, kind || ':' || lower(value) AS entity FROM base),
+rich AS (  -- an entity in one text only has no term in two
+    SELECT entity FROM held GROUP BY entity HAVING count(DISTINCT text) >= 2),
 near AS (
-    SELECT DISTINCT row_id, text, entity, unnest(regexp_extract_all(lower(
-        substring(text, greatest(start - 100, 0) + 1, least(start, 100)) || ' ' ||
-        substring(text, start + length(value) + 1, 100)), '[\p{L}\p{N}]{4,}')) AS term
-    FROM held),
+    SELECT row_id, text, entity, unnest(list_distinct(regexp_extract_all(lower(text), '[\p{L}\p{N}]+'))) AS term
+    FROM (SELECT DISTINCT row_id, text, entity FROM held WHERE entity IN (SELECT entity FROM rich))),
 total AS (SELECT count(*) AS n FROM d),
 of_entity AS (SELECT entity, count(DISTINCT (doc_id, text)) AS df_e FROM held GROUP BY entity),
 of_pair AS (
@@ -118,7 +118,7 @@ of_pair AS (
     GROUP BY entity, term HAVING count(DISTINCT text) >= 2),
 of_term AS (
     SELECT term, count(*) AS df_t FROM (
-        SELECT DISTINCT row_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]{4,}')) AS term FROM d)
+        SELECT DISTINCT row_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS term FROM d)
     GROUP BY term),
 told AS (
     SELECT entity, term FROM of_pair JOIN of_entity USING (entity) JOIN of_term USING (term), total
@@ -152,7 +152,7 @@ def op5_mix_sources(spark: SparkSession, root: str) -> DataFrame:
     return mix(_table(spark, root, "documents")).drop("source_key")
 
 
-SQL["op5_mix_sources"] = f"""
+SQL["op5_mix_sources"] = """
 WITH d AS (
     SELECT doc_id, source,
         coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size
@@ -170,30 +170,47 @@ levels AS (
     WINDOW before AS (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 level AS (
     SELECT level FROM levels WHERE level <= ratio * (1 + 1e-12) ORDER BY ratio, source NULLS LAST LIMIT 1),
-plan AS (
-    SELECT caps.*, least(cap, level * weight) AS target,
-        ceil(source_size * 2 / {BLOCK}.0)::BIGINT AS blocks FROM caps, level),
+plan AS (SELECT caps.*, least(cap, level * weight) AS target FROM caps, level),
+words AS (  -- of a block: 32, or an eighth of the smallest target
+    SELECT greatest(1, least(32, coalesce(floor(min(target) FILTER (target > 0) / 8), 32)))::BIGINT AS w FROM plan),
+lines AS (SELECT plan.*, ceil(source_size * 2 / w::DOUBLE)::BIGINT AS blocks FROM plan, words),
 won AS (  -- the quotients, one by one
     SELECT source, count(*)::BIGINT AS quota
-    FROM (SELECT source, target, unnest(generate_series(1, blocks)) AS j FROM plan)
-    WHERE target / (2 * j - 1) >= {BLOCK} / 2.0 GROUP BY source),
-placed AS (
-    SELECT plan.*, coalesce(won.quota, 0) * {BLOCK} AS length, blocks * {BLOCK} AS line,
-        CASE WHEN blocks > 0
-            THEN ('0x' || substr(md5('{SEED}:' || coalesce(plan.source, '')), 1, 8))::BIGINT % blocks ELSE 0 END * {BLOCK} AS start
-    FROM plan LEFT JOIN won ON plan.source IS NOT DISTINCT FROM won.source),
+    FROM (SELECT source, target, unnest(generate_series(1, blocks)) AS j FROM lines), words
+    WHERE target / (2 * j - 1) >= w / 2.0 GROUP BY source),
+both_kinds AS (
+    SELECT lines.source, blocks, coalesce(quota, 0) AS quota, blocks - coalesce(quota, 0) AS others
+    FROM lines LEFT JOIN won ON lines.source IS NOT DISTINCT FROM won.source),
+dealt AS (  -- blocks numbered over all sources go round 16 shards
+    SELECT source, 'quota' AS kind, unnest(range(before, before + quota)) % 16 AS shard
+    FROM (SELECT *, (sum(quota) OVER (ORDER BY source NULLS LAST) - quota)::BIGINT AS before FROM both_kinds)
+    UNION ALL
+    SELECT source, 'others', unnest(range(before, before + others)) % 16
+    FROM (SELECT *, (sum(others) OVER (ORDER BY source NULLS LAST) - others)::BIGINT AS before FROM both_kinds)),
+shards AS (
+    SELECT b.source, shard, count(kind) FILTER (kind = 'quota') AS quota, count(kind) AS n
+    FROM both_kinds b CROSS JOIN range(16) AS r(shard) LEFT JOIN dealt x USING (shard)
+    WHERE x.source IS NOT DISTINCT FROM b.source OR x.kind IS NULL GROUP BY b.source, shard),
+runs AS (
+    SELECT *, (sum(n) OVER (PARTITION BY source ORDER BY shard) - n)::BIGINT AS first,
+        ('0x' || substr(md5('mix-1:' || concat_ws(':', shard, coalesce(source, ''))), 1, 8))::BIGINT % n AS start
+    FROM shards WHERE n > 0),
+chosen AS (  -- the words of each selected block on its source's line
+    SELECT source, (first + b) * w AS lo, (first + b + 1) * w AS hi
+    FROM (SELECT *, unnest(range(n)) AS b FROM runs), words
+    WHERE (b + 1 + start) * quota // n > (b + start) * quota // n),
 lined AS (
-    SELECT *, sum(size) OVER (
-        PARTITION BY source ORDER BY md5('{SEED}:' || coalesce(doc_id::VARCHAR, '')), doc_id NULLS FIRST, size) - size AS at0
+    SELECT *, row_number() OVER () AS row_id, sum(size) OVER (
+        PARTITION BY source ORDER BY md5('mix-1:' || coalesce(doc_id::VARCHAR, '')), doc_id NULLS FIRST, size) - size AS at0
     FROM d),
 passes AS (
-    SELECT doc_id, size, source_size, target, at0, p, at0 + p * source_size AS a, at0 + p * source_size + size AS b,
-        start, length, line, row_id
-    FROM (SELECT *, row_number() OVER () AS row_id FROM lined) l
-    JOIN placed ON l.source IS NOT DISTINCT FROM placed.source, (VALUES (0), (1)) AS t(p))
-SELECT doc_id, size, source_size, target,
-    sum(greatest(least(b, start + length) - greatest(a, start), 0) + greatest(least(b, start + length - line) - a, 0))::BIGINT AS taken
-FROM passes GROUP BY row_id, doc_id, size, source_size, target
+    SELECT row_id, l.source, size, at0 + p * source_size AS a, at0 + p * source_size + size AS b
+    FROM lined l JOIN plan ON l.source IS NOT DISTINCT FROM plan.source, (VALUES (0), (1)) AS t(p) WHERE size > 0),
+given AS (
+    SELECT row_id, sum(least(hi, b) - greatest(lo, a))::BIGINT AS taken
+    FROM passes JOIN chosen ON passes.source IS NOT DISTINCT FROM chosen.source AND lo < b AND a < hi GROUP BY row_id)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken
+FROM lined l JOIN plan ON l.source IS NOT DISTINCT FROM plan.source LEFT JOIN given USING (row_id)
 """
 
 

@@ -1,9 +1,11 @@
+import random
 import re
 
 import edges
 import pytest
+from pyspark.sql import functions as F
 
-from tamarack.llm.mixing import BLOCK, mix, quotas, shard_quotas, targets
+from tamarack.llm.mixing import BLOCK, mix, quotas, selected, selections, shard_quotas, targets
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -61,6 +63,40 @@ def test_odd_rows(spark):
     assert mix(edges.empty(spark)).count() == 0
 
 
+def test_small_sources_come_near_their_targets(spark):
+    """Sources of a few words beside large ones: all are taken to within half a word in two."""
+    rng = random.Random(3)
+    rows = [(i, " ".join(["w"] * rng.randint(1, 400)), "a large") for i in range(200)]
+    for s, n in enumerate((1, 2, 3, 6, 17, 40, 90)):
+        rows.append((1000 + s, " ".join(["w"] * n), f"small {s}"))
+    sizes = {}
+    for _, text, source in rows:
+        sizes[source] = sizes.get(source, 0) + len(text.split())
+    want = poured(sizes)
+    taken = {}
+    for r in mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect():
+        taken[r.source_key[1:]] = taken.get(r.source_key[1:], 0) + r.taken
+    for source, n in taken.items():
+        assert abs(n - want[source]) <= max(0.5, 0.1 * want[source]) and n > 0
+
+
+def test_selected_blocks_fill_the_quotas_of_the_shards(spark):
+    """Every shard's blocks one by one, against the arithmetic."""
+    sizes = spark.createDataFrame([(f"0s{i}", 50 + 977 * i) for i in range(12)], "source_key string, size long")
+    plan = selections(quotas(targets(sizes), block=8), shards=5)
+    for r in plan.collect():
+        chosen = set()
+        assert sum(s.n for s in r.shards) == r.blocks and sum(s.quota for s in r.shards) == r.quota
+        for s in r.shards:
+            own = {s.first + b for b in range(s.n) if (b + 1 + s.start) * s.quota // s.n > (b + s.start) * s.quota // s.n}
+            assert len(own) == s.quota
+            chosen |= own
+        places = [0, 1, 7, 8, 9, 8 * r.blocks // 2 + 3, 8 * r.blocks - 1, 8 * r.blocks, 8 * r.blocks + 5]
+        one = plan.filter(F.col("source_key") == r.source_key)
+        got = one.select(*[selected(F.lit(w).cast("long"), F.col("shards"), 8).alias(f"c{i}") for i, w in enumerate(places)]).first()
+        assert list(got) == [sum(max(0, min(8, w - 8 * b)) for b in chosen) for w in places]
+
+
 def test_one_source_with_nothing_to_take(spark):
     rows = [(1, "", "a"), (2, None, "a")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")

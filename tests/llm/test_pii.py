@@ -42,15 +42,13 @@ def written(spans):
 
 def disclosed(rows, threshold=pii.THRESHOLD):
     """(doc_id, text) -> hidden terms, all counts by hand."""
-    term = re.compile(r"[^\W_]{4,}")
+    term = re.compile(r"[^\W_]+")
     near, entities, df = [], {}, {}
     for doc_id, text in rows:
         for t in set(term.findall((text or "").lower())):
             df[t] = df.get(t, 0) + 1
-        held = {}
-        for start, _, end, kind, value in base(text or ""):
-            around = text[max(0, start - pii.NEAR) : start] + " " + text[end : end + pii.NEAR]
-            held.setdefault(f"{kind}:{value.lower()}", set()).update(term.findall(around.lower()))
+        terms = set(term.findall((text or "").lower()))
+        held = {f"{kind}:{value.lower()}": terms for _, _, _, kind, value in base(text or "")}
         for e, terms in held.items():
             entities[e] = entities.get(e, 0) + 1
             near += [(doc_id, text, e, t) for t in terms]
@@ -161,6 +159,34 @@ def test_sanitize_hides_short_names(spark):
     assert all(clean[i] == text for i, text in rows if i % 20)
 
 
+def test_report_and_sanitize_hide_the_same_terms(spark):
+    """Short names near an address, and names far off."""
+    rows = [(i, t.replace(" Ann Marlowe ", " Kim Marlowe ")) for i, t in far_apart()] + [(500, "Kim at kim@x.org"), (501, "kim@x.org is Kim")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    clean = {r.doc_id: r.text for r in pii.sanitize(docs).collect()}
+    spans = {r.doc_id: [x.split(":") for x in r.spans.split(",") if x] for r in pii.report(docs).collect()}
+    for doc_id, text in rows:
+        told = {text[int(a) : int(b)] for kind, a, b in spans[doc_id] if kind == "term"}
+        assert told == ({"Kim", "Marlowe"} if "Marlowe" in text else set())
+        assert not any(name in clean[doc_id] for name in told)
+    assert "Kim" in clean[500] and "Kim" in clean[501]  # Kim is in many documents without that address
+
+
+def test_directories_count_one_address_for_all(spark):
+    """Two texts with the same 1500 addresses: far fewer rows than addresses times terms."""
+    rng = random.Random(2)
+    people = [f"name{i} street{i} p{i}@mail.example.org" for i in range(1500)]
+    rows = [(1, " ".join(people)), (2, " ".join(reversed(people))), (3, f"{people[7]} alone")]
+    rows += [(10 + i, " ".join(f"word{rng.randrange(500)}" for _ in range(40))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = pii.with_spans(docs.select("doc_id", F.xxhash64("text").alias("text_id"), "text")).filter("size(spans) > 0")
+    few = pii.representatives(found)
+    assert sorted(r.df_e for r in few.collect()) == [2, 3]
+    assert pii.together(found, few.select("entity")).count() < 20_000
+    terms = [x for r in pii.report(docs).filter("doc_id < 3").collect() for x in r.spans.split(",") if x.startswith("term")]
+    assert len(terms) == 2 * 2 * 1500
+
+
 def test_odd_rows(spark):
     docs = edges.frame(spark)
     got = edges.collected(pii.report(docs))
