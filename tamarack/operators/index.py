@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamarack.functions.text import tokenize_words
-from tamarack.sources.sinks import index_buckets, term_bucket, write_index
+from tamarack.session import materialize
+from tamarack.sources.sinks import read_layout, term_bucket, write_index
 
 BLOCK = 1 << 16
+IMPACT_BLOCK = 128  # neighbouring ids whose largest share of a score is kept together
 
 
 def _tokens(text: str, mode: str, lower: bool) -> Column:
@@ -90,13 +92,31 @@ def document_frequency(pairs: DataFrame) -> DataFrame:
 class Index:
     """``postings(term, doc_id, doc_len, tf)`` and ``docs(doc_id, doc_len)``.
 
-    The postings of a saved index also have the ``bucket`` (of ``buckets``) of
-    their term, by which its files are foldered.
+    ``blocks`` are :func:`impact_blocks` of the postings, or None. The postings and blocks of a
+    saved index also have the ``bucket`` (of ``buckets``) of their term, by which its files
+    are foldered.
     """
 
     postings: DataFrame
     docs: DataFrame
     buckets: int | None = None
+    blocks: DataFrame | None = None
+
+
+def impact_block() -> Column:
+    """The block of a posting's document."""
+    return F.floor(F.col("doc_id") / IMPACT_BLOCK).cast("bigint")
+
+
+def impact_blocks(postings: DataFrame) -> DataFrame:
+    """``(term, block, n, max_tf, min_len)``: what bounds a term's share of any score in a block of documents.
+
+    A share rises with the term's frequency and falls with the document's length, so the largest
+    of the one and the smallest of the other bound it for any parameters.
+    """
+    return postings.groupBy("term", impact_block().alias("block")).agg(
+        F.count(F.lit(1)).alias("n"), F.max("tf").alias("max_tf"), F.min("doc_len").alias("min_len")
+    )
 
 
 def build_index(docs: DataFrame, length: str = "distinct", mode: str = "strip", lower: bool = False) -> Index:
@@ -109,14 +129,17 @@ def build_index(docs: DataFrame, length: str = "distinct", mode: str = "strip",
 
 def save_index(index: Index, path: str, buckets: int = 64) -> None:
     """Write an index for :func:`load_index`; a frequent term fills several files."""
-    write_index(index.postings, f"{path}/postings", buckets, by=F.floor(F.col("doc_id") / BLOCK))
+    postings = materialize(index.postings, "postings")  # used twice
+    write_index(postings, f"{path}/postings", buckets, by=F.floor(F.col("doc_id") / BLOCK))
+    write_index(impact_blocks(postings), f"{path}/blocks", buckets)
     index.docs.write.mode("overwrite").parquet(f"{path}/docs")
 
 
 def load_index(spark: SparkSession, path: str) -> Index:
     """A saved index; a search reads only the buckets of the words asked for."""
-    postings = spark.read.parquet(f"{path}/postings")
-    return Index(postings.drop("of"), spark.read.parquet(f"{path}/docs"), index_buckets(postings))
+    postings, buckets = read_layout(spark, f"{path}/postings")
+    blocks, _ = read_layout(spark, f"{path}/blocks")
+    return Index(postings, spark.read.parquet(f"{path}/docs"), buckets, blocks)
 
 
 def _block(block_size: int) -> Column:
@@ -154,11 +177,11 @@ def lookup_term(index: DataFrame, term: str) -> DataFrame:
 
 def read_index(spark: SparkSession, path: str, term: str | None = None) -> DataFrame:
     """A saved index; with ``term``, only that term's bucket is read."""
-    saved = spark.read.parquet(path)
+    saved, buckets = read_layout(spark, path)
     if term is not None:
-        saved = saved.filter(F.col("bucket") == term_bucket(F.lit(term), index_buckets(saved)))
+        saved = saved.filter(F.col("bucket") == term_bucket(F.lit(term), buckets))
         saved = saved.filter(F.col("term") == term)
-    return saved.drop("of", "bucket")
+    return saved.drop("bucket")
 
 
 def index_differences(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -118,17 +118,17 @@ def box_summary(df: DataFrame, by: str, value: str) -> DataFrame:
     """
     known = df.filter(F.col(by).isNotNull())
     values = known.select(by, F.col(value).cast("double").alias(value))
-    counts = materialize(value_counts(values, value, [by]), "counts")
-    boxes = materialize(quantiles(counts, value, QUARTILES, [by]), "boxes")
+    values = materialize(values.filter(F.col(value).isNotNull()), "values")
+    boxes = materialize(quantiles(values, value, QUARTILES, [by], weight=None), "boxes")
     v, reach = F.col(value), 1.5 * (F.col("q3") - F.col("q1"))
     low, high = F.col("q1") - reach, F.col("q3") + reach
     inside = v.between(low, high)
-    placed = join_small(counts, boxes, [by])
+    placed = join_small(values, boxes, [by])
     return placed.groupBy(by, *QUARTILES).agg(
-        F.sum("n").alias("n"),
+        F.count(F.lit(1)).alias("n"),
         F.min(F.when(inside, v)).alias("whisker_lo"),
         F.max(F.when(inside, v)).alias("whisker_hi"),
-        F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("n_outliers"),
+        F.count_if(~inside).alias("n_outliers"),
     )
 
 

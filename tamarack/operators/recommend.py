@@ -86,6 +86,23 @@ def number_ids(df: DataFrame, key: str) -> DataFrame:
     return materialize(row_index(known, [key], "number"), "ids")
 
 
+def prepare(train: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both parts with their means, the baseline they give, and numbers for users and items; written once.
+
+    For several models of one split. Pairs with a user or item that is not in ``train`` are left out.
+    """
+    numbers = {}
+    for key in ("user", "item"):
+        numbers[key] = number_ids(train, key).select(key, F.col("number").cast("int").alias(f"{key}_number"))
+    known, parts = materialize(train, "train"), []
+    for rows in (known, test):
+        joined = join_means(rows, known).withColumn("baseline", baseline(known))
+        for key in ("user", "item"):
+            joined = join_lookup(joined, numbers[key], [key])
+        parts.append(materialize(joined, "prepared"))
+    return parts[0], parts[1]
+
+
 def als_rmse(
     train: DataFrame,
     test: DataFrame,
@@ -99,18 +116,12 @@ def als_rmse(
 
     Ids of any type and size: users and items are numbered first, as MLlib asks for
     32-bit integers. Pairs with a user or item that is not in ``train`` are left out.
+    Takes the parts as they are or from :func:`prepare`.
     """
     scratch_root(train.sparkSession)  # ALS cuts its lineage there on long runs
-    target = "user_item_interaction" if bias else "rating"
-    learn = train
-    if bias:
-        learn = join_means(train, train).withColumn(target, F.col("rating") - baseline(train))
-        test = join_means(test, train)
-    learn = learn.select("user", "item", F.col(target).cast("float").alias(target))
-    for key in ("user", "item"):
-        numbers = number_ids(train, key)
-        numbers = numbers.select(key, F.col("number").cast("int").alias(f"{key}_number"))
-        learn, test = join_lookup(learn, numbers, [key]), join_lookup(test, numbers, [key])
+    if "user_number" not in train.columns:
+        train, test = prepare(train, test)
+    target = F.col("rating") - F.col("baseline") if bias else F.col("rating")
     als = ALS(
         maxIter=max_iter,
         rank=rank,
@@ -118,10 +129,11 @@ def als_rmse(
         seed=seed,
         userCol="user_number",
         itemCol="item_number",
-        ratingCol=target,
+        ratingCol="__target",
         coldStartStrategy="drop",
     )
-    scored = als.fit(materialize(learn, "als")).transform(test)
+    learn = train.select("user_number", "item_number", target.cast("float").alias("__target"))
+    scored = als.fit(learn).transform(test)
     if bias:
-        scored = scored.withColumn("prediction", F.col("prediction") + baseline(train))
+        scored = scored.withColumn("prediction", F.col("prediction") + F.col("baseline"))
     return rmse(scored)

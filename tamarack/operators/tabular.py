@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamarack.functions.text import blank_to_null
-from tamarack.operators.joins import join_small
+from tamarack.operators.joins import fits_broadcast, join_small
 
 
 def filter_not_blank(df: DataFrame, col: str) -> DataFrame:
@@ -92,6 +92,33 @@ def anti_join_seen(batch: DataFrame, seen: DataFrame, key: str) -> DataFrame:
     return batch.join(known, batch[key].eqNullSafe(known["__seen"]), "left_anti")
 
 
+def store_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int = 64) -> None:
+    """Save ``df`` as the table ``name``, bucketed and sorted by ``key``: joins on the key do not shuffle it."""
+    writer = df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    writer.option("path", path).saveAsTable(name)
+
+
+def rows_by_stored(batch: DataFrame, name: str, key: str, known: bool) -> DataFrame:
+    """Rows of ``batch`` whose key the table of :func:`store_bucketed` has (``known``) or has not.
+
+    The stored rows never move. For a batch measured to be small they are first cut to its keys, which
+    every task of their scan is sent; else the batch alone is shuffled to their buckets. NULL is a key
+    like any other.
+    """
+    stored = batch.sparkSession.table(name).select(F.col(key).alias("__stored"))
+    how = "left_semi" if known else "left_anti"
+    keyed, null = batch.filter(F.col(key).isNotNull()), batch.filter(F.col(key).isNull())
+    keys = keyed.select(F.col(key).alias("__stored")).distinct()
+    same = keyed[key] == F.col("__stored")
+    if fits_broadcast(keys):
+        held = stored.join(F.broadcast(keys), "__stored", "left_semi").distinct()  # no more than the batch has
+        found = keyed.join(F.broadcast(held), same, how)
+    else:
+        found = keyed.join(stored.hint("merge"), same, how)
+    any_null = stored.filter("__stored IS NULL").limit(1).agg(F.count(F.lit(1))).scalar() > 0
+    return found.unionByName(null.filter(any_null if known else ~any_null))
+
+
 def one_per_key(df: DataFrame, key: str) -> DataFrame:
     """One row per key, the smallest by its other columns."""
     rest = [c for c in df.columns if c != key]
@@ -130,6 +157,17 @@ def pivot_mean(df: DataFrame, rows: str, columns: str, value: str) -> DataFrame:
     return kept.groupBy(rows).pivot(columns, wanted).agg(F.avg(value)).na.fill(0.0)
 
 
+def pivot_sparse(df: DataFrame, rows: str, columns: str, value: str) -> DataFrame:
+    """Mean of ``value`` by ``rows`` x ``columns``: per row one map of the cells that are there, in order.
+
+    The names of the columns are data here, not schema, so there may be any number of them and
+    none comes to the driver. A row of the result is as large as its own cells.
+    """
+    cells = pivot_cells(df, rows, columns, value)
+    held = F.sort_array(F.collect_list(F.struct(columns, value)))
+    return cells.groupBy(rows).agg(F.map_from_entries(held).alias("cells"))
+
+
 def pivot_mean_smaller(df: DataFrame, a: str, b: str, value: str) -> DataFrame:
     """:func:`pivot_mean` with the column of fewer distinct values across (``a`` on a tie)."""
     n_a, n_b = df.agg(F.countDistinct(a), F.countDistinct(b)).first()

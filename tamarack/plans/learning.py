@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.ml.classification import DecisionTreeClassificationModel
 from pyspark.sql import functions as F
 
+from tamarack.operators import boosting as bo
 from tamarack.operators import classify as cl
 from tamarack.operators import features as ft
 from tamarack.operators import metrics as me
@@ -14,6 +15,7 @@ from tamarack.plans.registry import Tables, query
 from tamarack.plans.tabular import EVENTS, LOG_SQL, NULL_KEY_SQL, events_with_null_key, read_training_log
 from tamarack.plans.views import labelled, matches, players, with_views
 from tamarack.session import materialize, scratch_path
+from tamarack.sources import readers
 from tamarack.streaming import incremental as inc
 
 MATCHES = with_views("v_matches")
@@ -41,6 +43,17 @@ def label_encode(t: Tables):
     return ft.label_encode(matches(t).select("match_id", "winner"), "winner")
 
 
+@query(
+    "label_decode",
+    MATCHES + "SELECT match_id, dense_rank() OVER (ORDER BY winner) - 1 AS label_index, winner AS decoded FROM v_matches",
+)
+def label_decode(t: Tables):
+    """Class numbers back to names, as for predictions."""
+    coded = materialize(ft.label_encode(matches(t).select("match_id", "winner"), "winner"), "coded")
+    classes = coded.select(F.col("winner").alias("name"), F.col("label_index").alias("index")).distinct()
+    return ft.label_decode(coded.drop("winner"), "label_index", classes, "decoded")
+
+
 STATS = ["n_lines", "qty", "qty_lo", "qty_hi"]
 COLOR_SQL = """CASE WHEN lower(trim(winner)) = 'nc' THEN 'nc' WHEN lower(trim(winner)) IN ('d', 'draw') THEN 'd'
     WHEN lower(trim(winner)) = lower(trim(fighter_a)) THEN 'red'
@@ -130,36 +143,41 @@ WINNER_SQL = (
 )
 
 
-def _player_split(t: Tables):
-    """A model of four fifths of the users; all of them are scored, as few are left over."""
-    rows = materialize(ft.assemble(players(t), PLAYER_FEATURES), "players")
-    return split_by_key(rows, ["user_id"])[0], rows
+def _players(t: Tables):
+    return materialize(ft.assemble(players(t), PLAYER_FEATURES), "players")
 
 
 @query("decision_tree_churn", CHURN_SQL)
 def decision_tree_churn(t: Tables):
-    train, everyone = _player_split(t)
-    return _verdict(cl.score(cl.fit_decision_tree(train, "churn"), everyone), "churn")
+    """Every user is scored by a tree fitted on four fifths of the others."""
+    scored = cl.score_held_out(_players(t), lambda rows: cl.fit_decision_tree(rows, "churn"), ["user_id"])
+    return _verdict(scored, "churn")
 
 
 @query("random_forest", CHURN_SQL)
 def random_forest(t: Tables):
-    train, everyone = _player_split(t)
-    return _verdict(cl.score(cl.fit_random_forest(train, "churn"), everyone), "churn")
+    """Every user is scored by a forest fitted on two thirds of the others."""
+    scored = cl.score_held_out(_players(t), lambda rows: cl.fit_random_forest(rows, "churn"), ["user_id"], folds=3)
+    return _verdict(scored, "churn")
 
 
 @query("score_batch", CHURN_SQL)
 def score_batch(t: Tables):
-    """A model of four fifths of the users is saved, loaded, and scores all users."""
-    train, everyone = _player_split(t)
-    path = scratch_path(t.spark, "model")
-    cl.fit_decision_tree(train, "churn").save(path)
-    model = DecisionTreeClassificationModel.load(path)
-    return _verdict(cl.score(model, everyone), "churn")
+    """Models are saved, loaded, and score the users that they were not fitted on."""
+
+    def stored(rows):
+        path = scratch_path(t.spark, "model")
+        cl.fit_decision_tree(rows, "churn").save(path)
+        return DecisionTreeClassificationModel.load(path)
+
+    return _verdict(cl.score_held_out(_players(t), stored, ["user_id"], folds=3), "churn")
 
 
 def _match_split(t: Tables):
-    rows = materialize(_features(t).select("match_id", "label_index", "features"), "features")
+    """Features on one scale, which the solver needs a tenth of the steps for."""
+    rows = materialize(_features(t).select("match_id", "label_index", *STATS, "fighter_a_vec", "fighter_b_vec"), "columns")
+    rows = ft.assemble(ft.scale_columns(rows, STATS), [*STATS, "fighter_a_vec", "fighter_b_vec"])
+    rows = materialize(rows.select("match_id", "label_index", "features"), "features")
     train, test = split_by_key(rows, ["match_id"])
     return train, ft.drop_unseen_labels(train, test, "label_index")
 
@@ -170,11 +188,50 @@ def logreg_multinomial(t: Tables):
     return _verdict(cl.score(cl.fit_logreg(train, "label_index"), test), "label_index")
 
 
-@query("boosted_trees", WINNER_SQL)
+def _three_parts(t: Tables):
+    """Matches to fit on, to watch the rounds on, and to judge the model on: 3/5, 1/5 and 1/5."""
+    rows = materialize(_features(t).select("match_id", "label_index", "features"), "features")
+    rest, judged = split_by_key(rows, ["match_id"])
+    train, watched = split_by_key(rest, ["match_id"], test_fraction=0.25, seed=1)
+    return train, watched, ft.drop_unseen_labels(train, judged, "label_index")
+
+
+WATCHED_SQL = "CAST('0x' || substr(md5('1|' || match_id), 1, 7) AS BIGINT) < 67108864"
+ROUNDS = 500
+BOOSTED_SQL = (
+    MATCHES + f", w AS (SELECT match_id, {COLOR_SQL} AS color FROM v_matches), test AS (SELECT color FROM w WHERE {TEST_SQL} "
+    f"AND color IN (SELECT color FROM w WHERE NOT {TEST_SQL} AND NOT {WATCHED_SQL})) "
+    f"SELECT *, {ROUNDS} AS n_rounds, true AS best_kept FROM (" + _verdict_sql("test", "color") + ")"
+)
+
+
+@query("boosted_trees", BOOSTED_SQL)
 def boosted_trees(t: Tables):
-    """Up to 500 rounds of depth 8 for each class, each stopped when the held-out part no longer improves."""
-    train, test = _match_split(t)
-    return _verdict(cl.score_boosted(cl.fit_boosted(train, test, "label_index"), test), "label_index")
+    """500 rounds of depth 8, all run; the round that does best on the watched part scores the judged part."""
+    train, watched, judged = _three_parts(t)
+    model = bo.fit_boosted(train, watched, "label_index", rounds=ROUNDS)
+    verdict = _verdict(bo.score_boosted(model, judged), "label_index")
+    log = model.log
+    kept = log.filter(F.col("iter") == model.best).agg(F.first("test_accuracy")).scalar()
+    return verdict.withColumns(
+        {
+            "n_rounds": log.agg(F.count(F.lit(1)).cast("int")).scalar(),
+            "best_kept": kept == log.agg(F.max("test_accuracy")).scalar(),
+        }
+    )
+
+
+@query("boosting_curve")
+def boosting_curve(t: Tables):
+    """The log of that fit, stored and read as training logs are, with its best round marked."""
+    train, watched, _ = _three_parts(t)
+    model = bo.fit_boosted(train, watched, "label_index", rounds=ROUNDS)
+    logs = []
+    for log in bo.read_logs(model):
+        path = scratch_path(t.spark, "log")
+        log.write.option("header", True).option("sep", "\t").csv(path)
+        logs.append(readers.read_tsv_log(t.spark, path))
+    return me.training_curve(*logs)
 
 
 # ---------------------------------------------------------------- metrics
@@ -283,3 +340,19 @@ def incremental_append_stream(t: Tables):
         run = inc.append_stream(stream, path, "event_id", scratch_path(t.spark, "stream"))
         run.awaitTermination()
     return inc.read_history(t.spark, path)
+
+
+@query("incremental_append_stateful", NULL_KEY_SQL)
+def incremental_append_stateful(t: Tables):
+    """The table arrives in two overlapping deliveries on top of nothing; the keys seen are state. Then the parts are made one."""
+    events = events_with_null_key(t)
+    path, arriving = scratch_path(t.spark, "history"), scratch_path(t.spark, "arriving")
+    rows, checkpoint = events.select(*EVENTS), scratch_path(t.spark, "stream")
+    inc.start_history(rows.limit(0), path, "event_id", buckets=8)
+    deliveries = (("ts", "<", "2024-01-20 00:00:00"), ("ts", ">=", "2024-01-10 00:00:00"))
+    for column, side, day in deliveries:
+        events.filter(f"{column} {side} TIMESTAMP '{day}'").select(*EVENTS).write.mode("append").parquet(arriving)
+        stream = t.spark.readStream.schema(rows.schema).parquet(arriving)
+        inc.append_stateful(stream, path, "event_id", checkpoint).awaitTermination()
+    inc.compact_history(t.spark, path, "event_id")
+    return inc.read_history(t.spark, path)

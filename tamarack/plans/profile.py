@@ -23,8 +23,8 @@ def mode_smallest(t: Tables):
 
 
 def _price_quantiles(t: Tables, **wanted):
-    counts = materialize(ordering.value_counts(tips(t), "price"), "counts")
-    return ordering.quantiles(counts, "price", wanted)
+    prices = materialize(tips(t).select("price"), "prices")
+    return ordering.quantiles(prices, "price", wanted, weight=None)
 
 
 @query("median_exact", TIPS + "SELECT round(quantile_cont(price, 0.5), 6) AS median FROM v_tips")
@@ -160,6 +160,34 @@ def pivot_mean(t: Tables):
     return table.select("prio", *[F.round(c, 4).alias(c) for c in table.columns if c != "prio"])
 
 
+PARTS = "v_tips JOIN orders ON orderkey = o_orderkey"
+CELLS = f"SELECT prio, o_custkey, round(avg(price), 8) AS price FROM {PARTS} WHERE price IS NOT NULL GROUP BY prio, o_custkey"
+
+
+def _by_customer(t: Tables):
+    """Prices by priority and customer: far more customers than a table could have columns."""
+    orders = t("orders").select(F.col("o_orderkey").alias("orderkey"), "o_custkey")
+    return tips(t).join(orders, "orderkey")
+
+
+@query("pivot_cells", TIPS + CELLS)
+def pivot_cells(t: Tables):
+    return tab.pivot_cells(_by_customer(t), "prio", "o_custkey", "price").withColumn("price", F.round("price", 8))
+
+
+@query(
+    "pivot_sparse",
+    TIPS + "SELECT prio, count(*) AS n_cells, string_agg(o_custkey || ':' || CAST(price AS DECIMAL(24, 8)), ',' ORDER BY o_custkey) AS cells "
+    f"FROM ({CELLS}) GROUP BY prio",
+)
+def pivot_sparse(t: Tables):
+    """A row per priority: one map from customer to mean price, here as text."""
+    wide = tab.pivot_sparse(_by_customer(t), "prio", "o_custkey", "price")
+    mean = lambda e: F.round(e["value"], 8).cast("decimal(24,8)").cast("string")
+    shown = F.transform(F.map_entries("cells"), lambda e: F.concat(e["key"].cast("string"), F.lit(":"), mean(e)))
+    return wide.select("prio", F.size("cells").cast("bigint").alias("n_cells"), F.array_join(shown, ",").alias("cells"))
+
+
 @query(
     "box_summary",
     TIPS + """, q AS (SELECT prio, quantile_cont(price, 0.25) AS q1, quantile_cont(price, 0.5) AS median,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tamarack.functions.text import strip_punctuation
 from tamarack.operators import index as ix
 from tamarack.operators import search as se
+from tamarack.operators import segments as sg
 from tamarack.plans.registry import Tables, query
 from tamarack.plans.tabular import SQL_PUNCT, TOKENS_SQL
 from tamarack.session import scratch_path
@@ -216,6 +217,21 @@ def search_saved_index(t: Tables):
     return se.search_batch(ix.load_index(t.spark, path), _passages(t), k=10)
 
 
+@query("search_segments", BATCH_SQL)
+def search_segments(t: Tables):
+    """The same search over an index that grew in batches: some texts replaced, some deleted and added again."""
+    docs, path = t("documents").select("doc_id", "text"), scratch_path(t.spark, "segments")
+    even, third = F.col("doc_id") % 2 == 0, F.col("doc_id") % 3 == 0
+    sg.create_segments(t.spark, path, buckets=8)
+    old = docs.withColumn("text", F.when(third, F.lit("an older text")).otherwise(F.col("text")))
+    sg.add_segment(t.spark, path, old.filter(even), "first")
+    sg.delete_documents(t.spark, path, docs.filter(even & (F.col("doc_id") % 5 == 0)))
+    sg.add_segment(t.spark, path, docs.filter(~even | third | (F.col("doc_id") % 5 == 0)), "second")
+    sg.merge_segments(t.spark, path, "merged")
+    sg.drop_unused(t.spark, path)
+    return se.search_batch(sg.load_segments(t.spark, path), _passages(t), k=10)
+
+
 @query(
     "informativeness",
     """WITH tok AS (SELECT DISTINCT lang AS cluster, doc_id, unnest({0}) AS term FROM documents),

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tamarack.functions import text as tx
-from tamarack.operators import joins, ordering
+from tamarack.operators import ordering
+from tamarack.operators import sketches as sk
 from tamarack.operators import tabular as tab
 from tamarack.plans.registry import Tables, query
-from tamarack.plans.views import labelled, matches, messy, ratings, tips, trees, with_views
-from tamarack.session import scratch_path
+from tamarack.plans.views import matches, messy, ratings, tips, trees, with_views
+from tamarack.session import materialize, scratch_path
 from tamarack.sources import readers, sinks
 
 # ---------------------------------------------------------------- sources
@@ -82,6 +85,31 @@ def csv_malformed_audit(t: Tables):
     return rows.select(status.alias("status"), F.coalesce("line", F.col("p_partkey").cast("string")).alias("detail"))
 
 
+@query(
+    "csv_repair",
+    """SELECT p_partkey, CASE p_size % 7 WHEN 1 THEN p_name || ', new' WHEN 2 THEN p_name || ', new, boxed' ELSE p_name END AS name,
+         CASE WHEN p_size % 7 = 3 THEN p_brand || ', old' ELSE p_brand END AS brand, p_size, p_retailprice, 1 AS n_fits
+       FROM part WHERE p_size % 7 < 4
+       UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, CASE p_size % 7 WHEN 4 THEN 2 ELSE 0 END FROM part WHERE p_size % 7 >= 4""",
+)
+def csv_repair(t: Tables):
+    """Names and brands with one or more unquoted commas; lines with several fits or none stay without values."""
+    path = scratch_path(t.spark, "csv-cut")
+    kind, key, size = F.col("p_size") % 7, F.col("p_partkey").cast("string"), F.col("p_size").cast("string")
+    name = F.when(kind == 1, F.concat("p_name", F.lit(", new"))).when(kind == 2, F.concat("p_name", F.lit(", new, boxed")))
+    name = name.when(kind == 5, F.concat("p_name", F.lit(",new"))).otherwise(F.col("p_name"))
+    # A brand after a blank might as well be part of the name.
+    brand = F.when(kind == 3, F.concat("p_brand", F.lit(", old"))).when(kind == 4, F.concat(F.lit(" or, "), "p_brand"))
+    line = F.concat_ws(
+        ",", key, name, brand.otherwise(F.col("p_brand")), F.when(kind == 6, F.lit("big")).otherwise(size),
+        F.col("p_retailprice").cast("string"),
+    )
+    t("part").select(line).write.text(path)
+    lines = t.spark.read.text(path).withColumnRenamed("value", "line")
+    schema = "p_partkey bigint, name string, brand string, p_size int, p_retailprice double"
+    return readers.repair_csv_lines(lines, schema).drop("line")
+
+
 @query(
     "scan_delimited_text",
     "SELECT o_custkey AS \"user\", o_orderkey AS item, CASE WHEN o_orderstatus = 'F' THEN NULL "
@@ -370,6 +398,74 @@ def anti_join_seen(t: Tables):
     return tab.anti_join_seen(rows, seen, "event_id")
 
 
+def _stored_events(t: Tables):
+    """The events known so far as a table bucketed by their id, one of them without."""
+    cut = F.lit("2024-01-20 00:00:00").cast("timestamp")
+    name, path = f"seen_{uuid.uuid4().hex}", scratch_path(t.spark, "stored")
+    tab.store_bucketed(events_with_null_key(t).filter(F.col("ts") < cut), name, path, "event_id", buckets=8)
+    return name
+
+
+@query(
+    "anti_join_bucketed",
+    "SELECT event_id, user_id, event_type, value FROM events WHERE event_id NOT IN "
+    "(SELECT event_id FROM events WHERE ts < TIMESTAMP '2024-01-20 00:00:00')",
+)
+def anti_join_bucketed(t: Tables):
+    """Against a stored history whose rows stay where they are."""
+    rows = t("events").select("event_id", "user_id", "event_type", "value")
+    last = t("events").agg(F.max("event_id")).scalar()
+    found = tab.rows_by_stored(rows, _stored_events(t), "event_id", known=False)
+    stored_last = t("events").filter("ts < TIMESTAMP '2024-01-20 00:00:00'").agg(F.max("event_id")).scalar()
+    return found.filter((F.col("event_id") != last) | (last != F.coalesce(stored_last, F.lit(-1))))
+
+
+@query(
+    "semi_join_bucketed",
+    "SELECT event_id, user_id, event_type, value FROM events WHERE event_id IN "
+    "(SELECT event_id FROM events WHERE ts < TIMESTAMP '2024-01-20 00:00:00') AND event_id < (SELECT max(event_id) FROM events)",
+)
+def semi_join_bucketed(t: Tables):
+    rows = t("events").select("event_id", "user_id", "event_type", "value")
+    return tab.rows_by_stored(rows, _stored_events(t), "event_id", known=True)
+
+
+@query(
+    "sketches_by_day",
+    """WITH d AS (SELECT *, CAST(ts AS DATE) AS day FROM events)
+      SELECT event_type, count(*) AS n, count(DISTINCT day) AS n_days, count(DISTINCT user_id) AS exact_users,
+        true AS users_close, true AS same_as_direct, true AS median_close FROM d GROUP BY event_type""",
+)
+def sketches_by_day(t: Tables):
+    """Sketches kept per day and merged, beside direct ones and the exact numbers.
+
+    Distinct counts within 4 % (five standard errors); the merged median's exact rank within 3.5 %.
+    """
+    events = t("events").withColumn("day", F.to_date("ts"))
+    path = scratch_path(t.spark, "sketches")
+    sk.sketch_parts(events, ["event_type", "day"], "user_id", "value").write.parquet(path)
+    daily = t.spark.read.parquet(path)
+    merged = sk.read_sketches(sk.merge_sketches(daily, ["event_type"]), {"median": 0.5})
+    direct = sk.read_sketches(sk.sketch_parts(events, ["event_type"], "user_id", "value"), {"direct": 0.5})
+    both = materialize(merged.join(direct.select("event_type", F.col("n_distinct").alias("direct_users"), "direct"), "event_type"), "merged")
+    exact = events.join(F.broadcast(both.select("event_type", "median", "direct")), "event_type").groupBy("event_type").agg(
+        F.countDistinct("day").alias("n_days"),
+        F.countDistinct("user_id").alias("exact_users"),
+        *[F.avg((F.col("value") < F.col(c)).cast("int")).alias(f"{c}_below") for c in ("median", "direct")],
+        *[F.avg((F.col("value") <= F.col(c)).cast("int")).alias(f"{c}_upto") for c in ("median", "direct")],
+    )
+
+    def central(c: str):
+        return (F.col(f"{c}_below") <= 0.535) & (F.col(f"{c}_upto") >= 0.465)
+
+    found = both.join(exact, "event_type")
+    close = F.abs(F.col("n_distinct") - F.col("exact_users")) <= 0.04 * F.col("exact_users") + 1
+    return found.select(
+        "event_type", "n", "n_days", "exact_users", close.alias("users_close"),
+        (F.col("n_distinct") == F.col("direct_users")).alias("same_as_direct"), (central("median") & central("direct")).alias("median_close"),
+    )
+
+
 @query(
     "join_scalar",
     "SELECT l_orderkey, l_linenumber, round(l_quantity - (SELECT avg(l_quantity) FROM lineitem), 6) "

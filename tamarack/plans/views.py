@@ -24,7 +24,7 @@ VIEW_SQL = {
     "v_taste": """
         SELECT "user", item, rating + ("user" % 7) * 0.4 + (item % 5) * 0.3
                + CASE WHEN "user" % 3 = item % 3 THEN 1 ELSE 0 END AS rating
-        FROM (SELECT 5000000000 + o_custkey % 97 AS "user", l_partkey % 61 AS item, avg(l_quantity) / 100 AS rating
+        FROM (SELECT 5000000000 + o_custkey AS "user", l_partkey AS item, avg(l_quantity) / 100 AS rating
               FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL)""",
     "v_tips": """
         SELECT l_orderkey AS orderkey, l_returnflag AS flag, p_size AS ord_size,
@@ -85,11 +85,7 @@ def ratings(t: Tables) -> DataFrame:
 
 
 def taste(t: Tables) -> DataFrame:
-    """Ratings with effects of the user, of the item and of both; user ids beyond 32 bits.
-
-    One for each customer and part. The check query folds both to a few ids, but asks only
-    whether there are ratings.
-    """
+    """A rating for each customer and part, with effects of both and of the pair; user ids beyond 32 bits."""
     user, item = F.lit(5_000_000_000) + F.col("o_custkey"), F.col("l_partkey")
     both = F.when(F.col("user") % 3 == F.col("item") % 3, 1).otherwise(0)
     means = (

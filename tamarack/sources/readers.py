@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,6 +53,76 @@ def read_csv_audited(spark: SparkSession, path: str, schema: str, header: bool =
     )
 
 
+# How a field of each type is written.
+_WRITTEN = {
+    "int": r"[+-]?[0-9]{1,9}", "bigint": r"[+-]?[0-9]{1,18}", "smallint": r"[+-]?[0-9]{1,4}", "boolean": "(?i)true|false",
+    "double": r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?", "float": r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?",
+    "date": r"[0-9]{4}-[0-9]{2}-[0-9]{2}",
+}
+
+
+def repair_csv_lines(rows: DataFrame, schema: str, line: str = "line", patterns: dict[str, str] | None = None) -> DataFrame:
+    """Lines whose unquoted commas cut a text in two, put together again where that can be done in one way.
+
+    Neighbouring fields are joined until the line has the columns of ``schema`` and every field
+    can be of its type. A comma belongs to a text only if a blank follows it; other types are one
+    field, and may be empty. ``patterns`` are regular expressions for whole texts of a column. Adds the
+    columns of the schema and ``n_fits``, the ways to fit the line: 1, else the columns are NULL;
+    2 stands for two or more. All ways are counted column by column, in a state no longer than the line.
+    Quotes are not looked at, so lines that have any are not fitted.
+    """
+    fields, patterns = T._parse_datatype_string(schema).fields, patterns or {}
+    texts = [isinstance(f.dataType, T.StringType) for f in fields]
+    known = [patterns.get(f.name) or _WRITTEN.get(f.dataType.simpleString(), ".*") for f in fields]
+    known = [p if text else rf"\s*({p})?\s*" for p, text in zip(known, texts, strict=True)]
+    known = [".*" if text and f.name not in patterns else p for p, text, f in zip(known, texts, fields, strict=True)]
+    columns = F.array(
+        *[F.struct(F.lit(rf"(?s)^(?:{p})$").alias("pattern"), F.lit(t).alias("text")) for p, t in zip(known, texts, strict=True)]
+    )
+
+    def fit(parts: Column) -> Column:
+        m = F.size(parts)
+
+        def step(state: Column, column: Column) -> Column:
+            def reach(end: Column) -> Column:
+                """Ways to fill the columns up to this one with the first ``end`` parts."""
+
+                def from_start(found: Column, start: Column) -> Column:
+                    cut = F.slice(parts, start + 1, end - start)
+                    more = F.slice(parts, start + 2, end - start - 1)
+                    joined = F.when(column["text"], F.forall(more, lambda x: x.startswith(" "))).otherwise(F.size(more) == 0)
+                    before = F.get(state, start)
+                    ok = (before["ways"] > 0) & joined & F.regexp_like(F.array_join(cut, ","), column["pattern"])
+                    both = F.struct(
+                        F.least(found["ways"] + before["ways"], F.lit(2)).alias("ways"),
+                        F.when(found["ways"] == 0, F.concat(before["ends"], F.array(end))).otherwise(found["ends"]).alias("ends"),
+                    )
+                    return F.when(ok, both).otherwise(found)
+
+                starts = F.when(end > 0, F.sequence(F.lit(0), end - 1)).otherwise(F.array().cast("array<int>"))
+                return F.aggregate(starts, nothing, from_start)
+
+            return F.transform(F.sequence(F.lit(0), m), reach)
+
+        nothing = F.struct(F.lit(0).alias("ways"), F.array().cast("array<int>").alias("ends"))
+        begun = F.struct(F.lit(1).alias("ways"), F.array().cast("array<int>").alias("ends"))
+        start = F.transform(F.sequence(F.lit(0), m), lambda i: F.when(i == 0, begun).otherwise(nothing))
+        last = F.aggregate(columns, start, step)
+        return F.get(last, m)
+
+    plain = F.when(~F.col(line).contains('"'), F.split(line, ",", -1))
+    cut = rows.withColumn("__parts", plain)
+    cut = cut.withColumn("__fit", F.when(F.size("__parts") >= len(fields), F.get(F.transform(F.array("__parts"), fit), 0)))
+    ways, ends = F.coalesce(F.col("__fit.ways"), F.lit(0)), F.col("__fit.ends")
+    out = {}
+    for i, f in enumerate(fields):
+        first = F.get(ends, i - 1) if i else F.lit(0)
+        value = F.array_join(F.slice(F.col("__parts"), first + 1, F.get(ends, i) - first), ",")
+        value = F.nullif(value, F.lit("")) if texts[i] else F.trim(value).try_cast(f.dataType)
+        out[f.name] = F.when(ways == 1, value)
+    return cut.withColumns(out | {"n_fits": ways}).drop("__parts", "__fit")
+
+
 def read_delimited(
     spark: SparkSession, path: str, schema: str, delimiter: str = "::"
 ) -> DataFrame:

@@ -1,9 +1,14 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tamarack.operators import boosting as bo
 from tamarack.operators import classify as cl
 from tamarack.operators import features as ft
 from tamarack.operators import metrics as me
+from tamarack.plans import learning
+from tamarack.plans.registry import Tables
+from tamarack.session import materialize
 
 
 def test_shared_onehot(spark):
@@ -79,20 +84,116 @@ def test_models_learn(spark):
         cl.score(cl.fit_decision_tree(rows, "y"), rows),
         cl.score(cl.fit_random_forest(rows, "y", trees=5, depth=5), rows),
         cl.score(cl.fit_logreg(rows, "y"), rows),
-        cl.score_boosted(cl.fit_boosted(rows, rows, "y", rounds=2, depth=2), rows),
+        bo.score_boosted(bo.fit_boosted(rows, rows, "y", rounds=2, depth=2), rows),
     ):
         assert me.accuracy(scored, "y", "prediction").first()[0] > 0.95
 
 
-def test_boosting_log(spark):
-    rows = spark.range(200).select(
-        (F.col("id") % 2).alias("y"), ((F.col("id") % 2) * 2 + F.rand(1)).alias("x"), F.rand(2).alias("noise")
+@pytest.fixture(scope="module")
+def signal(spark):
+    """Three classes that follow two of four columns, one label in ten at random."""
+    rows = spark.range(1500).select(
+        "id",
+        F.rand(1).alias("a"),
+        F.rand(2).alias("b"),
+        F.rand(3).alias("noise"),
+        (F.rand(4) < 0.5).cast("double").alias("flag"),
+        F.rand(5).alias("luck"),
     )
-    rows = ft.assemble(rows, ["x", "noise"]).cache()
-    models = cl.fit_boosted(rows, rows, "y", rounds=4, depth=2)
-    log = cl.boosting_log(models, rows, "y").collect()
-    for c in (0, 1):
-        own = [r for r in log if r.label == c]
-        assert [r.iter for r in own] == list(range(models[c].getNumTrees))
-        assert [r.loss for r in own if r.is_best] == [min(r.loss for r in own)]
-        assert own[-1].loss < own[0].loss
+    kind = F.when(F.col("a") + F.col("flag") > 1.1, 2).when(F.col("b") > 0.5, 1).otherwise(0)
+    rows = rows.withColumn("y", F.when(F.col("luck") < 0.1, F.floor(F.col("luck") * 30)).otherwise(kind).cast("int"))
+    return materialize(ft.assemble(rows, ["a", "b", "noise", "flag"]).select("id", "y", "features"), "signal")
+
+
+def test_all_rounds_run_and_the_best_is_kept(spark, signal):
+    train, watched, judged = (signal.filter(f"id % 5 {c}") for c in ("> 1", "= 0", "= 1"))
+    model = bo.fit_boosted(train, watched, "y", rounds=120, rate=0.1, depth=4)
+    log = sorted(model.log.collect(), key=lambda r: r.iter)
+    assert [r.iter for r in log] == list(range(120))
+    best = max(log, key=lambda r: (r.test_accuracy, -r.iter))
+    assert model.best == best.iter
+    assert log[-1].train_loss < log[20].train_loss < log[0].train_loss
+    scored = bo.score_boosted(model, judged)
+    assert scored.columns == ["id", "y", "features", "prediction"]
+    assert me.accuracy(scored, "y", "prediction").first()[0] > 0.8
+    at_best = bo.score_boosted(model, watched)
+    assert me.accuracy(at_best, "y", "prediction").first()[0] == pytest.approx(best.test_accuracy)
+    train_log, test_log = bo.read_logs(model)
+    assert me.best_iteration(test_log).first().iter == model.best
+    assert [r.iter for r in me.training_curve(train_log, test_log).filter("is_best").collect()] == [model.best]
+
+
+def test_least_loss_can_be_the_metric(signal):
+    train, watched = signal.filter("id % 2 = 0"), signal.filter("id % 2 = 1")
+    model = bo.fit_boosted(train, watched, "y", rounds=60, rate=0.3, depth=6, metric="loss")
+    log = {r.iter: r.test_loss for r in model.log.collect()}
+    assert model.best == min(log, key=lambda i: (log[i], i)) < 59  # later rounds only learn the noise
+
+
+def test_rows_dealt_to_several_ensembles(signal):
+    train, watched = signal.filter("id % 5 <> 0"), signal.filter("id % 5 = 0")
+    model = bo.fit_boosted(train, watched, "y", rounds=40, depth=4, max_rows=400)
+    assert model.trees.select("ensemble").distinct().count() == 3
+    assert max(r.test_accuracy for r in model.log.collect()) > 0.8
+    again = bo.fit_boosted(train.repartition(3, "id"), watched, "y", rounds=40, depth=4, max_rows=400)
+    assert sorted(map(str, again.trees.collect())) == sorted(map(str, model.trees.collect()))
+
+
+def test_a_round_is_the_best_split_of_each_level():
+    """Against all thresholds tried one by one."""
+    rng = np.random.default_rng(3)
+    x = np.column_stack([rng.integers(0, 5, 60), rng.integers(0, 2, 60), rng.integers(-2, 3, 60)]).astype(float)
+    g = rng.normal(0, 1, (60, 2))
+    row, feature = np.nonzero(x)
+    columns = bo.Columns(row, feature, x[row, feature], 60)
+    chosen, leaf = bo.grow(columns, g, 3)
+    sides = [(f, t) for f in range(3) for t in bo.borders_of(x[:, f])]
+    assert sorted(zip(columns.feature.tolist(), columns.threshold.tolist())) == sorted(sides)
+    have = np.zeros(60, int)
+
+    def worth(leaf):
+        return sum((g[leaf == v].sum(0) ** 2).sum() / ((leaf == v).sum() + bo.SHRINK) for v in set(leaf.tolist()))
+
+    for t in chosen:
+        best = max(worth(2 * have + (x[:, f] > b)) for f, b in sides)
+        have = 2 * have + (x[:, columns.feature[t]] > columns.threshold[t])
+        assert worth(have) == pytest.approx(best)
+    assert (have == leaf).all()
+
+
+def test_odd_tables_for_boosting(spark, signal):
+    empty = signal.filter("id < 0")
+    with pytest.raises(ValueError):
+        bo.fit_boosted(empty, signal, "y", rounds=2)
+    one = signal.filter("y = 1")
+    model = bo.fit_boosted(one, empty, "y", rounds=3, depth=2)  # one class, nothing to watch
+    assert {r.prediction for r in bo.score_boosted(model, signal).collect()} == {1} and model.best == 0
+    assert bo.score_boosted(model, empty).count() == 0
+
+
+def test_held_out_rows_only(spark):
+    """Labels without any signal are not predicted, however deep the model."""
+    rows = spark.range(400).select("id", F.rand(1).alias("a"), F.rand(2).alias("b"), (F.xxhash64("id") % 2 == 0).cast("int").alias("y"))
+    rows = materialize(ft.assemble(rows, ["a", "b"]), "rows")
+    scored = cl.score_held_out(rows, lambda r: cl.fit_decision_tree(r, "y", depth=20), ["id"], folds=2)
+    assert scored.count() == 400
+    assert 0.35 < me.accuracy(scored, "y", "prediction").first()[0] < 0.65
+    assert not learning._verdict(scored, "y").first().better
+    known = cl.score(cl.fit_decision_tree(rows, "y", depth=20), rows)
+    assert learning._verdict(known, "y").first().better  # what scoring known rows would say
+
+
+@pytest.mark.parametrize("name", ["decision_tree_churn", "score_batch", "random_forest", "boosted_trees"])
+def test_verdicts_turn_false_without_signal(spark, root, name, monkeypatch):
+    t = Tables(spark, root)
+
+    def shuffled(rows, label):
+        kinds = rows.select(label).distinct().agg(F.sort_array(F.collect_list(label))).first()[0]
+        picked = F.get(F.array(*[F.lit(k) for k in kinds]), F.pmod(F.xxhash64(rows[rows.columns[0]], F.lit(9)), F.lit(len(kinds))).cast("int"))
+        return rows.withColumn(label, picked)
+
+    real_players, real_features = learning.players, learning._features
+    monkeypatch.setattr(learning, "players", lambda t: shuffled(real_players(t), "churn"))
+    monkeypatch.setattr(learning, "_features", lambda t: shuffled(real_features(t).select("match_id", "label_index", "features"), "label_index"))
+    monkeypatch.setattr(learning, "ROUNDS", 20)
+    assert not getattr(learning, name)(t).first().better

@@ -1,6 +1,8 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tamarack.operators import profile as pf
+from tamarack.operators import sketches as sk
 from tamarack.operators import tabular as tab
 from tamarack.operators.keycluster import cluster_keys
 from tamarack.operators.ordering import value_counts
@@ -92,3 +94,60 @@ def test_append_is_idempotent(spark):
     for _ in range(3):
         history = tab.append_unseen(history, batch, "k")
         assert sorted(map(tuple, history.collect()), key=str) == sorted(want, key=str)
+
+
+def test_sparse_pivot_of_many_columns(spark):
+    """100,000 names of columns, none of which is a column."""
+    df = spark.range(200_000).select((F.col("id") % 2).alias("r"), F.floor(F.col("id") / 2).alias("c"), F.col("id").cast("double").alias("v"))
+    wide = tab.pivot_sparse(df.unionByName(df.filter("c < 3").withColumn("v", F.col("v") + 1)), "r", "c", "v")
+    got = {r.r: r.cells for r in wide.collect()}
+    assert len(got[0]) == len(got[1]) == 100_000
+    assert got[1][0] == 1.5 and got[0][99_999] == 199_998.0 and list(got[0])[:3] == [0, 1, 2]
+    odd = spark.createDataFrame([("a", None, 1.0), (None, 1, 1.0), ("a", 1, None), ("b", 2, 1.0)], "r string, c int, v double")
+    assert [tuple(r) for r in tab.pivot_sparse(odd, "r", "c", "v").collect()] == [("b", {2: 1.0})]
+    assert tab.pivot_sparse(odd.limit(0), "r", "c", "v").count() == 0
+
+
+def test_stored_rows_do_not_move(spark, tmp_path):
+    stored = spark.range(2000).select((F.col("id") * 3).alias("k"), F.lit("old").alias("v")).unionByName(
+        spark.createDataFrame([(None, "old")], "k bigint, v string")
+    )
+    tab.store_bucketed(stored, "stored_rows", str(tmp_path / "stored"), "k", buckets=4)
+    batch = spark.range(300).select("id", F.lit("new").alias("w")).withColumnRenamed("id", "k")
+    batch = batch.unionByName(spark.createDataFrame([(None, "null")], "k bigint, w string"))
+    for known in (True, False):
+        want = [i for i in range(300) if (i % 3 == 0) == known]
+        for small in (True, False):
+            if not small:
+                tab_fits, tab.fits_broadcast = tab.fits_broadcast, lambda df: False
+            try:
+                found = tab.rows_by_stored(batch, "stored_rows", "k", known)
+                rows = found.collect()
+            finally:
+                if not small:
+                    tab.fits_broadcast = tab_fits
+            assert sorted(r.k for r in rows if r.k is not None) == want
+            assert sum(r.k is None for r in rows) == known
+            if not small:
+                plan = found._jdf.queryExecution().executedPlan().toString()
+                side = plan[plan.index("SortMergeJoin") : plan.index("SelectedBucketsCount: 4 out of 4")]
+                stored_side = side[side.rindex("Sort [__stored") :]
+                assert "Exchange" not in stored_side
+    spark.sql("DROP TABLE stored_rows")
+
+
+def test_sketches_of_parts_merge_to_those_of_the_whole(spark):
+    df = spark.range(60_000).select(
+        (F.col("id") % 7).alias("day"), (F.col("id") % 2).alias("g"), F.pmod(F.hash("id"), F.lit(5000)).alias("user"), (F.col("id") * 37 % 10_007).alias("v")
+    )
+    daily = sk.sketch_parts(df, ["day", "g"], "user", "v")
+    assert daily.count() == 14
+    got = {r.g: r for r in sk.read_sketches(sk.merge_sketches(daily, ["g"]), {"q1": 0.25, "median": 0.5}).collect()}
+    for g, rows in df.toPandas().groupby("g"):
+        assert got[g].n == len(rows) and abs(got[g].n_distinct - rows.user.nunique()) <= 0.04 * rows.user.nunique()
+        for name, p in (("q1", 0.25), ("median", 0.5)):
+            assert abs((rows.v <= got[g][name]).mean() - p) < 0.035
+    ranked = sk.rank_of(sk.merge_sketches(daily), 5003.0).first()
+    assert abs(ranked["rank"] - 0.5) < 0.035
+    nulls = spark.createDataFrame([(1, None, None), (1, "a", 2.0)], "day int, user string, v double")
+    assert tuple(sk.read_sketches(sk.sketch_parts(nulls, ["day"], "user", "v"), {"m": 0.5}).first()) == (1, 2, 1, 2.0)

@@ -115,3 +115,47 @@ def test_fewer_rows_than_queries_times_documents(spark):
     weights = se._weights(hits, terms, F.lit(400.0), F.lit(4.0), se.K1, se.B)
     looked_at = se.match_rows(hits, weights, True, se.bm25(F.col("idf"), F.col("tf"), F.col("doc_len"), F.lit(4.0), se.K1, se.B), 5)
     assert looked_at.groupBy("qid", "doc_id").count().count() < 3 * 400 / 4
+
+
+def test_blocks_that_cannot_reach_the_best_are_not_read(spark):
+    """A word that is in all blocks, but often enough in one only to reach what a rare word gives."""
+    n = 40 * ix.IMPACT_BLOCK
+    rows = spark.range(n).select(
+        F.col("id").alias("doc_id"),
+        F.concat(
+            F.lit("common other "),
+            F.when(F.col("id") < 30, "rare scarce ").otherwise(""),
+            F.when(F.col("id").between(30, 60), "odd odd odd odd odd odd odd odd odd ").when(F.col("id") % 9 == 1, "odd ").otherwise(""),
+            F.concat(F.lit("w"), F.col("id")),
+        ).alias("text"),
+    )
+    index = ix.build_index(rows)
+    asked = [(1, "rare odd common other", "or", True), (2, "common other rare scarce", "and", True)]
+    q = spark.createDataFrame(asked, "qid int, text string, mode string, ranked boolean")
+    terms = se.query_terms(q)
+    hits = index.postings.join(terms.select("term").distinct(), "term").cache()
+    stats = ix.corpus_stats(index.docs).first()
+    n_docs, avg_len = F.lit(float(stats.n_docs)), F.lit(stats.avg_len)
+    weights = se._weights(hits, terms, n_docs, avg_len, se.K1, se.B)
+    share = se.bm25(F.col("idf"), F.col("tf"), F.col("doc_len"), avg_len, se.K1, se.B)
+    part = se.bm25(F.lit(1.0), F.col("max_tf"), F.col("min_len"), avg_len, se.K1, se.B)
+    blocks = ix.impact_blocks(hits).select("term", "block", part.alias("part"))
+    read = se.match_rows(hits, weights, True, share, 10, blocks)
+    without = se.match_rows(hits, weights, True, share, 10)
+    counts = {r.qid: r["count"] for r in read.groupBy("qid").count().collect()}
+    before = {r.qid: r["count"] for r in without.groupBy("qid").count().collect()}
+    asked_for = hits.count()
+    assert counts[1] < before[1] / 2 < asked_for / 2 and counts[2] < asked_for / 20
+    best = se.search_batch(index, q, k=10)
+    order = Window.partitionBy("qid").orderBy(*se.result_order())
+    want = se.match(index, q).withColumn("rank", F.row_number().over(order).cast("long")).filter("rank <= 10")
+    assert sorted(map(tuple, best.collect())) == sorted(map(tuple, want.select(*best.columns).collect()))
+
+
+def test_block_bounds_hold(spark, docs):
+    postings = ix.build_index(docs).postings
+    blocks = {(r.term, r.block): r for r in ix.impact_blocks(postings).collect()}
+    for r in postings.collect():
+        b = blocks[r.term, r.doc_id // ix.IMPACT_BLOCK]
+        assert b.max_tf >= r.tf and b.min_len <= r.doc_len
+    assert sum(b.n for b in blocks.values()) == postings.count()

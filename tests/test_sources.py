@@ -1,5 +1,8 @@
 import re
 
+import pytest
+from pyspark.sql import functions as F
+
 from tamarack.operators import index as ix
 from tamarack.sources import readers, sinks
 from tamarack.streaming import incremental as inc
@@ -99,3 +102,90 @@ def test_stream_null_key_and_pruning(spark, tmp_path):
     assert re.search(r"PartitionFilters: \[[^\]]*bucket", seen._jdf.queryExecution().toString())
     touched = batch.select(inc._bucket("k", buckets)).first()[0]
     assert [r.bucket for r in seen.select("bucket").distinct().collect()] == [touched]
+
+
+def test_csv_repair(spark):
+    lines = {
+        "1,red fish,x,2.5": (1, "red fish", "x", 2.5, 1),
+        "2,red, old, fish,x,2": (2, "red, old, fish", "x", 2.0, 1),
+        "3,a,b, c, d,1": (3, "a", "b, c, d", 1.0, 1),
+        "4,a, b,c, d,1": (4, "a, b", "c, d", 1.0, 1),
+        "5,a, b, c,1": (None, None, None, None, 2),  # b may end the first text or begin the second
+        "6,a,b,c,1": (None, None, None, None, 0),  # no blank after a comma
+        "7,a,b": (None, None, None, None, 0),
+        "x,a,b,1": (None, None, None, None, 0),
+        "8,a,b,1 kg": (None, None, None, None, 0),
+        '9,"a, b",c,1': (None, None, None, None, 0),
+        "10,,,": (10, None, None, None, 1),
+        " 11 ,a,b, 1 ": (11, "a", "b", 1.0, 1),
+        "": (None, None, None, None, 0),
+        ",,,": (None, None, None, None, 1),
+    }
+    df = spark.createDataFrame([(x,) for x in lines] + [(None,)], "line string")
+    got = {r.line: tuple(r)[1:] for r in readers.repair_csv_lines(df, "k bigint, a string, b string, p double").collect()}
+    assert got.pop(None) == (None, None, None, None, 0)
+    assert got == lines
+    long = spark.createDataFrame([("1," + ", ".join(["w"] * 60) + ",b,1",)], "line string")
+    fitted = readers.repair_csv_lines(long, "k bigint, a string, b string, p double").first()
+    assert fitted.n_fits == 1 and fitted.a == ", ".join(["w"] * 60) and fitted.b == "b"
+    picky = readers.repair_csv_lines(df.filter("line like '5,%'"), "k bigint, a string, b string, p double", patterns={"a": "[a-z]"})
+    assert tuple(picky.first())[1:] == (5, "a", " b, c", 1.0, 1)
+
+
+def files_of(df):
+    return {r[0] for r in df.select(F.input_file_name()).distinct().collect()}
+
+
+@pytest.mark.parametrize("append", [inc.append_stream, inc.append_stateful])
+def test_a_history_starts_from_nothing(spark, tmp_path, append):
+    history, source, checkpoint = str(tmp_path / "history"), str(tmp_path / "in"), str(tmp_path / "c")
+    schema = "k bigint, v string"
+    with pytest.raises(FileNotFoundError):
+        inc.read_history(spark, history)
+    inc.start_history(spark.createDataFrame([], schema), history, "k", buckets=4)
+    assert inc.read_history(spark, history).collect() == []
+
+    def run(rows, checkpoint=checkpoint):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        append(stream, history, "k", checkpoint).awaitTermination()
+        return sorted(map(tuple, inc.read_history(spark, history).collect()), key=str)
+
+    assert run([(1, "b"), (1, "a"), (None, "n"), (2, "c")]) == [(1, "a"), (2, "c"), (None, "n")]
+    assert run([(1, "later"), (3, "d"), (None, "o")]) == [(1, "a"), (2, "c"), (3, "d"), (None, "n")]
+    inc.compact_history(spark, history, "k")
+    assert run([(3, "later"), (4, None)]) == [(1, "a"), (2, "c"), (3, "d"), (4, None), (None, "n")]
+    assert run([], str(tmp_path / "other")) == [(1, "a"), (2, "c"), (3, "d"), (4, None), (None, "n")]
+
+
+@pytest.mark.parametrize("append", [inc.append_stream, inc.append_stateful])
+def test_a_batch_may_run_again(spark, tmp_path, append):
+    """The commit of the last batch is lost, as when the driver dies after writing: it is run again."""
+    history, source, checkpoint = str(tmp_path / "history"), str(tmp_path / "in"), tmp_path / "c"
+    schema = "k bigint, v string"
+    inc.start_history(spark.createDataFrame([(0, "old")], schema), history, "k", buckets=4)
+    for rows in ([(0, "new"), (1, "a")], [(1, "b"), (2, "c")]):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(source)
+        append(spark.readStream.schema(schema).parquet(source), history, "k", str(checkpoint)).awaitTermination()
+    last = max(int(p.name) for p in (checkpoint / "commits").iterdir() if p.name.isdigit())
+    (checkpoint / "commits" / str(last)).unlink()
+    (checkpoint / "commits" / f".{last}.crc").unlink(missing_ok=True)
+    append(spark.readStream.schema(schema).parquet(source), history, "k", str(checkpoint)).awaitTermination()
+    assert sorted(map(tuple, inc.read_history(spark, history).collect())) == [(0, "old"), (1, "a"), (2, "c")]
+
+
+def test_compaction_leaves_one_file_per_bucket(spark, tmp_path):
+    history, schema = str(tmp_path / "history"), "k bigint, v string"
+    inc.start_history(spark.createDataFrame([(i, "a") for i in range(50)], schema), history, "k", buckets=4)
+    for n in range(3):
+        source = str(tmp_path / f"in{n}")
+        spark.createDataFrame([(100 * n + i, "b") for i in range(60)], schema).write.parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        inc.append_stream(stream, history, "k", str(tmp_path / f"c{n}")).awaitTermination()
+    before = sorted(map(tuple, inc.read_history(spark, history).collect()))
+    assert len(files_of(inc.read_history(spark, history))) > 8
+    for _ in range(3):
+        inc.compact_history(spark, history, "k")
+    assert sorted(map(tuple, inc.read_history(spark, history).collect())) == before
+    assert len(files_of(inc.read_history(spark, history))) == 4
+    assert sorted(p.name for p in (tmp_path / "history").glob("rows-*")) == ["rows-2", "rows-3"]

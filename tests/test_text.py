@@ -109,3 +109,27 @@ def test_links(spark):
 def test_odd_references(spark):
     assert one(spark, "&#0; &#55296; &#9999999; a&b", hx.unescape_entities) == "&#0; &#55296; &#9999999; a&b"
     assert one(spark, None, hx.unescape_entities) is None
+
+
+REFERENCES = [
+    "it&apos;s &copy 2020 &#150; &NotEqual;", "&notit; &notin; &ampx &ltb&gt", "&#x80;&#159 &#xE9;&#233;&eacute",
+    "&NotEqualTilde; &copyright", "&hellip;&hellip", "a & b && &; &;amp", "&AMP;&QUOT&AElig;", "&frac12&frac14;", "&#38;amp;",
+]
+
+
+def test_references_as_the_standard_parser_reads_them(spark):
+    from html import unescape
+
+    for text in REFERENCES:
+        assert one(spark, text, hx.unescape_entities) == unescape(text)
+
+
+def test_references_in_attributes(spark):
+    page = "<a href='/q?a=1&copy=2&copyx=3&copy;=4&amp;b=5&lt'>x</a>"
+    assert one(spark, page, hx.html_links) == ["/q?a=1&copy=2&copyx=3©=4&b=5<"]
+
+
+def test_numbers_of_no_character_stay(spark):
+    assert one(spark, "&#99999999999999999999999; &#x110000; &#xD800; &#;", hx.unescape_entities) == (
+        "&#99999999999999999999999; &#x110000; &#xD800; &#;"
+    )
