@@ -15,8 +15,10 @@ anything, a cell being the exact content of a slot, so a linked pair meets in on
    the sets are similar enough.
 2. In cells that still hold several components an R-tree finds the pairs of different
    components that its bounds can't exclude. Crowded cells are cut into nodes over many
-   tasks, and only pairs of nodes within the bounds meet. Surviving pairs are verified on
-   their full sets, each once.
+   tasks, and only pairs of nodes within the bounds meet. In a few rounds every set tells only its
+   best pair in one larger cell, so that families become components without all their pairs.
+3. Then all cells tell all their surviving pairs between components, which are verified on the
+   full sets, each pair once.
 
 Sets equal in all shingles are one set throughout, however many documents have it.
 """
@@ -38,9 +40,12 @@ from tamarack.session import materialize
 
 WORDS = 4
 PERCENT = 85
-DIMS = 64  # coordinates of a point
+DIMS = 256  # coordinates of a point: the more, the closer the bound
+FULL = 255  # a coordinate of so many or more
 LEAF = 16  # points of a leaf
 FAN = 8  # children of an inner node
+FEW = 32  # sets of a cell whose pairs are all bounded, without a tree
+ROUNDS = 3  # of joining the best pairs of larger cells, before what is left is gone through
 NODE = 1024  # sets in a node of a crowded cell
 PART = 256  # documents whose hashes are held at once
 STRIP = 1 << 14  # pairs whose bounds are computed at once
@@ -130,10 +135,17 @@ def cell_keys(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndar
 
 
 def points_of(sets: list[np.ndarray]) -> np.ndarray:
-    """Counts per group, a row per set."""
+    """Counts per group up to ``FULL``, a row per set."""
     of = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    group = (np.concatenate([np.zeros(0, np.uint64), *sets]) >> np.uint64(58)).astype(np.int64)
-    return np.bincount(of * DIMS + group, minlength=len(sets) * DIMS).reshape(-1, DIMS).astype(np.uint32)
+    group = (np.concatenate([np.zeros(0, np.uint64), *sets]) >> np.uint64(56)).astype(np.int64)  # DIMS of them
+    counts = np.bincount(of * DIMS + group, minlength=len(sets) * DIMS).reshape(-1, DIMS)
+    return np.minimum(counts, FULL).astype(np.uint8)
+
+
+def overlap_bound(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """The sum of the smaller coordinates, row by row; no bound (2^40) where both are ``FULL`` somewhere."""
+    least = np.minimum(p, q)
+    return np.where((least == FULL).any(1), 2**40, least.sum(1, dtype=np.int64))
 
 
 def sign(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
@@ -222,7 +234,7 @@ class Tree:
 
     def __init__(self, points: np.ndarray, size: np.ndarray, root: np.ndarray):
         self.order = self._packed(points, np.arange(len(points)))
-        p, n, r = points[self.order].astype(np.int64), size[self.order], root[self.order]
+        p, n, r = points[self.order], size[self.order], root[self.order]
         # upper coordinates, least size, most size, and the component if there is but one (else None).
         self.levels = [(p, n, n, r, np.ones(len(n), bool))]
         while len(self.levels[-1][1]) > FAN:
@@ -243,8 +255,8 @@ class Tree:
         """Rows in an order in which neighbours are alike: halved along the widest coordinate."""
         if len(rows) <= LEAF:
             return rows
-        p = points[rows].astype(np.int64)
-        along = rows[np.argsort(p[:, np.argmax(np.ptp(p, axis=0))], kind="stable")]
+        p = points[rows]
+        along = rows[np.argsort(p[:, np.argmax(p.max(axis=0) - p.min(axis=0))], kind="stable")]
         half = -(-len(along) // (2 * LEAF)) * LEAF
         return np.concatenate([self._packed(points, along[:half]), self._packed(points, along[half:])])
 
@@ -262,7 +274,7 @@ def within_bounds(left: tuple, right: tuple, i: np.ndarray, j: np.ndarray, perce
     some = np.flatnonzero(ok)
     for lo in range(0, len(some), STRIP):
         at = some[lo : lo + STRIP]
-        bound = np.minimum(pu[i[at]], qu[j[at]]).sum(1)
+        bound = overlap_bound(pu[i[at]], qu[j[at]])
         ok[at] = (100 + percent) * bound >= percent * (pl[i[at]] + ql[j[at]])
     return ok
 
@@ -297,27 +309,28 @@ def small_pairs(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return expanded(np.arange(1, len(end) + 1), end)
 
 
-def surviving(table: pa.Table, percent: int) -> pa.Table:
-    """a, b and key: pairs of different components, cell by cell, that the bounds let through.
+def surviving(table: pa.Table, percent: int, best: bool = False) -> pa.Table:
+    """a, b, key and bound: pairs of different components, cell by cell, that the bounds let through.
 
     Rows of key, x, y, own, v, root, n and point. A small cell has x = y; else x and y are
-    two nodes of the cell, and own is the one that the row is in.
+    two nodes of the cell, and own is the one that the row is in. With ``best`` only the pair of
+    the largest bound on the similarity is told for each set.
     """
     columns = [table[c].to_numpy() for c in ("key", "x", "y", "own", "v", "root", "n")]
     order = np.lexsort((columns[3], columns[2], columns[1], columns[0]))
     key, x, y, own, v, root, n = (c[order] for c in columns)
     raw = b"".join(table["point"].to_pylist())
-    points = np.frombuffer(raw, np.uint32).reshape(-1, DIMS)[order]
+    points = np.frombuffer(raw, np.uint8).reshape(-1, DIMS)[order]
     start = np.append(True, (key[1:] != key[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1]))
     first = np.flatnonzero(start)
     sizes = np.diff(np.append(first, len(key)))
-    few = (sizes <= 2 * LEAF) & (x[first] == y[first])
+    few = (sizes <= FEW) & (x[first] == y[first])
     found = []
     rows = np.flatnonzero(np.repeat(few, sizes))
     if len(rows):
         i, j = small_pairs(sizes[few])
         i, j = rows[i], rows[j]
-        level = (points[rows].astype(np.int64), n[rows], n[rows], root[rows], np.ones(len(rows), bool))
+        level = (points[rows], n[rows], n[rows], root[rows], np.ones(len(rows), bool))
         back = np.zeros(len(key), np.int64)
         back[rows] = np.arange(len(rows))
         ok = within_bounds(level, level, back[i], back[j], percent)
@@ -331,12 +344,22 @@ def surviving(table: pa.Table, percent: int) -> pa.Table:
         found.append((left[i], right[j]))
     i = np.concatenate([np.zeros(0, np.int64), *(f[0] for f in found)])
     j = np.concatenate([np.zeros(0, np.int64), *(f[1] for f in found)])
+    bound = np.empty(len(i))
+    for lo in range(0, len(i), STRIP):
+        p, q = i[lo : lo + STRIP], j[lo : lo + STRIP]
+        bound[lo : lo + STRIP] = overlap_bound(points[p], points[q]) / (n[p] + n[q])
+    if best:
+        ends, pair = np.concatenate([v[i], v[j]]), np.tile(np.arange(len(i)), 2)
+        order = np.lexsort((pair, bound[pair], ends))
+        last = np.append(ends[order][1:] != ends[order][:-1], True)[: len(order)]
+        kept = np.unique(pair[order[last]])
+        i, j, bound = i[kept], j[kept], bound[kept]
     a, b = np.minimum(v[i], v[j]), np.maximum(v[i], v[j])
     # A pair that shares several cells of this group is given out for the smallest only.
     by = np.lexsort((key[i], b, a))
     a, b, k = a[by], b[by], key[i][by]
     new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))[: len(a)]
-    return pa.table({"a": a[new], "b": b[new], "key": k[new]})
+    return pa.table({"a": a[new], "b": b[new], "key": k[new], "bound": bound[by][new]})
 
 
 def in_nodes(rows: DataFrame, count: int) -> DataFrame:
@@ -361,7 +384,7 @@ def node_pairs(rows: DataFrame, percent: int) -> DataFrame:
     """key, x and y: the nodes of crowded cells that their bounds let meet."""
 
     def box(table: pa.Table) -> pa.Table:
-        points = np.frombuffer(b"".join(table["point"].to_pylist()), np.uint32).reshape(-1, DIMS)
+        points = np.frombuffer(b"".join(table["point"].to_pylist()), np.uint8).reshape(-1, DIMS)
         n, root = table["n"].to_numpy(), table["root"].to_numpy()
         one = {"key": table["key"][0].as_py(), "own": table["own"][0].as_py(), "least": int(n.min()), "most": int(n.max())}
         one |= {"root": int(root[0]) if (root == root[0]).all() else None, "upper": points.max(axis=0).tobytes()}
@@ -381,45 +404,101 @@ def node_pairs(rows: DataFrame, percent: int) -> DataFrame:
         (F.col("x.least") + F.col("y.least")).alias("sizes"), F.col("x.upper").alias("p"), F.col("y.upper").alias("q"),
     )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            p, q = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, DIMS).astype(np.int64)
-                for c in ("p", "q")
-            )
-            ok = (100 + percent) * np.minimum(p, q).sum(1) >= percent * batch.column("sizes").to_numpy()
-            yield batch.select([0, 1, 2]).filter(pa.array(ok, pa.bool_()))
+    return _allowed(pairs, percent, "key long, x long, y long")
 
-    return pairs.mapInArrow(run, "key long, x long, y long")
+
+def distinct_cells(members: DataFrame) -> DataFrame:
+    """key, v, in_cell, first and times: the members of cells, one of those that hold the very same sets.
+
+    ``first`` is the cell's smallest set, ``times`` how many cells this one stands for: they all
+    hold the same pairs.
+    """
+    hashes = [F.sum(F.xxhash64(F.lit(seed), "v").cast("decimal(20,0)")).alias(f"h{seed}") for seed in (1, 2)]
+    cells = members.groupBy("key").agg(F.count(F.lit(1)).alias("in_cell"), F.min("v").alias("first"), *hashes)
+    cells = cells.filter("in_cell > 1").groupBy("in_cell", "h1", "h2", "first")
+    cells = cells.agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("times"))
+    kept = members.select("key", "v").join(cells.select("key", "in_cell", "first", "times"), "key")
+    return materialize(kept, "cells")
+
+
+def one_large_cell(placed: DataFrame, turn: int) -> DataFrame:
+    """For every set of ``placed`` (key, v, root, in_cell, first) one of its cells of more than ``FEW`` sets.
+
+    The first in an order that all share and that changes with the turn, so like sets mostly choose alike.
+    """
+    large = placed.filter(F.col("in_cell") > FEW)
+    chosen = large.groupBy("v", "root").agg(F.min_by("key", F.xxhash64(F.lit(turn), "key")).alias("key"))
+    chosen = materialize(chosen, "chosen")
+    sizes = chosen.groupBy("key").agg(F.count(F.lit(1)).alias("in_cell"), F.min("v").alias("first"))
+    return chosen.join(sizes, "key")
 
 
-def candidates(members: DataFrame, sets: DataFrame, roots: DataFrame, percent: int, node: int = NODE) -> DataFrame:
-    """a, b and key: pairs of different components in a common cell that the tree's bounds let through."""
-    placed = members.select("key", "v").distinct().join(roots, "v", "left").withColumn("root", F.coalesce("root", "v"))
-    placed = materialize(placed, "placed")
-    cells = placed.groupBy("key").agg(F.count(F.lit(1)).alias("in_cell"), (F.min("root") != F.max("root")).alias("several"))
-    open_cells = cells.filter("several").select("key", "in_cell")
-    rows = placed.join(open_cells, "key").join(sets.select("v", F.col("n_shingles").alias("n"), "point"), "v")
-    rows = materialize(rows.select("key", "v", "root", "n", "point", "in_cell"), "open")
-    count = rows.count()
+def candidates(
+    cells: DataFrame, points: DataFrame, roots: DataFrame, percent: int, node: int = NODE, turn: int | None = None
+) -> DataFrame:
+    """a, b and key: pairs of different components in a common cell that the tree's bounds let through.
+
+    ``cells`` is :func:`distinct_cells`, ``points`` has v, n and point. With a ``turn`` every set is looked at
+    in one large cell only and tells its best pair only.
+    """
+    best = turn is not None
+    placed = cells.join(roots, "v", "left").withColumn("root", F.coalesce("root", "v"))
+    if best:
+        placed = one_large_cell(placed, turn)
+    placed = materialize(placed.select("key", "v", "root", "in_cell", "first"), "placed")
+    several = placed.groupBy("key").agg((F.min("root") != F.max("root")).alias("several")).filter("several")
+    rows = placed.join(several.select("key"), "key").join(points, "v")
+    rows = materialize(rows.select("key", "v", "root", "n", "point", "in_cell", "first"), "open")
     none = F.lit(0).cast("long")
-    small = rows.filter(F.col("in_cell") <= node).select(
-        F.pmod("key", F.lit(-(-count // GROUP) or 1)).alias("g"), "key", none.alias("x"), none.alias("y"), none.alias("own"),
-        "v", "root", "n", "point",
+    # Small cells of the same first set go together, so that a pair that shares several is told once.
+    small = rows.filter(F.col("in_cell") <= node)
+    per_first = small.groupBy("first").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("parts"))
+    parted = per_first.filter("parts > 1")  # each of them has over GROUP rows
+    small = small.join(parted, "first", "left").select(
+        F.pmod(F.xxhash64("first", F.pmod("key", F.coalesce("parts", F.lit(1)))), F.lit(-(-rows.count() // GROUP) or 1)).alias("g"),
+        "key", none.alias("x"), none.alias("y"), none.alias("own"), "v", "root", "n", "point",
     )
-    schema = "a long, b long, key long"
-    found = small.groupBy("g").applyInArrow(lambda t: surviving(t, percent), schema)
-    crowded = rows.filter(F.col("in_cell") > node).drop("in_cell")
+    schema = "a long, b long, key long, bound double"
+    found = small.groupBy("g").applyInArrow(lambda t: surviving(t, percent, best), schema)
+    crowded = rows.filter(F.col("in_cell") > node).drop("in_cell", "first")
     n_crowded = crowded.count()
     if n_crowded:
         nodes = materialize(in_nodes(crowded, n_crowded), "in-nodes")
         pairs = materialize(node_pairs(nodes, percent), "node-pairs")
         ends = pairs.withColumn("own", F.explode(F.array_distinct(F.array("x", "y"))))
         met = nodes.drop("key").join(ends, "own").select("key", "x", "y", "own", "v", "root", "n", "point")
-        found = found.unionByName(met.groupBy("x", "y").applyInArrow(lambda t: surviving(t, percent), schema))
+        found = found.unionByName(met.groupBy("x", "y").applyInArrow(lambda t: surviving(t, percent, best), schema))
+    if best:  # of the pairs that the nodes of a cell tell
+        ends = F.explode(F.array(F.struct(F.col("a").alias("v"), "*"), F.struct(F.col("b").alias("v"), "*"))).alias("e")
+        first = F.max(F.struct("e.bound", "e.key", "e.a", "e.b")).alias("e")
+        found = found.select(ends).groupBy("e.v").agg(first).select("e.a", "e.b", "e.key")
     return found.groupBy("a", "b").agg(F.min("key").alias("key"))
 
 
+def bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
+    """The rows of a, b and key whose points allow a link."""
+    x = points.select(F.col("v").alias("a"), F.col("n").alias("n_a"), F.col("point").alias("p"))
+    y = points.select(F.col("v").alias("b"), F.col("n").alias("n_b"), F.col("point").alias("q"))
+    sizes = (F.col("n_a") + F.col("n_b")).alias("sizes")
+    near = (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & (F.col("a") != F.col("b"))
+    both = pairs.join(x, "a").join(y, "b").filter(near).select("a", "b", "key", sizes, "p", "q")
+    return _allowed(both, percent, "a long, b long, key long")
+
+
+def _allowed(pairs: DataFrame, percent: int, schema: str) -> DataFrame:
+    """The first three columns of the rows whose points p and q bound no link of two sets of ``sizes`` together."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            p, q = (
+                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, DIMS) for c in ("p", "q")
+            )
+            ok = (100 + percent) * overlap_bound(p, q) >= percent * batch.column("sizes").to_numpy()
+            yield batch.select([0, 1, 2]).filter(pa.array(ok, pa.bool_()))
+
+    return pairs.mapInArrow(run, schema)
+
+
 def verified(pairs: DataFrame, pool: DataFrame, roots: DataFrame | None, percent: int, words: int) -> DataFrame:
     """Of rows of a, b and key the pairs (a, b) whose full sets are linked.
 
@@ -439,6 +518,7 @@ def verified(pairs: DataFrame, pool: DataFrame, roots: DataFrame | None, percent
         ends = ends.join(roots, "v", "left")
     else:
         ends = ends.withColumn("root", F.lit(None).cast("long"))
+    ends = materialize(ends, "ends")  # its size tells whether the texts have to be shuffled to meet it
     texts = ends.join(pool, "v").select("to", "v", F.coalesce("root", "v").alias("root"), "text")
 
     def run(pairs: pa.Table, texts: pa.Table) -> pa.Table:
@@ -489,25 +569,38 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, words: int = WOR
         F.first("point").alias("point"),
     )
     sets = materialize(sets, "sets")
-    members = materialize(shared_cells(signed), "members")
+    cells = distinct_cells(materialize(shared_cells(signed), "members"))
 
-    # The texts of sets that share a cell, one for each.
-    wanted = sets.select("v", F.col("first.doc_id").alias("doc_id"), F.col("first.text_id").alias("text_id"))
-    wanted = wanted.join(members.select("v").distinct(), "v")
+    # The points and texts of sets that share a cell, one for each.
+    wanted = sets.join(cells.select("v").distinct(), "v")
+    points = materialize(wanted.select("v", F.col("n_shingles").alias("n"), "point"), "points")
+    wanted = wanted.select("v", F.col("first.doc_id").alias("doc_id"), F.col("first.text_id").alias("text_id"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_id"), "text")
     same = texts["doc_id"].eqNullSafe(wanted["doc_id"]) & (texts["text_id"] == wanted["text_id"])
-    pool = texts.join(wanted, same).select("v", "text").dropDuplicates(["v"])
+    pool = texts.join(wanted, same).select("v", "text")
+    again = signed.filter("n_shingles > 0").groupBy("doc_id", "text_id").agg(F.count(F.lit(1)).alias("rows"))
+    if not again.filter("rows > 1").isEmpty():  # repeated rows
+        pool = pool.dropDuplicates(["v"])
     pool = materialize(pool, "pool")
 
-    # 1. Every set with the pivot of most of its cells.
-    votes = members.filter("v <> pivot").groupBy("v", "pivot").agg(F.count(F.lit(1)).alias("votes"))
-    best = votes.groupBy("v").agg(F.max_by("pivot", F.struct("votes", "pivot")).alias("pivot"))
-    stars = best.select(F.col("pivot").alias("a"), F.col("v").alias("b"), F.col("pivot").alias("key"))
-    links = materialize(verified(stars, pool, None, percent, words), "links")
+    # 1. Every set with the first set of most of its cells.
+    votes = cells.filter("v <> first").groupBy("v", "first").agg(F.sum("times").alias("votes"))
+    most = votes.groupBy("v").agg(F.max_by("first", F.struct("votes", "first")).alias("first"))
+    stars = most.select(F.col("first").alias("a"), F.col("v").alias("b"), F.col("first").alias("key"))
+    links = materialize(verified(bounded(stars, points, percent), pool, None, percent, words), "links")
     roots = components(links)
 
-    # 2. What cells of several components still hold.
-    rest = candidates(members, sets, roots, percent, node)
+    # 2. Larger cells: every set with the partner of the largest bound, so that families grow together.
+    for turn in range(ROUNDS if not cells.filter(F.col("in_cell") > FEW).isEmpty() else 0):
+        near = materialize(candidates(cells, points, roots, percent, node, turn), "near")
+        more = materialize(verified(near, pool, roots, percent, words), "links")
+        if more.isEmpty():
+            break
+        links = materialize(links.unionByName(more), "links")
+        roots = components(links)
+
+    # 3. What cells of several components still hold.
+    rest = candidates(cells, points, roots, percent, node)
     more = materialize(verified(rest, pool, roots, percent, words), "links")
     if not more.isEmpty():
         roots = components(links.unionByName(more))

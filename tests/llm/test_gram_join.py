@@ -148,10 +148,10 @@ def test_linked_short_sets_share_a_cell():
 def test_tree_join_finds_what_all_pairs_find():
     rng = np.random.default_rng(3)
     base = rng.poisson(4, (12, gram_join.DIMS))
-    points = np.concatenate([b + rng.poisson(0.1, (25, gram_join.DIMS)) for b in base]).astype(np.uint32)
+    points = np.concatenate([b + rng.poisson(0.1, (25, gram_join.DIMS)) for b in base]).astype(np.uint8)
     n = points.sum(1).astype(np.int64)
     root = np.where(rng.random(len(n)) < 0.3, 1, np.arange(len(n)) + 5)
-    bound = np.minimum(points[:, None], points[None]).sum(2)
+    bound = np.minimum(points[:, None], points[None]).sum(2, dtype=np.int64)
     ok = (185 * bound >= 85 * (n[:, None] + n)) & (root[:, None] != root)
     ok &= (100 * np.minimum(n[:, None], n) >= 85 * np.maximum(n[:, None], n))
     tree = gram_join.Tree(points, n, root)
@@ -168,7 +168,7 @@ def test_bounds_prune_nodes(monkeypatch):
     """Far fewer bounds are computed than there are pairs."""
     rng = np.random.default_rng(4)
     base = rng.poisson(6, (8, gram_join.DIMS))
-    points = np.concatenate([b + rng.poisson(0.02, (128, gram_join.DIMS)) for b in base]).astype(np.uint32)
+    points = np.concatenate([b + rng.poisson(0.02, (128, gram_join.DIMS)) for b in base]).astype(np.uint8)
     seen = []
     real = gram_join.within_bounds
     monkeypatch.setattr(gram_join, "within_bounds", lambda *a: seen.append(len(a[2])) or real(*a))
@@ -206,3 +206,12 @@ def test_odd_rows(spark):
 
 def test_empty_table(spark):
     assert jaccard_components(edges.empty(spark)).count() == 0
+
+
+def test_full_coordinates_bound_nothing():
+    sets = [np.arange(n, dtype=np.uint64) * np.uint64(2**47) for n in (300 * 256, 300 * 256 - 9, 200)]
+    sets = [np.concatenate([s[:100], s[100:] % np.uint64(2**56)]) for s in sets]  # most in one group
+    points = gram_join.points_of(sets)
+    assert points[0].max() == gram_join.FULL == points[1].max()
+    bound = gram_join.overlap_bound(points[[0, 0]], points[[1, 2]])
+    assert bound[0] > 300 * 256 and bound[1] <= 200
