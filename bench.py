@@ -45,6 +45,14 @@ HEADLINES = [
     "cluster_report",
     "search_saved_index",
     "merge_spellings",
+    "boosted_trees",
+    "median_exact",
+    "search_segments",
+    "csv_repair",
+    "html_references",
+    "anti_join_bucketed",
+    "sketches_by_day",
+    "pivot_sparse",
 ]
 
 
