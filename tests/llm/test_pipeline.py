@@ -74,6 +74,27 @@ def test_odd_rows(spark, root):
         assert kept.columns == docs.columns
 
 
+def test_odd_rows_keep_their_texts(spark, root):
+    """Nulls, empty, long and repeated texts, row by row."""
+    rows = [(r[0], r[1]) for r in edges.rows()]
+    for make in (edges.frame, edges.clashing):
+        docs = make(spark)
+
+        def after(stage, docs=docs):
+            return [(r.doc_id, r.text) for r in stage(spark, docs, root).select("doc_id", "text").collect()]
+
+        assert sorted(after(pipeline.hide_personal_data), key=str) == sorted(rows, key=str)  # they hold none
+        left = after(pipeline.drop_near_copies)
+        gone = [rows[2], rows[2], rows[-3]]  # the copies of 1 and 9
+        assert sorted(left + gone, key=str) == sorted(rows, key=str)
+        mixed = after(pipeline.mix_sources)
+        assert set(mixed) <= set(rows)
+        assert all(mixed.count(r) <= 2 * rows.count(r) and (r[0] is None or r[1].split()) for r in mixed)
+        coded = pipeline.tokenize(spark, docs, root).collect()
+        assert sorted(((r.doc_id, not r.n_ids) for r in coded), key=str) == sorted(((d, not t) for d, t in rows), key=str)
+        assert all(r.exact for r in coded)
+
+
 def test_repeated_ids_leave_one_row(spark, root):
     docs = edges.frame(spark)
     ids = [r.doc_id for r in pipeline.drop_near_copies(spark, docs, root).collect()]

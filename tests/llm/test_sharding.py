@@ -1,6 +1,9 @@
+import random
 import zlib
+from itertools import combinations
 
 import edges
+import pytest
 
 from tamarack.llm.sharding import propagate, shard_rows
 
@@ -69,3 +72,22 @@ def test_propagation_over_general_links(spark):
         return sum(of[a] != of[b] for a, h in links for b, g in links if h == g and a < b)
 
     assert cut(label) < cut({i: s for i, _, s in nodes})
+
+
+def split_pairs(groups, shard):
+    return sum(shard[a] != shard[b] for g in groups for a, b in combinations(g, 2))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_cut_against_the_best_of_all_assignments(spark, seed):
+    """Ten documents in two shards of five: every way to deal them."""
+    rng = random.Random(seed)
+    rows = [(i, f"text {rng.choice('abcd')}") for i in range(10)]
+    groups = {}
+    for d, t in rows:
+        groups.setdefault(t, []).append(d)
+    groups = list(groups.values())
+    every = [split_pairs(groups, {d: int(d in half) for d, _ in rows}) for half in combinations(range(10), 5)]
+    got = {r.doc_id: r.shard for r in shard_rows(spark.createDataFrame(rows, "doc_id long, text string"), shards=2).collect()}
+    mean = sum(every) / len(every)
+    assert min(every) <= split_pairs(groups, got) <= min(every) + (mean - min(every)) / 2
