@@ -113,12 +113,17 @@ def _share(value: Column, lo: Column, hi: Column, kind: DataType, logarithmic: b
     return F.when(span > 0, (at(value) - at(lo)) / span).otherwise(0.0)
 
 
-def _beside(rows: DataFrame, groups: DataFrame, by: Sequence[str], column: str, how: str = "inner") -> DataFrame:
-    """``rows`` with ``column`` of their group, NULL being one; without ``by``, of the only row of ``groups``."""
+def _beside(
+    rows: DataFrame, groups: DataFrame, by: Sequence[str], column: str, few: bool, how: str = "inner"
+) -> DataFrame:
+    """``rows`` with ``column`` of their group, NULL being one; without ``by``, of the only row of ``groups``.
+
+    ``few`` says that there are few groups: they are sent to every task.
+    """
     if not by:
         return rows.withColumn(column, groups.agg(F.first(column)).scalar())
     renamed = groups.select(*[F.col(c).alias(f"__{c}") for c in by], column)
-    if fits_broadcast(renamed):
+    if few:
         renamed = F.broadcast(renamed)
     same = reduce(Column.__and__, [rows[c].eqNullSafe(renamed[f"__{c}"]) for c in by])
     return rows.join(renamed, same, how).drop(*[f"__{c}" for c in by])
@@ -142,25 +147,30 @@ def select_ranks(rows: DataFrame, value: str, ranks: dict[str, Column], by: Sequ
         for t, rank in ranks.items()
     ]
     state = materialize(whole.filter("total > 0").select(*by, "total", F.array(*aims).alias("aims")), "aims")
-    logarithmic = False
+    logarithmic, few = False, bool(by) and fits_broadcast(state)
     while not state.filter(F.exists("aims", lambda a: a["lo"] < a["hi"])).isEmpty():
-        asked = state.select(*by, F.filter("aims", lambda a: a["lo"] < a["hi"]).alias("__aims"))
-        near = _beside(held, asked, by, "__aims").withColumn("__a", F.explode("__aims"))
+        open_aims = F.filter("aims", lambda a: a["lo"] < a["hi"])
+        bounds = F.array_distinct(F.transform(open_aims, lambda a: F.struct(a["lo"].alias("lo"), a["hi"].alias("hi"), a["below"].alias("below"))))
+        # Ranks between the same bounds share their bins.
+        near = _beside(held, state.select(*by, bounds.alias("__bounds")), by, "__bounds", few).withColumn("__a", F.explode("__bounds"))
         near = near.filter(F.col("__v").between(F.col("__a.lo"), F.col("__a.hi")))
         v, lo, hi = F.col("__v"), F.col("__a.lo"), F.col("__a.hi")
         share = F.floor(_share(v, lo, hi, kind, logarithmic) * BINS)
         bin_ = F.when(v == hi, BINS - 1).when(v == lo, 0).otherwise(F.least(F.greatest(share, F.lit(0)), F.lit(BINS - 1)))
-        bins = near.groupBy(*by, F.col("__a.t").alias("t"), F.col("__a.rank").alias("rank"), F.col("__a.below").alias("below"), bin_.alias("bin")).agg(
-            F.sum("__w").alias("n"), F.min("__v").alias("lo"), F.max("__v").alias("hi")
-        )
-        # Bounded: a rank of a group has no more than BINS rows here.
-        earlier = Window.partitionBy(*by, "t").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-        bins = bins.withColumn("below", F.col("below") + F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-        hit = bins.filter((F.col("below") <= F.col("rank")) & (F.col("rank") < F.col("below") + F.col("n")))
+        bins = near.groupBy(*by, "__a", bin_.alias("bin")).agg(F.sum("__w").alias("n"), F.min("__v").alias("lo"), F.max("__v").alias("hi"))
+        # Bounded: the same bounds of a group have no more than BINS rows here.
+        earlier = Window.partitionBy(*by, "__a").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+        bins = bins.withColumn("below", F.col("__a.below") + F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+        wanted = state.select(*[F.col(c).alias(f"__{c}") for c in by], F.explode(open_aims).alias("x"))
+        inside = [F.col(f"__a.{c}") == F.col(f"x.{c}") for c in ("lo", "hi", "below")]
+        inside += [bins[c].eqNullSafe(wanted[f"__{c}"]) for c in by]
+        inside += [F.col("below") <= F.col("x.rank"), F.col("x.rank") < F.col("below") + F.col("n")]
+        hit = bins.join(F.broadcast(wanted) if few or not by else wanted, reduce(Column.__and__, inside))
+        hit = hit.select(*by, "x.t", "x.rank", "below", "lo", "hi")
         found = hit.groupBy(*by).agg(F.collect_list(F.struct("t", "rank", "below", "lo", "hi")).alias("__found"))
         done = F.filter("aims", lambda a: ~(a["lo"] < a["hi"]))
         merged = F.concat(done, F.coalesce("__found", F.filter("aims", lambda a: F.lit(False))))
-        state = _beside(state, found, by, "__found", "left").select(*by, "total", merged.alias("aims"))
+        state = _beside(state, found, by, "__found", few, "left").select(*by, "total", merged.alias("aims"))
         state = materialize(state, "aims")
         logarithmic = not logarithmic
 
