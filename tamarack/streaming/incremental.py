@@ -3,13 +3,10 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tamarack.operators.tabular import anti_join_seen, one_per_key
 from tamarack.sources.sinks import newest_version, read_layout, write_layout
@@ -98,21 +95,17 @@ def append_stream(stream: DataFrame, path: str, key: str, checkpoint: str) -> St
 def first_of_keys(stream: DataFrame, key: str) -> DataFrame:
     """The rows whose key the stream has not brought in an earlier batch, one per key: the smallest of its batch.
 
-    Which keys were seen is state of the stream, kept by hash of the key and restored with the
-    checkpoint; it holds a flag per key. Set ``spark.sql.streaming.stateStore.providerClass`` to the
-    RocksDB provider where the keys are more than executors can hold.
+    For output mode update. Which keys were seen is state of the stream, restored with the checkpoint: an
+    aggregate per key of its smallest row and of the times of the batches that brought it, of which a batch
+    that is run again keeps its own. Set ``spark.sql.streaming.stateStore.providerClass`` to the RocksDB
+    provider where the keys are more than executors can hold.
     """
-    columns = stream.columns
-
-    def take(_: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = [p for p in parts]
-        if state.exists:
-            return
-        state.update((True,))
-        row = pd.concat(rows)
-        yield row.sort_values([c for c in columns if c != key], na_position="first").head(1)
-
-    return stream.groupBy(key).applyInPandasWithState(take, stream.schema, "seen boolean", "append", GroupStateTimeout.NoTimeout)
+    now = F.current_timestamp()  # one time for all rows of a batch
+    held = F.struct("__at", *[c for c in stream.columns if c != key])
+    state = stream.withColumn("__at", now).groupBy(key).agg(F.min(held).alias("__row"), F.max("__at").alias("__last"))
+    # A clock set back must not make a known key a new one, so both times are those of the batch.
+    new = state.filter((F.col("__row.__at") == now) & (F.col("__last") == now))
+    return new.select(*[key if c == key else F.col("__row")[c].alias(c) for c in stream.columns])
 
 
 def append_stateful(stream: DataFrame, path: str, key: str, checkpoint: str) -> StreamingQuery:
@@ -128,5 +121,5 @@ def append_stateful(stream: DataFrame, path: str, key: str, checkpoint: str) ->
         others = seen.filter(~F.col("part").startswith(stream_name))
         _write(anti_join_seen(batch, others, key), _folder(spark, path), key, buckets, part)
 
-    writer = first_of_keys(stream, key).writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
+    writer = first_of_keys(stream, key).writeStream.outputMode("update").foreachBatch(append).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()

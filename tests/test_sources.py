@@ -1,4 +1,6 @@
+import io
 import re
+from contextlib import redirect_stdout
 
 import pytest
 from pyspark.sql import functions as F
@@ -174,6 +176,16 @@ def test_a_batch_may_run_again(spark, tmp_path, append):
     assert sorted(map(tuple, inc.read_history(spark, history).collect())) == [(0, "old"), (1, "a"), (2, "c")]
 
 
+def test_state_takes_no_call_per_key(spark, tmp_path):
+    """A call of Python per key made the time grow by milliseconds a key."""
+    spark.createDataFrame([(1, "a")], "k bigint, v string").write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("k bigint, v string").parquet(str(tmp_path / "in"))
+    out = io.StringIO()
+    with redirect_stdout(out):
+        inc.first_of_keys(stream, "k").explain(True)
+    assert "StateStoreSave" in out.getvalue() and "Pandas" not in out.getvalue()
+
+
 def test_compaction_leaves_one_file_per_bucket(spark, tmp_path):
     history, schema = str(tmp_path / "history"), "k bigint, v string"
     inc.start_history(spark.createDataFrame([(i, "a") for i in range(50)], schema), history, "k", buckets=4)
