@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,6 +7,7 @@ from tamarack.operators import recommend as rc
 from tamarack.plans import REGISTRY
 from tamarack.plans.registry import Tables
 from tamarack.plans.views import taste
+from tamarack.session import materialize
 
 
 @pytest.fixture(scope="module")
@@ -65,3 +68,26 @@ def test_a_rating_for_each_customer_and_part(spark, root):
 @pytest.mark.parametrize("name", ["als_basic_rmse", "als_bias_rmse"])
 def test_factors_learn_on_real_ids(spark, root, name):
     assert [r.learned for r in REGISTRY[name].run(spark, root).collect()] == [True]
+
+
+def shuffles_held(spark) -> set:
+    """Numbers of the shuffles whose files are on disk."""
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = [blocks.apply(i).getName() for i in range(blocks.size())]
+    return {n.split("_")[1] for n in names if n.startswith("shuffle_")}
+
+
+def test_steps_leave_no_shuffles_behind(spark, split):
+    """Every half-step of ALS shuffles all factors; the files of all of them together were what filled the disk."""
+    train, test = (materialize(df, "part") for df in split)
+    before = shuffles_held(spark)
+    materialize(train.groupBy("user").agg(F.avg("rating")).repartition(5), "means")
+    assert not shuffles_held(spark) - before
+    prepared = rc.prepare(train, test)
+    for steps in (2, 8):
+        known = shuffles_held(spark)
+        rc.als_rmse(*prepared, rank=4, max_iter=steps)
+        end = time.time() + 20
+        while len(shuffles_held(spark) - known) > 10 and time.time() < end:  # files go in the background
+            time.sleep(0.2)
+        assert len(shuffles_held(spark) - known) <= 10
