@@ -1,5 +1,7 @@
+import io
 import math
 import re
+from contextlib import redirect_stdout
 
 import pytest
 
@@ -159,3 +161,16 @@ def test_block_bounds_hold(spark, docs):
         b = blocks[r.term, r.doc_id // ix.IMPACT_BLOCK]
         assert b.max_tf >= r.tf and b.min_len <= r.doc_len
     assert sum(b.n for b in blocks.values()) == postings.count()
+
+
+def test_tokens_are_counted_inside_their_row(spark):
+    """No aggregate holds the pairs of a part of the table; rows that share an id and a length are added up."""
+    docs = spark.createDataFrame([(1, "b a b"), (2, ""), (3, None), (4, "x")], "doc_id bigint, text string")
+    counted = ix.term_frequency(docs)
+    out = io.StringIO()
+    with redirect_stdout(out):
+        counted.explain()
+    assert "Aggregate" not in out.getvalue() and "Exchange" not in out.getvalue()
+    assert sorted(map(tuple, counted.collect())) == [("a", 1, 2, 1), ("b", 1, 2, 2), ("x", 4, 1, 1)]
+    twice = ix.term_frequency(docs.union(docs.filter("doc_id = 1")), length="total")
+    assert sorted(map(tuple, twice.collect())) == [("a", 1, 3, 2), ("b", 1, 3, 4), ("x", 4, 1, 1)]
