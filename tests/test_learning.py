@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -197,3 +199,39 @@ def test_verdicts_turn_false_without_signal(spark, root, name, monkeypatch):
     monkeypatch.setattr(learning, "_features", lambda t: shuffled(real_features(t).select("match_id", "label_index", "features"), "label_index"))
     monkeypatch.setattr(learning, "ROUNDS", 20)
     assert not getattr(learning, name)(t).first().better
+
+
+def test_a_split_costs_what_its_rows_cost():
+    """Flags are worth the same as binned columns, and a table of all leaves and flags is never made."""
+    rng = np.random.default_rng(5)
+    n, flags = 400, 300_000
+    row, feature = np.arange(n), rng.choice(flags, n, replace=False)
+    feature[: n // 2] = rng.integers(0, 3, n // 2)  # three frequent ones
+    columns = bo.Columns(row, feature, np.ones(n), n)
+    leaf, g = rng.integers(0, 128, n), rng.normal(0, 1, (n, 3))
+    stats = np.column_stack([g, np.ones(n)])
+    whole = np.column_stack([np.bincount(leaf, weights=s, minlength=128) for s in stats.T])
+    gain = columns.gains(leaf, whole, stats, bo.SHRINK)
+    for t in (0, 1, 2, len(gain) - 1):
+        above, want = feature == columns.feature[t], 0.0
+        for v in range(128):
+            for side in (leaf == v) & above, (leaf == v) & ~above:
+                want += (g[side].sum(0) ** 2).sum() / (side.sum() + bo.SHRINK)
+        assert gain[t] == pytest.approx(want)
+    tracemalloc.start()
+    wide = bo.Columns(np.arange(20_000), np.arange(20_000), np.ones(20_000), 20_000)
+    bo.grow(wide, rng.normal(0, 1, (20_000, 3)), 8)
+    assert tracemalloc.get_traced_memory()[1] < 60 << 20
+    tracemalloc.stop()
+
+
+def test_leaves_by_places():
+    """Against plain columns, with thresholds below, at and above zero and features that no row has."""
+    rng = np.random.default_rng(6)
+    x = rng.integers(-2, 3, (50, 6)) * (rng.random((50, 6)) < [1, 0.8, 0.2, 0.1, 0.05, 0])
+    row, feature = np.nonzero(x)
+    places = bo.Places(row, feature, x[row, feature].astype(float), 50)
+    for _ in range(30):
+        chosen, at = rng.integers(0, 6, 4), rng.choice([-1.5, -1, -0.5, 0, 0.5, 1.5], 4)
+        want = sum((x[:, f] > t).astype(int) << (3 - i) for i, (f, t) in enumerate(zip(chosen, at)))
+        assert (places.leaf(chosen.tolist(), at.tolist()) == want).all()
