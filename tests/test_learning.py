@@ -91,6 +91,19 @@ def test_models_learn(spark):
         assert me.accuracy(scored, "y", "prediction").first()[0] > 0.95
 
 
+def test_deep_forests_keep_the_place_of_each_row(spark, monkeypatch):
+    """Levels don't start from the root again, and the trees are the same as if they did."""
+    rows = spark.range(600).select((F.col("id") % 2).alias("y"), (F.col("id") % 2 + 3 * F.rand(1)).alias("x"), F.rand(2).alias("z"))
+    rows = materialize(ft.assemble(rows, ["x", "z"]), "rows")
+    kept = cl.fit_random_forest(rows, "y", trees=4)
+    assert kept.getCacheNodeIds() and kept.getMaxDepth() == 30
+    real = cl.RandomForestClassifier
+    monkeypatch.setattr(cl, "RandomForestClassifier", lambda **kw: real(**kw | {"cacheNodeIds": False}))
+    again = cl.fit_random_forest(rows, "y", trees=4)
+    assert max(m.depth for m in kept.trees) > 5
+    assert [m.toDebugString.split("\n")[1:] for m in kept.trees] == [m.toDebugString.split("\n")[1:] for m in again.trees]
+
+
 @pytest.fixture(scope="module")
 def signal(spark):
     """Three classes that follow two of four columns, one label in ten at random."""
