@@ -104,6 +104,12 @@ def test_deep_forests_keep_the_place_of_each_row(spark, monkeypatch):
     assert [m.toDebugString.split("\n")[1:] for m in kept.trees] == [m.toDebugString.split("\n")[1:] for m in again.trees]
 
 
+def test_a_step_of_logreg_adds_up_large_blocks(spark):
+    """A gradient of all features per block of rows, not per megabyte of them."""
+    rows = spark.range(300).select((F.col("id") % 3).alias("y"), (F.col("id") % 3 + F.rand(1)).alias("x"))
+    assert cl.fit_logreg(ft.assemble(rows, ["x"]), "y", max_iter=3).getMaxBlockSizeInMB() >= 64
+
+
 @pytest.fixture(scope="module")
 def signal(spark):
     """Three classes that follow two of four columns, one label in ten at random."""
