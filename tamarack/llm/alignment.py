@@ -62,14 +62,19 @@ def coalesced(
     if not len(a_start) + len(b_start):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     starts, ends = np.concatenate([a_start, b_start]), np.concatenate([a_end, b_end])
-    side = np.repeat([0, 1], [len(a_start), len(b_start)])
-    order = np.lexsort((side, starts))
+    order = np.argsort(starts, kind="stable")  # merges the two sorted sides, A first
     reach = np.maximum.accumulate(ends[order])
     group = np.empty(len(order), np.int64)
     group[order] = np.concatenate([[0], np.cumsum(starts[order][1:] >= reach[:-1])])
     return group[: len(a_start)], group[len(a_start) :]
 
 
+def reached(places: np.ndarray, limits: np.ndarray) -> np.ndarray:
+    """How many of the sorted ``places`` are at or before each limit, from a running count over all bytes."""
+    size = int(max(places.max(initial=0), limits.max(initial=0))) + 1
+    return np.cumsum(np.bincount(places, minlength=size))[limits]
+
+
 class Vocabularies:
     """Two tokenizers, the bytes of their tokens, and every pair of tokens that can end together."""
 
@@ -87,6 +92,7 @@ class Vocabularies:
             piece = self.b.id_to_piece(i)
             byte = BYTE_PIECE.fullmatch(piece) if self.b.is_byte(i) else None
             self.b_bytes.append(bytes([int(byte[1], 16)]) if byte else piece.replace(BLANK, " ").encode())
+        self.b_spelt = np.array(self.b_bytes, object)
         self.a_size = np.array([len(t) for t in self.a_bytes], np.int64)
         self.b_size = np.array([len(t) for t in self.b_bytes], np.int64)
         self.pairs = self._pairs()
@@ -119,12 +125,12 @@ class Vocabularies:
                 shown.append("")
         wanted = [i for i, t in enumerate(shown) if t]
         made_a = self.a.encode_batch_fast([" " + shown[i] for i in wanted], add_special_tokens=False)
-        made_b = self.b.encode([shown[i] for i in wanted], num_threads=1)
+        made_b = self.b.encode([shown[i] for i in wanted], num_threads=1, return_type="numpy")
         out: list[tuple[np.ndarray, np.ndarray] | None] = [None] * len(texts)
         for i, a, b in zip(wanted, made_a, made_b, strict=True):
-            first, second, whole = np.array(a.ids, np.int64), np.array(b, np.int64), b" " + texts[i]
+            first, second, whole = np.array(a.ids, np.int64), b.astype(np.int64), b" " + texts[i]
             # Byte-level tokens are bytes of the text, in order: they spell it if none is missing.
-            if self.a_size[first].sum() == len(whole) and b"".join(map(self.b_bytes.__getitem__, b)) == whole:
+            if self.a_size[first].sum() == len(whole) and b"".join(self.b_spelt[second].tolist()) == whole:
                 out[i] = first, second
         return out
 
@@ -155,10 +161,8 @@ class Aligned:
     def overlaps(self) -> tuple[np.ndarray, np.ndarray]:
         """Places of the A and B tokens that share bytes: for every A token a run of B tokens of its group."""
         first = np.cumsum(self.b_in) - self.b_in
-        lo = np.maximum(np.searchsorted(self.b_end, self.a_start, "right"), first[self.a_group])
-        hi = np.minimum(
-            np.searchsorted(self.b_start, self.a_end, "left"), (first + self.b_in)[self.a_group]
-        )
+        lo = np.maximum(reached(self.b_end, self.a_start), first[self.a_group])
+        hi = np.minimum(reached(self.b_start, self.a_end - 1), (first + self.b_in)[self.a_group])
         return expanded(lo, hi)
 
     def lines(self) -> list[str]:
@@ -187,7 +191,8 @@ class Aligned:
         code = self.a[i] * len(self.words.b_bytes) + self.b[j]
         text = self.text_of_group[self.a_group[i]]
         both, times = np.unique(text * span + code, return_counts=True)
-        return both // span, np.searchsorted(self.words.pairs, both % span), times
+        text = both // span
+        return text, np.searchsorted(self.words.pairs, both - text * span), times
 
 
 @lru_cache(maxsize=1)

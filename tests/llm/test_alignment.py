@@ -164,3 +164,14 @@ def test_odd_rows(spark, libraries):
     assert report(clashing(spark)) == want
     assert collected(alignment.link_report(empty(spark), BYTE_TOKENIZER, TOKENIZER)) == []
     assert alignment.align(empty(spark), BYTE_TOKENIZER, TOKENIZER).count() == 0
+
+
+def test_running_counts_find_the_overlaps():
+    """Against a binary search, also where a side has no tokens or limits lie outside of it."""
+    rng = np.random.default_rng(8)
+    for n in (0, 1, 7, 300):
+        ends = np.cumsum(rng.integers(1, 6, n))
+        limits = rng.integers(0, 1600, 50)
+        assert (alignment.reached(ends, limits) == np.searchsorted(ends, limits, "right")).all()
+        assert (alignment.reached(ends - 1, ends - 1) == np.arange(n) + 1).all()
+    assert len(alignment.reached(np.zeros(0, np.int64), np.zeros(0, np.int64))) == 0
