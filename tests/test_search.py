@@ -174,3 +174,16 @@ def test_tokens_are_counted_inside_their_row(spark):
     assert sorted(map(tuple, counted.collect())) == [("a", 1, 2, 1), ("b", 1, 2, 2), ("x", 4, 1, 1)]
     twice = ix.term_frequency(docs.union(docs.filter("doc_id = 1")), length="total")
     assert sorted(map(tuple, twice.collect())) == [("a", 1, 3, 2), ("b", 1, 3, 4), ("x", 4, 1, 1)]
+
+
+def test_rows_of_a_document_are_added_up_in_one_task(spark, docs):
+    """A query's words are in most documents: its rows, many times the postings, are not dealt out again."""
+    hits = ix.term_frequency(docs)
+    q = spark.createDataFrame([(1, "red fish", "or", False), (2, "fish boat", "or", True)], "qid int, text string, mode string, ranked boolean")
+    weights = se._weights(hits, se.query_terms(q), F.lit(4.0), F.lit(2.0), se.K1, se.B)
+    out = io.StringIO()
+    with redirect_stdout(out):
+        se._plain(hits, weights.drop("df", "most"), True).groupBy("qid", "doc_id").count().explain()
+    assert re.findall(r"hashpartitioning\((\w+)#\d+L, \d+\), REPARTITION", out.getvalue()) == ["doc_id"]
+    top = out.getvalue().split("REPARTITION")[0]
+    assert top.count("Exchange hashpartitioning") == 1
