@@ -187,3 +187,21 @@ def test_rows_of_a_document_are_added_up_in_one_task(spark, docs):
     assert re.findall(r"hashpartitioning\((\w+)#\d+L, \d+\), REPARTITION", out.getvalue()) == ["doc_id"]
     top = out.getvalue().split("REPARTITION")[0]
     assert top.count("Exchange hashpartitioning") == 1
+
+
+def test_a_saved_index_counts_each_text_once(spark, docs, tmp_path):
+    path, seen = str(tmp_path / "once"), spark.sparkContext.accumulator(0)
+
+    def look(text):
+        seen.add(1)
+        return text
+
+    ix.save_index(ix.build_index(docs.withColumn("text", F.udf(look)("text"))), path, buckets=8)
+    assert seen.value == len(DOCS)
+    postings, blocks, buckets = ix.read_postings(spark, path)
+    assert buckets == 8 and ix.load_index(spark, path).docs.count() == len(DOCS)
+    columns = ["term", "doc_id", "doc_len", "tf"]
+    want = ix.term_frequency(docs)
+    assert sorted(map(tuple, postings.select(columns).collect())) == sorted(map(tuple, want.select(columns).collect()))
+    bounds = ["term", "block", "n", "max_tf", "min_len"]
+    assert sorted(map(tuple, blocks.select(bounds).collect())) == sorted(map(tuple, ix.impact_blocks(want).select(bounds).collect()))
