@@ -160,6 +160,37 @@ def test_rows_dealt_to_several_ensembles(signal):
     assert sorted(map(str, again.trees.collect())) == sorted(map(str, model.trees.collect()))
 
 
+def test_every_row_is_fitted_however_many_there_are(signal, monkeypatch):
+    """More rows than ensembles of ``max_rows`` can take make the parts larger, then more; none is left out."""
+    tables, real = {}, bo.materialize
+    monkeypatch.setattr(bo, "materialize", lambda df, name="table": tables.setdefault(name, real(df, name)))
+    train = signal.filter("id % 5 <> 0")
+    model = bo.fit_boosted(train, signal.filter("id % 5 = 0"), "y", rounds=2, depth=2, max_rows=100, max_ensembles=3)
+    assert tables["dealt"].count() == train.count() == 1200
+    assert model.trees.select("ensemble").distinct().count() == 3
+    assert bo.n_parts(bo.TASK_ROWS * 8 + 1, bo.MAX_ROWS, bo.MAX_ENSEMBLES) == 9
+
+
+def test_a_level_from_one_side_of_the_level_before():
+    """Sums carried over from level to level give the gains of sums made anew; names need no pass over all rows each."""
+    rng = np.random.default_rng(8)
+    n, names = 3000, 2000
+    x = {0: rng.integers(0, 90, n), 1: rng.integers(-1, 2, n), 2: 1 + rng.integers(0, 2, n)}
+    row = np.concatenate([np.tile(np.arange(n), 3), np.arange(n)])
+    feature = np.concatenate([np.repeat([0, 1, 2], n), 3 + rng.integers(0, names, n)])
+    value = np.concatenate([x[0], x[1], x[2], np.full(n, 0.5)]).astype(float)
+    columns = bo.Columns(row[value != 0], feature[value != 0], value[value != 0], n)
+    assert columns.flags == 1 + len(np.unique(feature[3 * n :])) and columns.bins[0].nbytes == n
+    assert (np.diff(columns.feature[: columns.flags]) > 0).all() and (columns.threshold[1 : columns.flags] == 0.25).all()
+    stats = np.column_stack([rng.normal(0, 1, (n, 2)), np.ones(n)])
+    level = bo.Level(columns, np.zeros(n, np.int64), stats.sum(0)[None], stats)
+    for t in (columns.flags + 5, 0, 7, len(columns.threshold) - 1):
+        level.split(columns.is_above(t))
+        whole = np.stack([stats[level.leaf == v].sum(0) for v in range(level.leaf.max() + 1)])
+        whole = np.vstack([whole, np.zeros((len(level.whole) - len(whole), 3))])
+        assert level.gains(bo.SHRINK) == pytest.approx(columns.gains(level.leaf, whole, stats, bo.SHRINK))
+
+
 def test_a_round_is_the_best_split_of_each_level():
     """Against all thresholds tried one by one."""
     rng = np.random.default_rng(3)
