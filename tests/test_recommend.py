@@ -1,5 +1,6 @@
 import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -91,3 +92,20 @@ def test_steps_leave_no_shuffles_behind(spark, split):
         while len(shuffles_held(spark) - known) > 10 and time.time() < end:  # files go in the background
             time.sleep(0.2)
         assert len(shuffles_held(spark) - known) <= 10
+
+
+def test_blocks_grow_with_the_factors_a_task_is_sent(spark, monkeypatch):
+    """Ten blocks as long as they can be held; more ratings by more others make more blocks, and the error stays."""
+    for ratings, others in ((28_800_000, 1_200_000), (173_000_000, 7_200_000), (1_000_000_000, 900_000)):
+        blocks = rc.n_blocks(ratings, others, 70)
+        sent = others * (1 - np.exp(-ratings / blocks / others))
+        assert blocks > 10 and sent * (4 * 70 + 32) <= rc.FACTORS_MB << 20
+    assert rc.n_blocks(1 << 40, 100_000, 70) == 10
+    rows = spark.range(4000).select((F.col("id") % 80).alias("user"), F.floor(F.col("id") / 80).alias("item"))
+    rows = rows.withColumn("rating", (F.col("user") % 5) * 0.5 + (F.col("item") % 3) + 1.0)
+    train, test = rc.prepare(*rc.split_by_key(rows, ["user", "item"]))
+    want, seen, real = rc.als_rmse(train, test, rank=5).first().rmse, [], rc.ALS
+    monkeypatch.setattr(rc, "ALS", lambda **kw: seen.append((kw["numUserBlocks"], kw["numItemBlocks"])) or real(**kw))
+    monkeypatch.setattr(rc, "FACTORS_MB", 45 * 52 / (1 << 20))  # 45 others
+    assert rc.als_rmse(train, test, rank=5).first().rmse == pytest.approx(want, abs=0.02)
+    assert min(seen[0]) > 10
