@@ -104,6 +104,23 @@ def test_deep_forests_keep_the_place_of_each_row(spark, monkeypatch):
     assert [m.toDebugString.split("\n")[1:] for m in kept.trees] == [m.toDebugString.split("\n")[1:] for m in again.trees]
 
 
+def test_forests_in_groups_of_trees(spark, monkeypatch):
+    """Of many rows the driver grows some trees at a time; the votes of all of them count, and all rows are scored."""
+    rows = spark.range(900).select("id", (F.col("id") % 3).alias("y"), (F.col("id") % 3 + 1.6 * F.rand(1)).alias("x"), F.rand(2).alias("z"))
+    rows = materialize(ft.assemble(rows, ["x", "z"]), "rows")
+    asked, real = [], cl.RandomForestClassifier
+    monkeypatch.setattr(cl, "RandomForestClassifier", lambda **kw: asked.append((kw["numTrees"], kw["seed"])) or real(**kw))
+    monkeypatch.setattr(cl, "TREE_ROWS", 900 * 4)
+    model = cl.fit_random_forest(rows, "y", trees=10, depth=6)
+    assert [n for n, _ in asked] == [4, 4, 2] and len({s for _, s in asked}) == 3
+    scored = cl.score(model, rows)
+    assert scored.columns == [*rows.columns, "prediction"]
+    groups = [{r.id: r.rawPrediction for r in cl.RandomForestClassificationModel.load(p).transform(rows).collect()} for p in model.paths]
+    want = {i: int(np.argmax(sum(g[i].toArray() for g in groups))) for i in groups[0]}
+    assert {r.id: r.prediction for r in scored.collect()} == want
+    assert len(cl.score_held_out(rows, lambda r: cl.fit_random_forest(r, "y", trees=10, depth=4), ["id"], folds=2).collect()) == 900
+
+
 def test_a_step_of_logreg_adds_up_large_blocks(spark):
     """A gradient of all features per block of rows, not per megabyte of them."""
     rows = spark.range(300).select((F.col("id") % 3).alias("y"), (F.col("id") % 3 + F.rand(1)).alias("x"))
