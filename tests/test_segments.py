@@ -1,4 +1,6 @@
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tamarack.operators import index as ix
 from tamarack.operators import search as se
@@ -102,3 +104,35 @@ def test_an_empty_index_is_saved_and_loaded(spark, tmp_path):
 def test_no_index(spark, path):
     with pytest.raises(FileNotFoundError):
         sg.load_segments(spark, path)
+
+
+def test_few_buckets_are_written_by_many_tasks(spark, tmp_path):
+    """A bucket is cut into slices of terms, so that tasks don't wait for as many as there are buckets; no row is cut."""
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("all"), *[F.concat(F.lit(c), F.col("id") % n) for c, n in (("x", 50), ("y", 7), ("z", 200))]).alias("text"))
+    key, path = "spark.sql.adaptive.coalescePartitions.enabled", str(tmp_path / "few")
+    spark.conf.set(key, "false")  # so little data would be one task's
+    try:
+        ix.save_index(ix.build_index(docs), path, buckets=2)
+    finally:
+        spark.conf.set(key, "true")
+    files = spark.read.parquet(f"{path}/postings").select("bucket", F.input_file_name().alias("f")).distinct()
+    assert min(r.n for r in files.groupBy("bucket").agg(F.count("f").alias("n")).collect()) > 2
+    saved = ix.load_index(spark, path)
+    want = sorted(map(tuple, ix.build_index(docs).postings.select("term", "doc_id", "doc_len", "tf").collect()))
+    assert sorted(map(tuple, saved.postings.select("term", "doc_id", "doc_len", "tf").collect())) == want
+    blocks = sorted(map(tuple, ix.impact_blocks(ix.build_index(docs).postings).collect()))
+    assert sorted(map(tuple, saved.blocks.select("term", "block", "n", "max_tf", "min_len").collect())) == blocks
+
+
+def test_rows_put_together_across_batches():
+    """Whatever the batches, a row per term and block, unknown blocks included."""
+    rows = [("a", 0, 1), ("a", 0, 2), ("a", 1, 130), ("b", 1, 131), ("b", None, None), ("b", None, None), ("c", 0, 5)]
+    kinds = pa.schema([("term", pa.string()), ("block", pa.int64()), ("doc_id", pa.int64()), ("doc_len", pa.int64()), ("tf", pa.int64()), ("bucket", pa.int32())])
+    table = pa.Table.from_pylist([{"term": t, "block": b, "doc_id": d, "doc_len": 9 - i, "tf": i, "bucket": 3} for i, (t, b, d) in enumerate(rows)], kinds)
+    for size in (1, 2, 3, 7):
+        got = [r for batch in ix._put_together(iter(table.to_batches(max_chunksize=size))) for r in batch.to_pylist()]
+        assert [(r["term"], r["block"], r["n"], r["max_tf"], r["min_len"]) for r in got] == [
+            ("a", 0, 2, 1, 8), ("a", 1, 1, 2, 7), ("b", 1, 1, 3, 6), ("b", None, 2, 5, 4), ("c", 0, 1, 6, 3)
+        ]
+        assert [[e["doc_id"] for e in r["entries"]] for r in got] == [[1, 2], [130], [131], [None, None], [5]]
+    assert not list(ix._put_together(iter([])))
